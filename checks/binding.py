@@ -25,6 +25,18 @@ LATE_CUT = dt.date(2024, 1, 20)
 
 TELEMETRY_TYPES = ["click", "error", "signup"]
 
+# declared, so that opening a table costs no footer-reading job
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
+
 
 def _prefixed(prefix: str, number: str | Column) -> Column:
     number = F.col(number) if isinstance(number, str) else number
@@ -45,7 +57,7 @@ class Fleet:
         self.dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.dir}/{name}.parquet")
 
     @cached_property
     def events(self) -> DataFrame:

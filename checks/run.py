@@ -13,7 +13,8 @@ from roadbook.session import spark_session
 def main(sf_dir: str, keys: list[str]) -> int:
     spark = spark_session(
         "checks", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+           "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = duck(sf_dir), oracle_sql(), 0
@@ -25,7 +26,7 @@ def main(sf_dir: str, keys: list[str]) -> int:
             got = build(spark, sf_dir).toArrow()
             spent = time.perf_counter() - begin
             begin = time.perf_counter()
-            want = con.execute(sqls[key]).to_arrow_table() if key in sqls else None
+            want = con.sql(sqls[key]).to_arrow_table() if key in sqls else None
             duck_spent = time.perf_counter() - begin
             issues = differences(got, want) if want is not None else []
         except Exception as error:  # report and go on with the next key
