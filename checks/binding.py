@@ -13,9 +13,10 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadbook.operators import dimensions, marts
+from roadbook.session import scratch_path
 from roadbook.sources.reference import default_thresholds
 
 AS_OF = dt.date(2024, 1, 31)
@@ -23,8 +24,6 @@ FIRST_DAY, LAST_DAY = dt.date(2024, 1, 1), dt.date(2024, 1, 31)
 ALERT_TIME = dt.datetime(2024, 1, 31, 6, 0, 0)
 LATE_CUT = dt.date(2024, 1, 20)
 
-TELEMETRY_TYPES = ["click", "error", "signup"]
-
 # declared, so that opening a table costs no footer-reading job
 TABLE_SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
@@ -38,14 +37,15 @@ TABLE_SCHEMAS = {
 }
 
 
-def _prefixed(prefix: str, number: str | Column) -> Column:
-    number = F.col(number) if isinstance(number, str) else number
-    return F.concat(F.lit(prefix), number.cast("string"))
+def _vehicle_id(number: str) -> str:
+    return (
+        f"concat(CASE {number} % 3 WHEN 0 THEN 'BUS_' WHEN 1 THEN 'CAR_' ELSE 'TRK_' END, "
+        f"CAST({number} AS STRING))"
+    )
 
 
-def _vehicle_id(number: Column) -> Column:
-    kind = F.when(number % 3 == 0, "BUS_").when(number % 3 == 1, "CAR_").otherwise("TRK_")
-    return F.concat(kind, number.cast("string"))
+def _id(prefix: str, number: str) -> str:
+    return f"concat('{prefix}', CAST({number} AS STRING))"
 
 
 class Fleet:
@@ -61,90 +61,84 @@ class Fleet:
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.table("events").select(
+        return self.table("events").selectExpr(
             "event_id", "ts", "user_id", "event_type", "value",
-            F.get_json_object("props", "$.k").cast("int").alias("k"),
-            F.to_date("ts").alias("date_key"),
+            "CAST(get_json_object(props, '$.k') AS INT) AS k",
+            "CAST(ts AS DATE) AS date_key",
         )
 
     @cached_property
     def telemetry(self) -> DataFrame:
-        user = F.col("user_id")
-        vehicle = (F.floor(user / 3) * 2).cast("bigint")
-        return self.events.where(F.col("event_type").isin(TELEMETRY_TYPES)).select(
-            _prefixed("evt_", "event_id").alias("event_id"),
-            _vehicle_id(vehicle).alias("vehicle_id"),
-            _prefixed("DR_", user).alias("driver_id"),
-            F.col("ts").alias("event_timestamp"),
-            (F.lit(6.45) + F.col("k") * 0.001).alias("lat"),
-            (F.lit(3.39) + F.col("k") * 0.001).alias("lon"),
-            F.col("value").alias("speed_kph"),
-            F.col("k").cast("double").alias("fuel_percent"),
-            (F.lit(60.0) + F.col("k") * 0.75).alias("engine_temp_c"),
-            (F.lit(11.0) + F.col("k") / 64).alias("battery_v"),
-            (F.col("value") > 50).alias("speeding"),
+        return self.events.where("event_type IN ('click', 'error', 'signup')").selectExpr(
+            f"{_id('evt_', 'event_id')} AS event_id",
+            f"{_vehicle_id('(user_id DIV 3 * 2)')} AS vehicle_id",
+            f"{_id('DR_', 'user_id')} AS driver_id",
+            "ts AS event_timestamp",
+            "6.45D + k * 0.001D AS lat",
+            "3.39D + k * 0.001D AS lon",
+            "value AS speed_kph",
+            "CAST(k AS DOUBLE) AS fuel_percent",
+            "60D + k * 0.75D AS engine_temp_c",
+            "11D + k / 64D AS battery_v",
+            "value > 50 AS speeding",
             "date_key",
         )
 
     @cached_property
     def shifts(self) -> DataFrame:
-        tired = F.col("k") >= 60
-        return self.events.where(F.col("event_type") == "view").select(
-            _prefixed("health_", "event_id").alias("event_id"),
-            _prefixed("DR_", "user_id").alias("driver_id"),
-            F.col("ts").alias("event_timestamp"),
-            (F.lit(6.0) + F.col("k") % 5).alias("shift_hours"),
-            (F.col("k") % 14).cast("double").alias("continuous_driving_hours"),
-            (F.col("k") * 5 / 512).alias("fatigue_index"),
-            (~tired).alias("breaks_taken"),
-            F.when(tired, F.array(F.lit("fatigue_risk"))).otherwise(F.array().cast("array<string>")).alias("alerts"),
+        return self.events.where("event_type = 'view'").selectExpr(
+            f"{_id('health_', 'event_id')} AS event_id",
+            f"{_id('DR_', 'user_id')} AS driver_id",
+            "ts AS event_timestamp",
+            "6D + k % 5 AS shift_hours",
+            "CAST(k % 14 AS DOUBLE) AS continuous_driving_hours",
+            "k * 5 / 512D AS fatigue_index",
+            "k < 60 AS breaks_taken",
+            "IF(k >= 60, array('fatigue_risk'), CAST(array() AS ARRAY<STRING>)) AS alerts",
             "date_key",
         )
 
     @cached_property
     def finance(self) -> DataFrame:
-        return self.events.where(F.col("event_type") == "purchase").select(
-            _prefixed("daily_finance_", "event_id").alias("event_id"),
-            _prefixed("DR_", "user_id").alias("driver_id"),
+        return self.events.where("event_type = 'purchase'").selectExpr(
+            f"{_id('daily_finance_', 'event_id')} AS event_id",
+            f"{_id('DR_', 'user_id')} AS driver_id",
             "date_key",
-            F.col("value").alias("total_revenue"),
-            (F.col("k") * 0.5).alias("total_cost"),
-            (F.col("value") - F.col("k") * 0.5).alias("net_profit"),
-            F.when(F.col("k") % 8 == 0, 1).otherwise(0).alias("fraud_alerts_count"),
-            F.lit("hold").alias("trading_position"),
-            (F.col("value") + 200).alias("end_of_day_balance"),
+            "value AS total_revenue",
+            "k * 0.5D AS total_cost",
+            "value - k * 0.5D AS net_profit",
+            "IF(k % 8 = 0, 1, 0) AS fraud_alerts_count",
+            "'hold' AS trading_position",
+            "value + 200 AS end_of_day_balance",
         )
 
     @cached_property
     def driver_master(self) -> DataFrame:
-        retired = F.col("c_mktsegment") == "FURNITURE"
-        return self.table("customer").select(
-            _prefixed("DR_", "c_custkey").alias("driver_id"),
-            F.when(retired, "RETIRED").otherwise("ACTIVE").alias("status"),
+        return self.table("customer").selectExpr(
+            f"{_id('DR_', 'c_custkey')} AS driver_id",
+            "IF(c_mktsegment = 'FURNITURE', 'RETIRED', 'ACTIVE') AS status",
         )
 
     @cached_property
     def vehicle_master(self) -> DataFrame:
-        return self.table("supplier").select(
-            _vehicle_id(F.col("s_suppkey")).alias("vehicle_id"),
-            F.when(F.col("s_nationkey") % 5 == 0, "MAINTENANCE").otherwise("ACTIVE").alias("status"),
+        return self.table("supplier").selectExpr(
+            f"{_vehicle_id('s_suppkey')} AS vehicle_id",
+            "IF(s_nationkey % 5 = 0, 'MAINTENANCE', 'ACTIVE') AS status",
         )
 
     @cached_property
     def stored_drivers(self) -> DataFrame:
         """A driver dimension as an earlier run might have left it: active, seen once in 1970."""
-        old = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
-        return self.driver_master.where(F.col("status") == "ACTIVE").select(
-            "driver_id", F.lit("RETIRED").alias("status"),
-            old.alias("first_seen_at"), old.alias("last_seen_at"),
+        return self.driver_master.where("status = 'ACTIVE'").selectExpr(
+            "driver_id", "'RETIRED' AS status",
+            "TIMESTAMP_NTZ '1970-01-01' AS first_seen_at", "TIMESTAMP_NTZ '1970-01-01' AS last_seen_at",
         )
 
     @cached_property
     def stored_vehicles(self) -> DataFrame:
-        old = F.lit(dt.datetime(2023, 6, 1)).cast("timestamp_ntz")
-        return self.vehicle_master.where(F.col("status") == "ACTIVE").select(
-            "vehicle_id", F.lit("BUS").alias("vehicle_type"), F.lit("MAINTENANCE").alias("status"),
-            old.alias("first_seen_at"), old.alias("last_seen_at"),
+        return self.vehicle_master.where("status = 'ACTIVE'").selectExpr(
+            "vehicle_id", "'BUS' AS vehicle_type", "'MAINTENANCE' AS status",
+            "TIMESTAMP_NTZ '2023-06-01' AS first_seen_at", "TIMESTAMP_NTZ '2023-06-01' AS last_seen_at",
         )
 
     @cached_property
@@ -186,49 +180,42 @@ class Fleet:
 
     # raw lines -----------------------------------------------------------------------------------
 
+    def lake(self, domain: str) -> str:
+        """The raw lines of a domain as text files in a fresh folder of the shared scratch location."""
+        path = scratch_path(self.spark, domain)
+        {"vehicles": self.raw_vehicle_lines, "driver_health": self.raw_health_lines,
+         "finance": self.raw_finance_lines}[domain].write.text(path)
+        return path
+
     @cached_property
     def raw_vehicle_lines(self) -> DataFrame:
         """One JSON object per event; some lack a timestamp, carry nulls or break a range.
 
         Purchases carry no timestamp key, signups a null driver, views a speed below zero.
         """
-        def key(name: str, value: Column) -> Column:
-            return F.concat(F.lit(f', "{name}": '), value.cast("string"))
-
-        kind, k = F.col("event_type"), F.col("k")
-        text = F.concat(
-            F.lit('{"event_id": "evt_'), F.col("event_id").cast("string"), F.lit('"'),
-            F.lit(', "vehicle_id": "'), _vehicle_id(F.col("user_id")), F.lit('"'),
-            F.when(kind == "signup", F.lit(', "driver_id": null')).otherwise(
-                F.concat(F.lit(', "driver_id": "DR_'), F.col("user_id").cast("string"), F.lit('"'))
-            ),
-            F.when(kind == "purchase", F.lit("")).otherwise(
-                F.concat(F.lit(', "timestamp": "'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('Z"'))
-            ),
-            key("lat", k - 5),
-            key("lon", k * 2 - 10),
-            key("speed_kph", F.when(kind == "view", F.lit(-1)).otherwise(k)),
-            key("fuel_percent", k + 3),
-            F.when(kind == "click", F.lit(', "speeding": true')).otherwise(F.lit("")),
-            F.lit("}"),
+        return self.events.selectExpr(
+            f"""concat(
+                '{{"event_id": "evt_', CAST(event_id AS STRING), '", "vehicle_id": "', {_vehicle_id('user_id')}, '"',
+                IF(event_type = 'signup', ', "driver_id": null', concat(', "driver_id": "DR_', CAST(user_id AS STRING), '"')),
+                IF(event_type = 'purchase', '',
+                   concat(', "timestamp": "', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), 'Z"')),
+                ', "lat": ', CAST(k - 5 AS STRING), ', "lon": ', CAST(k * 2 - 10 AS STRING),
+                ', "speed_kph": ', CAST(IF(event_type = 'view', -1, k) AS STRING),
+                ', "fuel_percent": ', CAST(k + 3 AS STRING),
+                IF(event_type = 'click', ', "speeding": true', ''), '}}') AS value"""
         )
-        return self.events.select(text.alias("value"))
 
     @cached_property
     def raw_health_lines(self) -> DataFrame:
         """One shift report per event; signups carry a fatigue above one, errors no alert list."""
-        kind, k = F.col("event_type"), F.col("k")
-        record = F.struct(
-            _prefixed("health_", "event_id").alias("event_id"),
-            _prefixed("DR_", "user_id").alias("driver_id"),
-            F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("timestamp"),
-            (k % 12 - 1).alias("shift_hours"),
-            (k % 6).alias("continuous_driving_hours"),
-            F.when(kind == "signup", k / 64).otherwise(k / 128).alias("fatigue_index"),
-            (k < 60).alias("breaks_taken"),
-            F.when(kind != "error", F.array(F.lit("fatigue_risk"))).alias("alerts"),
+        return self.events.selectExpr(
+            f"""to_json(named_struct(
+                'event_id', {_id('health_', 'event_id')}, 'driver_id', {_id('DR_', 'user_id')},
+                'timestamp', concat(date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), 'Z'),
+                'shift_hours', k % 12 - 1, 'continuous_driving_hours', k % 6,
+                'fatigue_index', IF(event_type = 'signup', k / 64D, k / 128D), 'breaks_taken', k < 60,
+                'alerts', IF(event_type <> 'error', array('fatigue_risk'), NULL))) AS value"""
         )
-        return self.events.select(F.to_json(record).alias("value"))
 
     @cached_property
     def raw_finance_lines(self) -> DataFrame:
@@ -237,36 +224,22 @@ class Fleet:
         Orders with status P declare ten more than their trips earned; status F leaves the
         fraud count out.
         """
-        n = F.substring("o_orderpriority", 1, 1).cast("int")
-        share = F.floor(F.col("o_totalprice") / n) + F.lit(0.25)
-        trips = F.transform(
-            F.sequence(F.lit(1), n),
-            lambda i: F.struct(
-                F.concat(F.lit("trip_"), F.col("o_orderkey").cast("string"), F.lit("_"), i.cast("string")).alias("event_id"),
-                _prefixed("DR_", "o_custkey").alias("driver_id"),
-                F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T0"), i.cast("string"), F.lit(":00:00Z")).alias("timestamp"),
-                share.alias("revenue"),
-                (i * 1.5).cast("double").alias("fuel_cost"),
-                (i * 0.25).cast("double").alias("toll_fees"),
-                F.lit(0.5).alias("maintenance_cost"),
-                (i * 1.75 + 0.5).cast("double").alias("total_cost"),
-                F.when(i == 3, F.lit(True)).alias("fraud_alert"),
-            ),
-        )
-        surcharge = F.when(F.col("o_orderstatus") == "P", 10.0).otherwise(0.0)
-        revenue = F.round(share * n + surcharge, 2)
-        cost = (n * (n + 1) * 0.875 + n * 0.5).cast("double")
-        fraud = F.when(n >= 3, 1).otherwise(0)
-        record = F.struct(
-            _prefixed("daily_finance_", "o_orderkey").alias("event_id"),
-            _prefixed("DR_", "o_custkey").alias("driver_id"),
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
-            revenue.alias("total_revenue"),
-            cost.alias("total_cost"),
-            F.round(revenue - cost, 2).alias("net_profit"),
-            F.when(F.col("o_orderstatus") != "F", fraud).alias("fraud_alerts_count"),
-            F.lit("hold").alias("trading_position"),
-            F.lit(200.0).alias("end_of_day_balance"),
-            trips.alias("trips"),
+        day = self.table("orders").selectExpr(
+            "*", "CAST(substring(o_orderpriority, 1, 1) AS INT) AS n",
+            "date_format(o_orderdate, 'yyyy-MM-dd') AS day",
+        ).selectExpr(
+            "*", "floor(o_totalprice / n) + 0.25D AS share", "n * (n + 1) * 0.875D + n * 0.5D AS cost",
+        ).selectExpr("*", "round(share * n + IF(o_orderstatus = 'P', 10, 0), 2) AS revenue")
+        driver = _id("DR_", "o_custkey")
+        return day.selectExpr(
+            f"""to_json(named_struct(
+                'event_id', {_id('daily_finance_', 'o_orderkey')}, 'driver_id', {driver}, 'date', day,
+                'total_revenue', revenue, 'total_cost', cost, 'net_profit', round(revenue - cost, 2),
+                'fraud_alerts_count', IF(o_orderstatus <> 'F', IF(n >= 3, 1, 0), NULL),
+                'trading_position', 'hold', 'end_of_day_balance', 200D,
+                'trips', transform(sequence(1, n), i -> named_struct(
+                    'event_id', concat('trip_', CAST(o_orderkey AS STRING), '_', CAST(i AS STRING)), 'driver_id', {driver},
+                    'timestamp', concat(day, 'T0', CAST(i AS STRING), ':00:00Z'), 'revenue', share,
+                    'fuel_cost', i * 1.5D, 'toll_fees', i * 0.25D, 'maintenance_cost', 0.5D,
+                    'total_cost', i * 1.75D + 0.5D, 'fraud_alert', IF(i = 3, true, NULL))))) AS value"""
         )
-        return self.table("orders").select(F.to_json(record).alias("value"))

@@ -12,7 +12,7 @@ from roadbook import schemas
 from roadbook.functions.expressions import high_water
 from roadbook.operators import alerts, marts, staging, upserts
 from roadbook.operators.conform import to_fact
-from roadbook.sources.raw import parse_lines
+from roadbook.sources.raw import read_raw
 
 
 def _first_driver_mart(f: Fleet) -> DataFrame:
@@ -80,16 +80,17 @@ def threshold_row(f: Fleet) -> DataFrame:
 
 
 def _finance(f: Fleet) -> DataFrame:
-    return parse_lines(f.raw_finance_lines, schemas.RAW_FINANCE)
+    return read_raw(f.spark, f.lake("finance"), schemas.RAW_FINANCE)
 
 
-def _trips(f: Fleet) -> DataFrame:
-    return staging.stage_finance_trips(staging.explode_trips(_finance(f)))
+def _trips(records: DataFrame) -> DataFrame:
+    return staging.stage_finance_trips(staging.explode_trips(records))
 
 
 def reconcile_finance(f: Fleet) -> DataFrame:
-    daily = to_fact(staging.stage_finance_daily(_finance(f)), "date")
-    return marts.reconcile_finance(daily, _trips(f))
+    records = _finance(f)
+    daily = to_fact(staging.stage_finance_daily(records), "date")
+    return marts.reconcile_finance(daily, _trips(records))
 
 
 # early load as CTEs: the same chain on the rows that arrived first
@@ -184,7 +185,7 @@ QUERIES = {
             "AND fin.date_key = dm.date_key)", "dm", "fin"),
     ),
     "rollup_trips": (
-        lambda f: marts.rollup_trips(_trips(f)),
+        lambda f: marts.rollup_trips(_trips(_finance(f))),
         sql("SELECT driver_id, date_key, round(sum(share), 2) AS total_revenue, round(sum(trip_cost), 2) AS total_cost, "
             "round(round(sum(share), 2) - round(sum(trip_cost), 2), 2) AS net_profit, "
             "count(*) FILTER (WHERE fraud) AS fraud_alerts_count FROM trip GROUP BY driver_id, date_key",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from checks import (
     alert_queries, maintenance_queries, mart_queries, report_queries, staging_queries, stream_queries,
@@ -18,8 +18,8 @@ _MODULES = [
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded for comparison: sums of doubles depend on the order of addition."""
-    return df.select(
-        *[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
+    return df.selectExpr(
+        *[f"round({c}, {digits}) AS {c}" if t == "double" else c for c, t in df.dtypes]
     )
 
 

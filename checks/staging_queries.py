@@ -8,20 +8,19 @@ from checks.binding import Fleet
 from checks.oracle import _VEHICLE, sql
 from roadbook import schemas
 from roadbook.operators import conform, staging
-from roadbook.session import scratch_path
 from roadbook.sources import raw
 
 
 def _vehicles(f: Fleet) -> DataFrame:
-    return staging.vehicle_violations(raw.parse_lines(f.raw_vehicle_lines, schemas.RAW_VEHICLES))
+    return staging.vehicle_violations(raw.read_raw(f.spark, f.lake("vehicles"), schemas.RAW_VEHICLES))
 
 
 def _health(f: Fleet) -> DataFrame:
-    return staging.health_violations(raw.parse_lines(f.raw_health_lines, schemas.RAW_HEALTH))
+    return staging.health_violations(raw.read_raw(f.spark, f.lake("driver_health"), schemas.RAW_HEALTH))
 
 
 def _finance(f: Fleet) -> DataFrame:
-    return staging.finance_violations(raw.parse_lines(f.raw_finance_lines, schemas.RAW_FINANCE))
+    return staging.finance_violations(raw.read_raw(f.spark, f.lake("finance"), schemas.RAW_FINANCE))
 
 
 def missing_keys(f: Fleet) -> DataFrame:
@@ -41,9 +40,7 @@ def stage_vehicles(f: Fleet) -> DataFrame:
 
 def read_raw(f: Fleet) -> DataFrame:
     """Lines written to the lake as text files, then scanned with file lineage."""
-    path = scratch_path(f.spark, "lake")
-    f.raw_vehicle_lines.write.text(path)
-    lines = raw.read_raw(f.spark, path, schemas.RAW_VEHICLES)
+    lines = raw.read_raw(f.spark, f.lake("vehicles"), schemas.RAW_VEHICLES)
     return lines.groupBy("driver_id").agg(
         F.count("*").alias("records"),
         F.count("timestamp").alias("with_time"),

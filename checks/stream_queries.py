@@ -1 +1,153 @@
-QUERIES = {}
+"""Structured Streaming runs over the events, each compared with its batch meaning.
+
+The events are dropped as raw JSON lines into a fresh folder below the shared scratch
+location and consumed with ``availableNow``; results are read back from the sink.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from checks.binding import Fleet
+from checks.oracle import VEHICLE_MART, rounded, sql
+from checks.staging_queries import _CLEAN_V, _CODES, _RAWV
+from roadbook import schemas
+from roadbook.operators import staging
+from roadbook.operators.conform import align
+from roadbook.plans import warehouse
+from roadbook.session import scratch_path
+from roadbook.sources import raw, tables
+from roadbook.streaming import ingest, live, stateful
+
+
+def _drop(df: DataFrame, path: str, overwrite: bool = True) -> None:
+    """Telemetry facts as a raw drop."""
+    lines = df.withColumn("timestamp", F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    raw.write_raw(align(lines, schemas.STAGED_VEHICLES), path, overwrite)
+
+
+def _stream(f: Fleet, path: str, max_files: int | None = None) -> DataFrame:
+    return ingest.event_time(ingest.stream_raw(f.spark, path, schemas.RAW_VEHICLES, max_files))
+
+
+def _collect(f: Fleet, df: DataFrame, mode: str = "append") -> DataFrame:
+    """Run a stream into a table and read the table back."""
+    out, checkpoint = scratch_path(f.spark, "out"), scratch_path(f.spark, "ckpt")
+    if mode == "append":
+        ingest.run_available(df.writeStream.format("parquet").option("path", out), checkpoint)
+        return f.spark.read.schema(df.schema).parquet(out)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        tables.replace_table(batch, out, version=batch_id + 1)
+
+    ingest.run_available(df.writeStream.foreachBatch(keep).outputMode(mode), checkpoint)
+    return tables.read_version(f.spark, out, df.schema)
+
+
+def stream_dedup(f: Fleet) -> DataFrame:
+    """The whole drop is delivered twice; every event comes out once."""
+    path = scratch_path(f.spark, "drop")
+    _drop(f.telemetry, path)
+    _drop(f.telemetry, path, overwrite=False)
+    once = ingest.stream_dedup(_stream(f, path, max_files=1), "60 days")
+    return _collect(f, once.select("event_id", "vehicle_id", "event_timestamp", "speed_kph")).withColumn(
+        "event_timestamp", F.col("event_timestamp").cast("timestamp_ntz")
+    )
+
+
+def stream_vehicle_daily(f: Fleet) -> DataFrame:
+    path = scratch_path(f.spark, "drop")
+    _drop(f.telemetry, path)
+    return _collect(f, live.stream_vehicle_daily(_stream(f, path)), "complete")
+
+
+def stream_alerts(f: Fleet) -> DataFrame:
+    path = scratch_path(f.spark, "drop")
+    _drop(f.telemetry, path)
+    found = live.stream_alerts(_stream(f, path), f.thresholds, f.vehicle_master)
+    return _collect(f, found).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+
+
+def stream_refresh(f: Fleet) -> DataFrame:
+    """Early facts in the first drop, late and new ones in the second; final vehicle mart."""
+    path, root, checkpoint = (scratch_path(f.spark, n) for n in ("drop", "warehouse", "ckpt"))
+    warehouse.seed_thresholds(f.spark, root, f.thresholds)
+    for part in (f.early("telemetry"), f.late("telemetry")):
+        _drop(part, path, overwrite=False)
+        job = stateful.stream_refresh(root)
+        ingest.run_available(_stream(f, path).writeStream.foreachBatch(job), checkpoint)
+    return tables.read_table(f.spark, root, "fact_vehicle_daily_metrics")
+
+
+def stream_harsh_brake(f: Fleet) -> DataFrame:
+    """Two drops in time order; the flags equal the batch result."""
+    path, out, state, checkpoint = (scratch_path(f.spark, n) for n in ("drop", "out", "state", "ckpt"))
+    cut = F.col("date_key") <= F.lit("2024-01-15").cast("date")
+    for part in (cut, ~cut):
+        _drop(f.telemetry.where(part), path, overwrite=False)
+        job = stateful.stream_harsh_brake(out, state)
+        ingest.run_available(_stream(f, path).writeStream.foreachBatch(job), checkpoint)
+    return f.spark.read.parquet(out).select("event_id", "vehicle_id", "prev_speed_kph", "harsh_brake")
+
+
+def stream_replay_buffer(f: Fleet) -> DataFrame:
+    path, state, checkpoint = (scratch_path(f.spark, n) for n in ("drop", "state", "ckpt"))
+    cut = F.col("date_key") <= F.lit("2024-01-15").cast("date")
+    for part in (cut, ~cut):
+        _drop(f.telemetry.where(part), path, overwrite=False)
+        job = stateful.stream_replay_buffer(state)
+        ingest.run_available(_stream(f, path).writeStream.foreachBatch(job), checkpoint)
+    return tables.read_version(f.spark, state, stateful.BUFFERED)
+
+
+def stream_quarantine(f: Fleet) -> DataFrame:
+    """Good and bad raw vehicle lines split by a stream; rows and causes per side."""
+    path, out, checkpoint = f.lake("vehicles"), scratch_path(f.spark, "out"), scratch_path(f.spark, "ckpt")
+    checked = staging.vehicle_violations(ingest.stream_raw(f.spark, path, schemas.RAW_VEHICLES))
+    ingest.stream_quarantine(checked, staging.vehicle_columns(), out, checkpoint)
+    stored = f.spark.read.parquet(out)
+    return stored.groupBy("quarantined").agg(
+        F.count("*").alias("records"), F.count("raw").alias("with_text"), F.sum(F.size("violations")).alias("causes")
+    ).withColumn("quarantined", F.col("quarantined").cast("boolean"))
+
+
+QUERIES = {
+    "stream_dedup": (
+        stream_dedup,
+        sql("SELECT event_id, vehicle_id, event_timestamp, round(speed_kph, 6) AS speed_kph FROM tel", "tel"),
+    ),
+    "stream_vehicle_daily": (
+        stream_vehicle_daily,
+        sql("""SELECT vehicle_id, date_key, telemetry_events, round(avg_speed_kph, 6) AS avg_speed_kph, max_speed_kph,
+                      round(avg_fuel_percent, 6) AS avg_fuel_percent, round(avg_engine_temp_c, 6) AS avg_engine_temp_c,
+                      round(avg_battery_voltage, 6) AS avg_battery_voltage, speeding_events FROM vm""", "vm"),
+    ),
+    "stream_alerts": (
+        stream_alerts,
+        sql("""SELECT tel.vehicle_id AS entity_id, 'vehicle' AS entity_type, metric_name, round(v, 6) AS metric_value,
+                      CASE WHEN comparison_op = '>' AND v >= critical_threshold OR comparison_op = '<' AND v <= critical_threshold
+                           THEN 'CRITICAL' ELSE 'WARNING' END AS severity, description, event_id, event_timestamp
+               FROM (SELECT *, 'engine_temp_c' AS metric_name, engine_temp_c AS v FROM tel
+                     UNION ALL SELECT *, 'battery_voltage', battery_v FROM tel) tel
+               JOIN veh ON veh.vehicle_id = tel.vehicle_id AND status = 'ACTIVE' JOIN thr USING (metric_name)
+               WHERE comparison_op = '>' AND v >= warning_threshold OR comparison_op = '<' AND v <= warning_threshold""", "tel", "veh", "thr"),
+    ),
+    "stream_refresh": (stream_refresh, sql(f"SELECT {rounded(VEHICLE_MART)} FROM vm", "vm")),
+    "stream_harsh_brake": (
+        stream_harsh_brake,
+        sql("""SELECT event_id, vehicle_id, round(prev, 6) AS prev_speed_kph,
+                      coalesce(prev - speed_kph > greatest(8, prev * 0.25e0), FALSE) AS harsh_brake
+               FROM (SELECT *, lag(speed_kph) OVER (PARTITION BY vehicle_id ORDER BY event_timestamp, event_id) AS prev FROM tel)""", "tel"),
+    ),
+    "stream_replay_buffer": (
+        stream_replay_buffer,
+        sql("""SELECT vehicle_id, event_timestamp, event_id, round(speed_kph, 6) AS speed_kph
+               FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY event_timestamp DESC, event_id DESC) AS rn FROM tel)
+               WHERE rn <= 30""", "tel"),
+    ),
+    "stream_quarantine": (
+        stream_quarantine,
+        sql(f"""SELECT NOT ({_CLEAN_V}) AS quarantined, count(*) AS records, count(*) FILTER (WHERE NOT ({_CLEAN_V})) AS with_text,
+                       CAST(sum(len(violations)) AS BIGINT) AS causes FROM coded GROUP BY 1""", "ev", rawv=_RAWV, coded=_CODES),
+    ),
+}

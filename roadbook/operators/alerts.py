@@ -130,17 +130,23 @@ def metrics_long(mart: DataFrame, entity: str, kind: str, metrics: dict[str, str
     return long.withColumn("entity_type", F.lit(kind))
 
 
-def evaluate_thresholds(long: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Every active rule against every metric row, honouring the direction of the rule."""
+def evaluate_thresholds(
+    long: DataFrame, thresholds: DataFrame, inclusive: bool = False, keep: list[str] | None = None,
+) -> DataFrame:
+    """Every active rule against every metric row, honouring the direction of the rule.
+
+    ``inclusive`` lets a value exactly on the limit count, as the alert queries do.
+    """
     rules = thresholds.where("is_active").select(
         "metric_name", "warning_threshold", "critical_threshold", "comparison_op", "description"
     )
 
     def broken(limit: str) -> Column:
         value, bound = F.col("metric_value"), F.col(limit)
-        return F.when(F.col("comparison_op") == "<", value < bound).when(
+        over = F.when(F.col("comparison_op") == "<", value < bound).when(
             F.col("comparison_op") == ">", value > bound
         )
+        return over | (value == bound) if inclusive else over
 
     severity = F.when(broken("critical_threshold"), F.lit("CRITICAL")).when(
         broken("warning_threshold"), F.lit("WARNING")
@@ -149,7 +155,7 @@ def evaluate_thresholds(long: DataFrame, thresholds: DataFrame) -> DataFrame:
         long.join(rules, "metric_name")
         .withColumn("severity", severity)
         .where(F.col("severity").isNotNull())
-        .select(*ALERT_COLUMNS, "date_key")
+        .select(*ALERT_COLUMNS, *(keep or ["date_key"]))
     )
 
 

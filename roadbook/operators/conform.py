@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` by name, cast to its types; missing ones become typed nulls."""
     have = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in schema
         ]
     )

@@ -7,9 +7,9 @@ A violation is a short code, so that quarantined rows can be grouped by cause.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from roadbook import schemas
-from roadbook.operators.conform import align
 from roadbook.sources.raw import parse_lines
 
 # Keys a record has to carry.
@@ -106,25 +106,47 @@ def _or_default(name: str, default: Column) -> Column:
     return F.when(F.array_contains("present_keys", name), F.col(name)).otherwise(default)
 
 
-def stage_vehicles(df: DataFrame) -> DataFrame:
-    shaped = df.withColumns(
-        {
-            "lat": F.round("lat", 6),
-            "lon": F.round("lon", 6),
-            "speeding": _or_default("speeding", F.lit(False)),
-        }
+def _columns(schema: T.StructType, **overrides: Column) -> list[Column]:
+    return [overrides.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema]
+
+
+def vehicle_columns() -> list[Column]:
+    return _columns(
+        schemas.STAGED_VEHICLES,
+        lat=F.round("lat", 6),
+        lon=F.round("lon", 6),
+        speeding=_or_default("speeding", F.lit(False)),
     )
-    return align(shaped, schemas.STAGED_VEHICLES)
 
 
-def stage_driver_health(df: DataFrame) -> DataFrame:
+def health_columns() -> list[Column]:
     no_alerts = F.array().cast("array<string>")
-    return align(df.withColumn("alerts", _or_default("alerts", no_alerts)), schemas.STAGED_HEALTH)
+    return _columns(schemas.STAGED_HEALTH, alerts=_or_default("alerts", no_alerts))
 
 
-def stage_finance_daily(df: DataFrame) -> DataFrame:
+def finance_columns() -> list[Column]:
     count = _or_default("fraud_alerts_count", F.lit(0))
-    return align(df.withColumn("fraud_alerts_count", count), schemas.STAGED_FINANCE)
+    return _columns(schemas.STAGED_FINANCE, fraud_alerts_count=count)
+
+
+def trip_columns() -> list[Column]:
+    return _columns(
+        schemas.STAGED_TRIPS,
+        trip_event_id=F.col("event_id"),
+        fraud_alert=_or_default("fraud_alert", F.lit(False)),
+    )
+
+
+def stage_vehicles(df: DataFrame) -> DataFrame:
+    return df.select(*vehicle_columns())
+
+
+def stage_driver_health(df: DataFrame) -> DataFrame:
+    return df.select(*health_columns())
+
+
+def stage_finance_daily(df: DataFrame) -> DataFrame:
+    return df.select(*finance_columns())
 
 
 def explode_trips(df: DataFrame) -> DataFrame:
@@ -136,5 +158,12 @@ def explode_trips(df: DataFrame) -> DataFrame:
 
 def stage_finance_trips(df: DataFrame) -> DataFrame:
     """Staged trips from the output of :func:`explode_trips`."""
-    shaped = df.withColumn("fraud_alert", _or_default("fraud_alert", F.lit(False)))
-    return align(shaped.withColumnRenamed("event_id", "trip_event_id"), schemas.STAGED_TRIPS)
+    return df.select(*trip_columns())
+
+
+def tagged_columns(staged: list[Column]) -> list[Column]:
+    """Staged columns of good *and* bad records; the bad ones keep their text and causes."""
+    bad = F.size("violations") > 0
+    return [
+        *staged, F.when(bad, F.col("value")).alias("raw"), F.col("violations"), bad.alias("quarantined"),
+    ]

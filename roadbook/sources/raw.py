@@ -12,9 +12,14 @@ def parse_lines(lines: DataFrame, schema: T.StructType, line: str = "value") ->
     ``present_keys`` lists the keys the object really carries (a key with a JSON null counts,
     an unparsable line gives null), which a parsed column alone cannot tell.
     """
-    return lines.withColumn("present_keys", F.json_object_keys(line)).withColumn(
-        "parsed", F.from_json(line, schema)
-    ).select(*lines.columns, "present_keys", "parsed.*")
+    # A generated column is computed once per line. Plain columns would be copied into every
+    # later filter and check, and each copy would parse the text again.
+    record = F.struct(
+        F.json_object_keys(line).alias("present_keys"), F.from_json(line, schema).alias("parsed")
+    )
+    return lines.select("*", F.inline(F.array(record))).select(
+        *lines.columns, "present_keys", "parsed.*"
+    )
 
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from roadbook import schemas
 from roadbook.operators.conform import align
+from roadbook.session import scratch_path
 
 
 def table_path(root: str, name: str) -> str:
@@ -28,74 +28,99 @@ def write_staged(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A warehouse table; an empty frame of the right shape while it does not exist yet."""
-    schema = schemas.TABLES[name]
-    try:
-        stored = spark.read.parquet(table_path(root, name))
-    except AnalysisException as missing:
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    path, schema = table_path(root, name), schemas.TABLES[name]
+    if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    return align(stored, schema)
+    return spark.read.schema(schema).parquet(path)
 
 
-def write_fact(df: DataFrame, path: str, partition: str = "date_key") -> None:
-    """Overwrite exactly the day partitions present in ``df``, leaving all others alone.
+def write_fact(df: DataFrame, path: str, partition: str = "date_key") -> set[dt.date]:
+    """Overwrite exactly the day partitions present in ``df`` and return those days.
 
-    The rebalance hint lets AQE cut a heavy day into several files and merge light ones.
-    Partition columns go to directory names, so reading the same path in the plan is safe:
-    files are moved in only at job commit.
+    All other partitions stay. The rebalance hint lets AQE cut a heavy day into several files
+    and merge light ones. Reading the same path in the plan is safe: files move in only at
+    job commit.
     """
+    written = Observation()
     (
         df.hint("rebalance", partition)
+        # one value per calendar day, so the metric stays small
+        .observe(written, F.collect_set(partition).alias("days"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    return set(written.get["days"])
+
+
+def append_fact(df: DataFrame, path: str, partition: str = "date_key") -> None:
+    """Add rows to their day partitions without rewriting what is stored."""
+    df.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared scratch folder and read back: computed once, survives lost executors."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def days_of(df: DataFrame, partition: str = "date_key") -> list[dt.date]:
+    """Distinct days, collected to prune partitions; their number is bounded by the calendar."""
+    rows = df.select(partition).where(F.col(partition).isNotNull()).distinct().collect()
+    return sorted(row[0] for row in rows)
 
 
 def drop_days(spark: SparkSession, path: str, days: list[dt.date], partition: str = "date_key") -> None:
     """Remove day partitions that an upsert has emptied; overwriting cannot express that."""
     for day in days:
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={day.isoformat()}")
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        files, target = _hadoop_path(spark, f"{path}/{partition}={day.isoformat()}")
+        files.delete(target, True)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Publish a new version of a small table.
+def replace_table(df: DataFrame, path: str, version: int | None = None) -> None:
+    """Publish a new version of a table.
 
-    Each version is its own partition, so a plan may read the current version while it writes
-    the next one, and a failed write leaves the current version in place.
+    Each version has a folder of its own, so a plan may read the current version while it
+    writes the next one; a version counts once its job has committed. A fixed ``version``
+    makes a repeated micro-batch overwrite its own output.
     """
-    spark = df.sparkSession
-    version = _latest_version(spark, path) + 1
-    (
-        df.withColumn("version", F.lit(version))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("version")
-        .parquet(path)
-    )
+    if version is None:
+        version = (_versions(df.sparkSession, path) or [0])[-1] + 1
+    df.write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
-def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The newest version published with :func:`replace_table`."""
-    path, schema = table_path(root, name), schemas.TABLES[name]
-    version = _latest_version(spark, path)
-    if version == 0:
+def read_version(spark: SparkSession, path: str, schema: T.StructType, below: int | None = None) -> DataFrame:
+    """The newest version published with :func:`replace_table` (of those below a number)."""
+    known = [v for v in _versions(spark, path) if below is None or v < below]
+    if not known:
         return spark.createDataFrame([], schema)
-    stored = spark.read.parquet(path).where(F.col("version") == version)
-    return align(stored, schema)
-
-
-def _latest_version(spark: SparkSession, path: str) -> int:
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return 0
-    return stored.agg(F.max("version")).first()[0] or 0
+    return spark.read.schema(schema).parquet(f"{path}/version={known[-1]}")
+
+
+def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return read_version(spark, table_path(root, name), schemas.TABLES[name])
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    files, folder = _hadoop_path(spark, path)
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    numbers = sorted(int(n.split("=")[1]) for n in names if n.startswith("version="))
+    return [n for n in numbers if _exists(spark, f"{path}/version={n}/_SUCCESS")]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, target = _hadoop_path(spark, path)
+    return files.exists(target)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    """File system and path handle of the storage the session is configured for."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def export_csv(df: DataFrame, path: str) -> None:
