@@ -54,42 +54,49 @@ def restrict(fact: DataFrame, keyset: DataFrame, keys: list[str]) -> DataFrame:
 
 # measures ----------------------------------------------------------------------------------
 
-def _telemetry_measures() -> list[Column]:
-    return [
-        F.count("event_id").alias("total_events"),
-        F.avg("speed_kph").alias("avg_speed_kph"),
-        F.count_if(F.col("speeding")).alias("speeding_events"),
-    ]
-
-
-def _shift_measures() -> list[Column]:
-    return [
-        F.sum("shift_hours").alias("total_shift_hours"),
-        F.max("continuous_driving_hours").alias("max_continuous_hours"),
-        F.avg("fatigue_index").alias("avg_fatigue_index"),
-        F.sum(F.array_size("alerts")).alias("alerts_count"),
-    ]
-
-
-def _finance_measures() -> list[Column]:
-    return [
-        F.sum("total_revenue").alias("total_revenue"),
-        F.sum("total_cost").alias("total_cost"),
-        F.sum("net_profit").alias("net_profit"),
-        F.sum("fraud_alerts_count").alias("fraud_alerts_count"),
-    ]
+# NULL-safe by construction: count and count_if skip nulls, sums of nothing stay null
+_TELEMETRY_MEASURES = [
+    "count(event_id) AS total_events",
+    "avg(speed_kph) AS avg_speed_kph",
+    "count_if(speeding) AS speeding_events",
+]
+_SHIFT_MEASURES = [
+    "sum(shift_hours) AS total_shift_hours",
+    "max(continuous_driving_hours) AS max_continuous_hours",
+    "avg(fatigue_index) AS avg_fatigue_index",
+    "sum(array_size(alerts)) AS alerts_count",
+]
+_FINANCE_MEASURES = [
+    "sum(total_revenue) AS total_revenue",
+    "sum(total_cost) AS total_cost",
+    "sum(net_profit) AS net_profit",
+    "sum(fraud_alerts_count) AS fraud_alerts_count",
+]
+VEHICLE_MEASURES = [
+    "count(event_id) AS telemetry_events",
+    "avg(speed_kph) AS avg_speed_kph",
+    "max(speed_kph) AS max_speed_kph",
+    "avg(fuel_percent) AS avg_fuel_percent",
+    "avg(engine_temp_c) AS avg_engine_temp_c",
+    "avg(battery_v) AS avg_battery_voltage",
+    "count_if(speeding) AS speeding_events",
+]
+
+
+def _per_key(rows: DataFrame, keys: list[str], *measures: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(*[F.expr(m) for m in measures])
 
 
 def telemetry_agg(tel: DataFrame) -> DataFrame:
-    return tel.groupBy(*DRIVER_DAY).agg(*_telemetry_measures())
+    return _per_key(tel, DRIVER_DAY, *_TELEMETRY_MEASURES)
 
 
 def shift_agg(shifts: DataFrame) -> DataFrame:
-    return shifts.groupBy(*DRIVER_DAY).agg(*_shift_measures())
+    return _per_key(shifts, DRIVER_DAY, *_SHIFT_MEASURES)
 
 
 def finance_agg(fin: DataFrame) -> DataFrame:
-    return fin.groupBy(*DRIVER_DAY).agg(*_finance_measures())
+    return _per_key(fin, DRIVER_DAY, *_FINANCE_MEASURES)
 
 
 def driver_day_measures(tel: DataFrame, shifts: DataFrame, fin: DataFrame) -> DataFrame:
@@ -105,8 +112,8 @@ def driver_day_measures(tel: DataFrame, shifts: DataFrame, fin: DataFrame) -> Da
             allowMissingColumns=True,
         )
     )
-    return stacked.groupBy(*DRIVER_DAY).agg(
-        *_telemetry_measures(), *_shift_measures(), *_finance_measures()
+    return _per_key(
+        stacked, DRIVER_DAY, *_TELEMETRY_MEASURES, *_SHIFT_MEASURES, *_FINANCE_MEASURES
     )
 
 
@@ -138,8 +145,9 @@ def driver_daily_metrics(
     if keyset is not None:
         # pushed below the aggregate by the planner when the key set is small enough to broadcast
         days = restrict(days, keyset, DRIVER_DAY)
-    measures = [c for c in days.columns if c not in DRIVER_DAY]
-    filled = days.withColumns({c: F.coalesce(c, F.lit(0)) for c in measures})
+    filled = days.selectExpr(
+        *[c if c in DRIVER_DAY else f"coalesce({c}, 0) AS {c}" for c in days.columns]
+    )
     known = filled.join(dim.select("driver_id", "status"), "driver_id")
     return align(driver_flags(known), schemas.FACT_DRIVER_DAILY_METRICS)
 
@@ -159,15 +167,7 @@ def threshold_row(thresholds: DataFrame) -> DataFrame:
 
 
 def vehicle_day_measures(tel: DataFrame) -> DataFrame:
-    return tel.groupBy(*VEHICLE_DAY).agg(
-        F.count("event_id").alias("telemetry_events"),
-        F.avg("speed_kph").alias("avg_speed_kph"),
-        F.max("speed_kph").alias("max_speed_kph"),
-        F.avg("fuel_percent").alias("avg_fuel_percent"),
-        F.avg("engine_temp_c").alias("avg_engine_temp_c"),
-        F.avg("battery_v").alias("avg_battery_voltage"),
-        F.count_if(F.col("speeding")).alias("speeding_events"),
-    )
+    return _per_key(tel, VEHICLE_DAY, *VEHICLE_MEASURES)
 
 
 def vehicle_flags(df: DataFrame, thresholds: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from roadbook.operators import marts
 from roadbook.operators.alerts import ALERT_COLUMNS, evaluate_thresholds
 
 # Threshold name -> telemetry column.
@@ -15,15 +16,7 @@ def stream_vehicle_daily(df: DataFrame, delay: str = "1 day") -> DataFrame:
     return (
         df.withWatermark("event_timestamp", delay)
         .groupBy(F.window("event_timestamp", "1 day"), "vehicle_id")
-        .agg(
-            F.count("event_id").alias("telemetry_events"),
-            F.avg("speed_kph").alias("avg_speed_kph"),
-            F.max("speed_kph").alias("max_speed_kph"),
-            F.avg("fuel_percent").alias("avg_fuel_percent"),
-            F.avg("engine_temp_c").alias("avg_engine_temp_c"),
-            F.avg("battery_v").alias("avg_battery_voltage"),
-            F.count_if(F.col("speeding")).alias("speeding_events"),
-        )
+        .agg(*[F.expr(m) for m in marts.VEHICLE_MEASURES])
         .withColumn("date_key", F.to_date("window.start"))
         .drop("window")
     )
