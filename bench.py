@@ -32,6 +32,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": os.environ.get("BENCH_MEMORY", "6g"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -78,8 +78,9 @@ def write_alerts(f: Fleet) -> DataFrame:
 
 
 def alert_digest(f: Fleet) -> DataFrame:
+    """The digest reads evaluated alerts, so the rules run once."""
     rounded_alerts = _all(f).withColumn("metric_value", F.round("metric_value", 6))
-    return alerts.alert_digest(rounded_alerts)
+    return alerts.alert_digest(tables.materialize(rounded_alerts, "alerts"))
 
 
 def harsh_brake(f: Fleet) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from roadbook.sources import storage
+
 
 def parse_lines(lines: DataFrame, schema: T.StructType, line: str = "value") -> DataFrame:
     """Typed columns next to the raw text.
@@ -23,7 +25,9 @@ def parse_lines(lines: DataFrame, schema: T.StructType, line: str = "value") ->
 
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Every line of every file below ``path``; a missing path raises when the plan is built."""
+    """Every line of every file below ``path``; no file at all is an error."""
+    if not storage.has_input(spark, path):
+        raise FileNotFoundError(f"no raw files at {path}")
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("source_file")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from roadbook import schemas
 from roadbook.operators.conform import align
 from roadbook.session import scratch_path
+from roadbook.sources import storage
 
 
 def table_path(root: str, name: str) -> str:
@@ -29,7 +30,7 @@ def write_staged(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A warehouse table; an empty frame of the right shape while it does not exist yet."""
     path, schema = table_path(root, name), schemas.TABLES[name]
-    if not _exists(spark, path):
+    if not storage.exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
@@ -75,8 +76,7 @@ def days_of(df: DataFrame, partition: str = "date_key") -> list[dt.date]:
 def drop_days(spark: SparkSession, path: str, days: list[dt.date], partition: str = "date_key") -> None:
     """Remove day partitions that an upsert has emptied; overwriting cannot express that."""
     for day in days:
-        files, target = _hadoop_path(spark, f"{path}/{partition}={day.isoformat()}")
-        files.delete(target, True)
+        storage.delete(spark, f"{path}/{partition}={day.isoformat()}")
 
 
 def replace_table(df: DataFrame, path: str, version: int | None = None) -> None:
@@ -104,23 +104,9 @@ def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
-    files, folder = _hadoop_path(spark, path)
-    if not files.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    names = storage.children(spark, path)
     numbers = sorted(int(n.split("=")[1]) for n in names if n.startswith("version="))
-    return [n for n in numbers if _exists(spark, f"{path}/version={n}/_SUCCESS")]
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    files, target = _hadoop_path(spark, path)
-    return files.exists(target)
-
-
-def _hadoop_path(spark: SparkSession, path: str):
-    """File system and path handle of the storage the session is configured for."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+    return [n for n in numbers if storage.exists(spark, f"{path}/version={n}/_SUCCESS")]
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -107,8 +107,10 @@ def test_raw_round_trip_keeps_lineage_and_nulls(spark, tmp_path):
     assert "alerts" in rows[0].present_keys
     write_raw(conform.align(df, schemas.RAW_HEALTH), path, overwrite=True)
     assert read_raw(spark, path, schemas.RAW_HEALTH).count() == 1
-    with pytest.raises(PySparkException):
-        read_raw(spark, str(tmp_path / "nothing"), schemas.RAW_HEALTH).collect()
+    (tmp_path / "empty").mkdir()
+    for missing in ("nothing", "empty", "*.jsonl"):
+        with pytest.raises(FileNotFoundError):
+            read_raw(spark, str(tmp_path / missing), schemas.RAW_HEALTH)
 
 
 def test_to_fact_uses_utc(spark):
