@@ -32,6 +32,8 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            # no Python stack capture per column expression
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "6g"),
         },
     )

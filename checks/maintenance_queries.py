@@ -67,6 +67,17 @@ def json_roundtrip(f: Fleet) -> DataFrame:
     return facts.select("event_id", "driver_id", "event_timestamp", "fatigue_index", "alerts", "date_key")
 
 
+def staged_roundtrip(f: Fleet) -> DataFrame:
+    """Staged telemetry replaced by a second, complete write."""
+    path = scratch_path(f.spark, "staged")
+    staged = conform.align(
+        f.telemetry.withColumn("timestamp", F.col("event_timestamp").cast("string")), schemas.STAGED_VEHICLES
+    )
+    tables.write_staged(staged.where(F.col("speeding")), path)
+    tables.write_staged(staged, path)
+    return tables.read_staged(f.spark, path, schemas.STAGED_VEHICLES).drop("timestamp")
+
+
 def fact_roundtrip(f: Fleet) -> DataFrame:
     """Date-partitioned fact: a full write, then one rewritten range of days."""
     path = scratch_path(f.spark, "fact")
@@ -175,6 +186,11 @@ QUERIES = {
         sql("""SELECT event_id, driver_id, event_timestamp, round(fatigue_index, 6) AS fatigue_index,
                       CASE WHEN alerts_json = '[]' THEN CAST([] AS VARCHAR[]) ELSE ['fatigue_risk'] END AS alerts, date_key FROM shf""", "shf"),
     ),
+    "staged_roundtrip": (
+        staged_roundtrip,
+        sql("""SELECT event_id, vehicle_id, driver_id, round(lat, 6) AS lat, round(lon, 6) AS lon, round(speed_kph, 6) AS speed_kph,
+                      fuel_percent, round(engine_temp_c, 6) AS engine_temp_c, round(battery_v, 6) AS battery_v, speeding FROM tel""", "tel"),
+    ),
     "fact_roundtrip": (
         fact_roundtrip,
         sql("""SELECT event_id, driver_id, date_key, round(total_revenue, 6) AS total_revenue,

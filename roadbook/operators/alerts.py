@@ -223,16 +223,39 @@ def alert_timeline(alerts: DataFrame) -> DataFrame:
 
 # per-sample signals ------------------------------------------------------------------------
 
-def harsh_brake(tel: DataFrame, slot: str = "hour", carried: DataFrame | None = None) -> DataFrame:
+def _with_slots(tel: DataFrame, split_above: int) -> DataFrame:
+    """Cut every vehicle's samples into time slots: hours, and seconds where an hour is crowded.
+
+    A crowded hour has more than ``split_above`` samples, so there can be at most
+    rows / split_above of them: the broadcast side is bounded by construction, and empty for
+    a fleet that samples at a normal rate. Counting reads two columns and pre-aggregates.
+    """
+    hourly = tel.withColumn("hour", F.date_trunc("hour", "event_timestamp"))
+    crowded = (
+        hourly.groupBy("vehicle_id", "hour").agg(F.count("*").alias("n"))
+        .where(F.col("n") > split_above)
+        .select("vehicle_id", "hour", F.lit(True).alias("crowded"))
+    )
+    slot = F.when(F.col("crowded"), F.date_trunc("second", "event_timestamp")).otherwise(F.col("hour"))
+    return (
+        hourly.join(F.broadcast(crowded), ["vehicle_id", "hour"], "left")
+        .withColumn("slot", slot)
+        .drop("hour", "crowded")
+    )
+
+
+def harsh_brake(
+    tel: DataFrame, carried: DataFrame | None = None, split_above: int = 1_000_000
+) -> DataFrame:
     """Flag samples whose speed fell by more than max(8, 25 %) against the previous sample.
 
-    A vehicle may own a large share of all rows, so the sequence is cut into time slots: the
+    A vehicle may own a large share of all rows, so its sequence is cut into time slots: the
     previous sample is looked up inside a slot, and only the first sample of a slot takes the
     last one of the vehicle's preceding slot, from a small table with one row per slot.
     ``carried`` (vehicle_id, event_timestamp, event_id, speed_kph) holds samples seen before
     this frame, for use across micro-batches.
     """
-    slotted = tel.withColumn("slot", F.date_trunc(slot, "event_timestamp"))
+    slotted = _with_slots(tel, split_above)
     sample_order = ["event_timestamp", "event_id"]
     in_slot = Window.partitionBy("vehicle_id", "slot").orderBy(*sample_order)
     sequenced = slotted.withColumns(

@@ -151,8 +151,7 @@ def stage_finance_daily(df: DataFrame) -> DataFrame:
 
 def explode_trips(df: DataFrame) -> DataFrame:
     """One row per nested trip, parsed like a record of its own; no list means no rows."""
-    texts = F.from_json(F.get_json_object("value", "$.trips"), "array<string>")
-    trips = df.select(F.col("event_id").alias("daily_event_id"), F.explode(texts).alias("value"))
+    trips = df.select(F.col("event_id").alias("daily_event_id"), F.explode("trips").alias("value"))
     return parse_lines(trips, schemas.RAW_TRIP)
 
 

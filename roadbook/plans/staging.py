@@ -34,9 +34,14 @@ def stage(spark: SparkSession, domain: str, lake: str, out: str, mode: str = "st
 
 def _write(checked: DataFrame, columns: list[Column], path: str, mode: str) -> None:
     rows = staging.enforce(checked, "strict") if mode == "strict" else checked
-    rows.select(*staging.tagged_columns(columns)).write.mode("overwrite").partitionBy(
-        "quarantined"
-    ).parquet(path)
+    # static: a run without bad records also clears the quarantine of the run before
+    (
+        rows.select(*staging.tagged_columns(columns))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("quarantined")
+        .parquet(path)
+    )
 
 
 def read_good(spark: SparkSession, out: str, domain: str) -> DataFrame:

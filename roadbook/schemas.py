@@ -37,10 +37,11 @@ RAW_HEALTH = _table(
     alerts="strings",
 )
 
+# trips stay JSON text here, one string per trip: each is parsed and checked as a record of its own
 RAW_FINANCE = _table(
     event_id="string", driver_id="string", date="string", total_revenue="double",
     total_cost="double", net_profit="double", fraud_alerts_count="int",
-    trading_position="string", end_of_day_balance="double",
+    trading_position="string", end_of_day_balance="double", trips="strings",
 )
 
 RAW_TRIP = _table(
@@ -62,7 +63,7 @@ STAGED_VEHICLES = _table(
 
 STAGED_HEALTH = RAW_HEALTH
 
-STAGED_FINANCE = RAW_FINANCE
+STAGED_FINANCE = T.StructType([f for f in RAW_FINANCE if f.name != "trips"])
 
 STAGED_TRIPS = _table(
     trip_event_id="string", daily_event_id="string", driver_id="string", timestamp="string",

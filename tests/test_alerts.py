@@ -98,7 +98,8 @@ def brute_force(rows):
     return out
 
 
-def test_harsh_brake_matches_brute_force_on_a_hot_vehicle(spark):
+@pytest.mark.parametrize("split_above", [1_000_000, 5])
+def test_harsh_brake_matches_brute_force_on_a_hot_vehicle(spark, split_above):
     """One vehicle owns most samples; gaps, slot borders, equal times and null speeds occur."""
     rnd = random.Random(7)
     rows = []
@@ -106,7 +107,7 @@ def test_harsh_brake_matches_brute_force_on_a_hot_vehicle(spark):
         vehicle = "HOT" if rnd.random() < 0.7 else f"v{rnd.randrange(5)}"
         ts = START + dt.timedelta(minutes=rnd.choice([0, 1, 59, 60, 61, 119]) + 60 * rnd.randrange(40))
         rows.append((f"e{i:05d}", vehicle, ts, None if rnd.random() < 0.05 else float(rnd.randrange(0, 120))))
-    got = {r.event_id: r.harsh_brake for r in alerts.harsh_brake(samples(spark, rows)).collect()}
+    got = {r.event_id: r.harsh_brake for r in alerts.harsh_brake(samples(spark, rows), split_above=split_above).collect()}
     assert got == brute_force(rows)
 
 

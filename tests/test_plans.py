@@ -101,6 +101,9 @@ def test_strict_stops_quarantine_goes_on(spark, tmp_path):
     assert staging.read_good(spark, out, "vehicles").count() == 3
     bad = {r.raw: r.violations for r in staging.read_quarantined(spark, out, "vehicles").collect()}
     assert bad["{broken"] and ["lat_out_of_range"] in bad.values()
+    write(lake / "vehicles" / "a.jsonl", good)
+    staging.stage(spark, "vehicles", str(lake), out, "quarantine")
+    assert staging.read_quarantined(spark, out, "vehicles").count() == 0
 
 
 def samples(spark, *rows):
