@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadbook.operators import alerts, conform, quality
+from roadbook.operators import alerts, conform, marts, quality
 from roadbook.plans import staging, warehouse
 from roadbook.sources import tables
 from roadbook.sources.reference import default_thresholds
@@ -36,10 +36,11 @@ def run_day(
         touched[domain] = warehouse.load_fact(spark, root, fact, rows)
     warehouse.seed_thresholds(spark, root, default_thresholds(spark))
     warehouse.build_dimensions(spark, root, drivers, vehicles)
-    driver_days = warehouse.marts.changed_driver_days(*touched.values())
-    vehicle_days = warehouse.marts.changed_vehicle_days(touched["vehicles"])
+    driver_days = marts.changed_driver_days(*touched.values())
+    vehicle_days = marts.changed_vehicle_days(touched["vehicles"])
     warehouse.refresh_driver_mart(spark, root, policy, driver_days)
     warehouse.refresh_vehicle_mart(spark, root, policy, vehicle_days)
+    warehouse.settle(spark, root)
     return run_alerts(spark, root, alert_time)
 
 

@@ -7,14 +7,16 @@ Only the day partitions that change are read and written. Days are collected to
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from roadbook import schemas
 from roadbook.functions.expressions import EPOCH_START
 from roadbook.operators import dimensions, marts, upserts
 from roadbook.operators.conform import align, drop_null_keys
-from roadbook.sources import tables
+from roadbook.sources import storage, tables
 
 # identity columns a stored fact row must have
 IDENTITY = {
@@ -27,7 +29,10 @@ IDENTITY = {
 def load_fact(
     spark: SparkSession, root: str, name: str, incoming: DataFrame, on_conflict: str = "replace"
 ) -> DataFrame:
-    """Load a batch into a fact table and return the entity-days it touched.
+    """Load a batch into a fact table and return the entity-days whose marts are out of date.
+
+    These keys are noted on storage before the fact changes and stay noted until
+    :func:`settle`, so a run that dies between load and refresh loses none of them.
 
     ``replace``: a known event id is replaced, even when its day has changed; the days of the
     replaced rows are rewritten. ``ignore``: known ids are skipped and new rows are appended,
@@ -42,8 +47,9 @@ def load_fact(
 
     if on_conflict == "ignore":
         added = tables.materialize(upserts.new_rows(stored, keyed, ["event_id"], order), name)
+        _note(root, name, added.select(*entities))
         tables.append_fact(added, path)
-        return added.select(*entities).distinct()
+        return pending(spark, root, name)
     if on_conflict != "replace":
         raise ValueError(f"unknown conflict rule {on_conflict!r}")
 
@@ -51,11 +57,32 @@ def load_fact(
     replaced = tables.materialize(
         stored.join(fresh.select("event_id"), "event_id", "left_semi").select(*entities), f"{name}-old"
     )
+    _note(root, name, fresh.select(*entities).unionByName(replaced))
     days = sorted({*tables.days_of(fresh), *tables.days_of(replaced)})
     kept = upserts.delete_keys(_days(stored, days), fresh, ["event_id"])
     written = tables.write_fact(kept.unionByName(fresh), path)
     tables.drop_days(spark, path, [d for d in days if d not in written])
-    return fresh.select(*entities).unionByName(replaced).distinct()
+    return pending(spark, root, name)
+
+
+def _pending_path(root: str, name: str = "") -> str:
+    return tables.table_path(tables.table_path(root, "pending_keys"), name).rstrip("/")
+
+
+def _note(root: str, name: str, keys: DataFrame) -> None:
+    keys.distinct().write.mode("append").parquet(_pending_path(root, name))
+
+
+def pending(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Entity-days of one fact that the marts have not caught up with."""
+    fact = schemas.TABLES[name]
+    keys = T.StructType([f for f in fact if f.name in ("vehicle_id", "driver_id", "date_key")])
+    return spark.read.schema(keys).parquet(_pending_path(root, name)).distinct()
+
+
+def settle(spark: SparkSession, root: str) -> None:
+    """Forget the noted keys; to be called once the marts are refreshed."""
+    storage.delete(spark, _pending_path(root))
 
 
 def refresh_driver_mart(
@@ -81,7 +108,10 @@ def refresh_vehicle_mart(
     )
 
 
-def _refresh(spark, root, name, keys, policy, touched, compute) -> None:
+def _refresh(
+    spark: SparkSession, root: str, name: str, keys: list[str], policy: str,
+    touched: DataFrame | None, compute: Callable[..., DataFrame],
+) -> None:
     mart, path = tables.read_table(spark, root, name), tables.table_path(root, name)
     if policy == "high_watermark":
         mark = mart.agg(F.max("date_key")).first()[0] or EPOCH_START
@@ -102,7 +132,7 @@ def _days(df: DataFrame, days: list[dt.date]) -> DataFrame:
     return df.where(F.col("date_key").isin(days))
 
 
-def _is_array(schema, column: str) -> bool:
+def _is_array(schema: T.StructType, column: str) -> bool:
     return schema[column].dataType.typeName() == "array"
 
 

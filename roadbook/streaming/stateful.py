@@ -87,5 +87,6 @@ def stream_refresh(root: str, fact: str = "fact_vehicle_telemetry") -> BatchJob:
         warehouse.refresh_driver_mart(
             spark, root, "touched_keys", marts.changed_driver_days(touched)
         )
+        warehouse.settle(spark, root)
 
     return on_batch

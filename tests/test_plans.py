@@ -145,6 +145,22 @@ def test_stream_refresh_in_any_day_order(spark, tmp_path):
     assert rows == {"2026-02-08": (2, 40.0), "2026-02-01": (1, 30.0)}
 
 
+def test_stream_refresh_survives_a_crash_before_the_mart(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    from roadbook.sources.reference import default_thresholds
+
+    warehouse.seed_thresholds(spark, root, default_thresholds(spark))
+    job, batch = stateful.stream_refresh(root), samples(spark, ("a", "v", 1, 60.0))
+    with monkeypatch.context() as broken:
+        broken.setattr(warehouse, "refresh_vehicle_mart", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            job(batch, 0)
+    assert tables.read_table(spark, root, "fact_vehicle_daily_metrics").count() == 0
+    job(batch, 0)
+    assert tables.read_table(spark, root, "fact_vehicle_daily_metrics").count() == 1
+    assert tables.read_table(spark, root, "fact_vehicle_telemetry").count() == 1
+
+
 # plan shapes -------------------------------------------------------------------------------
 
 def plan(df):
