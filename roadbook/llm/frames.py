@@ -66,7 +66,7 @@ def append_columns(
     keep = [c for c in df.columns if c.lower() not in names]
     frame = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{column}`").cast(kind).alias("__value"))
     schema = T.StructType([*frame.schema.fields[:-1], *added.fields])
-    arrow = to_arrow_schema(schema, timezone="UTC")
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
