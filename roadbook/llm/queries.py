@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadbook.llm import bpe, token_counts
-from roadbook.llm.frames import table
+from roadbook.llm import bpe, exact_dedup, langid, quality, simhash, token_counts
+from roadbook.llm.frames import held_out, table
 
 #: Texts of more tokens than this are marked.
 TOKEN_LIMIT = 4096
@@ -30,6 +30,32 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted")
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history, incoming = exact_dedup.split_at(table(spark, sf_dir, "documents"))
+    return exact_dedup.find_duplicates(history, incoming).select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return known.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -38,10 +64,26 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_codec": op2_bpe_codec,
+    "op3_quality": op3_quality,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op5_simhash": op5_simhash,
+    "op6_language": op6_language,
     "op7_token_counts": op7_token_counts,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_exact_dedup": r"""
+        WITH plain AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+        )
+        SELECT doc_id,
+               min(doc_id) OVER (PARTITION BY t) AS keep_id,
+               count(*) OVER (PARTITION BY t) AS group_size,
+               row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept,
+               sha256(t) AS text_sha256
+        FROM plain
+    """,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
