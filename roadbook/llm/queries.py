@@ -7,27 +7,32 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadbook.llm import bpe, exact_dedup, langid, quality, simhash, token_counts
-from roadbook.llm.frames import held_out, table
+from roadbook.llm import bpe, decontaminate, exact_dedup, html, langid, licenses, quality, simhash, token_counts, warc
+from roadbook.llm.frames import held_out, table, written
+from roadbook.session import scratch_path
 
 #: Texts of more tokens than this are marked.
 TOKEN_LIMIT = 4096
 
 
-def bpe_digests(docs: DataFrame, text_column: str = "text") -> DataFrame:
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def bpe_digests(docs: DataFrame, path: str, keep: list[str] = ()) -> DataFrame:
     """Per row: id, token count, and digests of the tokens and of the text decoded from them."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.round_trip(docs.select("doc_id", text_column), path, text_column)
+    coded = bpe.round_trip(docs.select("doc_id", "text"), path, "text")
     return coded.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded_text", 256).alias("decoded_sha256"),
+        *keep,
     )
 
 
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_digests(table(spark, sf_dir, "documents"))
+    return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,13 +67,45 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    records, _ = written(warc.read_records(spark, path, with_payload=False), "records")
+    captures, _ = written(
+        warc.assemble(records).select(
+            "record_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "copies",
+            F.try_element_at("metadata.fields", F.lit("page_id")).try_cast("long").alias("page_id"),
+        ),
+        "captures",
+    )
+    stored = captures.select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("stored_page"))
+    return captures.join(stored, "refers_to", "left").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("stored_page").alias("refers_to"),
+        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
+    ).drop("copy")
+
+
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages).select("page_id", "url", F.col("main_text").alias("text"), "n_chars")
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op2_bpe_codec": op2_bpe_codec,
     "op3_quality": op3_quality,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash": op5_simhash,
     "op6_language": op6_language,
     "op7_token_counts": op7_token_counts,
+    "op8_warc": op8_warc,
+    "op9_main_text": op9_main_text,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 SQL: dict[str, str] = {
@@ -83,6 +120,17 @@ SQL: dict[str, str] = {
                sha256(t) AS text_sha256
         FROM plain
     """,
+    "op8_warc": """
+        WITH digests AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+        ), stored AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS newest FROM digests
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN newest END AS refers_to
+        FROM stored
+    """,
 }
 
 
