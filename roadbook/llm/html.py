@@ -50,8 +50,9 @@ DROPPED_NAMES = frozenset(
 KEPT_NAMES = frozenset("html body article main".split())
 #: Points of a block: for being there, per comma, and per hundred characters up to a limit.
 BASE_POINTS, LENGTH_UNIT, LENGTH_POINTS = 1.0, 100, 3.0
-#: Share of points that the second element above gets; share of the best score that a sibling needs.
-SECOND_SHARE, SIBLING_SHARE = 0.5, 0.2
+#: Share of points that the second element above gets; share of the best score that a sibling needs; share of
+#: all points that an element marked as article or main needs.
+SECOND_SHARE, SIBLING_SHARE, ARTICLE_SHARE = 0.5, 0.2, 1 / 3
 SCORED = frozenset("p pre td blockquote".split())
 
 _TOKEN = re.compile(
@@ -65,10 +66,10 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "dropped", "points", "link")
+    __slots__ = ("tag", "parent", "dropped", "points", "total", "link")
 
     def __init__(self, tag: str, parent: Element | None, dropped: bool):
-        self.tag, self.parent, self.dropped, self.points = tag, parent, dropped, 0.0
+        self.tag, self.parent, self.dropped, self.points, self.total = tag, parent, dropped, 0.0, 0.0
         self.link = tag == "a" or (parent is not None and parent.link)
 
 
@@ -210,7 +211,7 @@ def main_text(source: str | None) -> str:
     """The article of a page, its blocks in page order with an empty line between."""
     if not source:
         return ""
-    page = _parse(source)
+    page, total = _parse(source), 0.0
     for block in page.blocks:
         element = block.element
         direct = element.tag not in SCORED
@@ -218,6 +219,9 @@ def main_text(source: str | None) -> str:
             continue
         share = 1 - min(1.0, block.linked / len(block.text))
         points = (BASE_POINTS + block.text.count(",") + min(len(block.text) / LENGTH_UNIT, LENGTH_POINTS)) * share
+        total += points
+        if named := _within(element, ("article", "main")):
+            named.total += points
         near = element if direct else element.parent
         if near is not None:
             near.points += points
@@ -227,6 +231,9 @@ def main_text(source: str | None) -> str:
     if not best.points:
         best = next((e for e in page.elements if e.tag == "article" and not e.dropped), page.root)
     holder = _within(best, ("article",)) or _within(best, ("main",))
+    if holder is None:  # an element that is marked as the article needs a share of all points only
+        marked = max(page.elements, key=lambda e: e.total)
+        holder = marked if marked.total > 0 and marked.total >= ARTICLE_SHARE * total else None
     kept = {id(holder or best)}
     if holder is None and best.parent is not None:
         limit = SIBLING_SHARE * best.points
