@@ -68,12 +68,13 @@ def alert_thresholds_generic(f: Fleet) -> DataFrame:
 
 
 def write_alerts(f: Fleet) -> DataFrame:
-    """Two evaluations appended to the alert table and read back."""
+    """Two evaluations stored in the alert table, one of them twice, and read back."""
     root = scratch_path(f.spark, "alerts")
     path = tables.table_path(root, "alerts")
     fraud = alerts.alert_fraud(f.driver_mart).withColumn("alert_name", F.lit("fraud"))
     tables.write_alerts(fraud, path, ALERT_TIME)
     tables.write_alerts(fraud, path, ALERT_TIME + dt.timedelta(days=1))
+    tables.write_alerts(fraud, path, ALERT_TIME)
     return tables.read_table(f.spark, root, "alerts")
 
 

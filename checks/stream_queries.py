@@ -87,7 +87,8 @@ def stream_harsh_brake(f: Fleet) -> DataFrame:
         _drop(f.telemetry.where(part), path, overwrite=False)
         job = stateful.stream_harsh_brake(out, state)
         ingest.run_available(_stream(f, path).writeStream.foreachBatch(job), checkpoint)
-    return f.spark.read.parquet(out).select("event_id", "vehicle_id", "prev_speed_kph", "harsh_brake")
+    flags = "event_id string, vehicle_id string, prev_speed_kph double, harsh_brake boolean"
+    return tables.read_versions(f.spark, out, flags)
 
 
 def stream_replay_buffer(f: Fleet) -> DataFrame:

@@ -223,39 +223,21 @@ def alert_timeline(alerts: DataFrame) -> DataFrame:
 
 # per-sample signals ------------------------------------------------------------------------
 
-def _with_slots(tel: DataFrame, split_above: int) -> DataFrame:
-    """Cut every vehicle's samples into time slots: hours, and seconds where an hour is crowded.
+#: Length of the time slots that a vehicle's samples are cut into.
+SLOT = "minute"
 
-    A crowded hour has more than ``split_above`` samples, so there can be at most
-    rows / split_above of them: the broadcast side is bounded by construction, and empty for
-    a fleet that samples at a normal rate. Counting reads two columns and pre-aggregates.
-    """
-    hourly = tel.withColumn("hour", F.date_trunc("hour", "event_timestamp"))
-    crowded = (
-        hourly.groupBy("vehicle_id", "hour").agg(F.count("*").alias("n"))
-        .where(F.col("n") > split_above)
-        .select("vehicle_id", "hour", F.lit(True).alias("crowded"))
-    )
-    slot = F.when(F.col("crowded"), F.date_trunc("second", "event_timestamp")).otherwise(F.col("hour"))
-    return (
-        hourly.join(F.broadcast(crowded), ["vehicle_id", "hour"], "left")
-        .withColumn("slot", slot)
-        .drop("hour", "crowded")
-    )
 
-
-def harsh_brake(
-    tel: DataFrame, carried: DataFrame | None = None, split_above: int = 1_000_000
-) -> DataFrame:
+def harsh_brake(tel: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     """Flag samples whose speed fell by more than max(8, 25 %) against the previous sample.
 
-    A vehicle may own a large share of all rows, so its sequence is cut into time slots: the
-    previous sample is looked up inside a slot, and only the first sample of a slot takes the
-    last one of the vehicle's preceding slot, from a small table with one row per slot.
+    A vehicle may own a large share of all rows, so its sequence is cut into slots of a minute: the
+    previous sample is looked up inside a slot, and only the first sample of a slot takes the last
+    one of the slot before. Slots hand over within a day, days within a vehicle, so no group holds
+    more than the samples of a minute, the slots of a day or the days of the calendar.
     ``carried`` (vehicle_id, event_timestamp, event_id, speed_kph) holds samples seen before
     this frame, for use across micro-batches.
     """
-    slotted = _with_slots(tel, split_above)
+    slotted = tel.withColumn("slot", F.date_trunc(SLOT, "event_timestamp"))
     sample_order = ["event_timestamp", "event_id"]
     in_slot = Window.partitionBy("vehicle_id", "slot").orderBy(*sample_order)
     sequenced = slotted.withColumns(
@@ -265,17 +247,22 @@ def harsh_brake(
         }
     ).withColumn("before", F.lag("sample").over(in_slot))
 
-    ends = slotted.select("vehicle_id", "slot", "speed_kph", *sample_order)
+    last = F.max_by(F.struct("speed_kph"), F.struct(*sample_order)).alias("last_sample")
+    ends = slotted.where(F.col("slot").isNotNull()).groupBy("vehicle_id", "slot").agg(last)
+    by_slot = Window.partitionBy("vehicle_id", "day").orderBy("slot")
+    within = ends.withColumn("day", F.to_date("slot")).withColumn("handed", F.lag("last_sample").over(by_slot))
+    days = within.groupBy("vehicle_id", "day").agg(F.max_by("last_sample", "slot").alias("last_sample"))
     if carried is not None:
-        # a null slot sorts first, so the carried sample precedes every slot of its vehicle
-        ends = ends.unionByName(carried.withColumn("slot", F.lit(None).cast("timestamp")))
-    by_slot = Window.partitionBy("vehicle_id").orderBy("slot")
-    handover = (
-        ends.groupBy("vehicle_id", "slot")
-        .agg(F.max_by(F.struct("speed_kph"), F.struct(*sample_order)).alias("last_sample"))
-        .withColumn("handed", F.lag("last_sample").over(by_slot))
-        .where(F.col("slot").isNotNull())
-        .select("vehicle_id", "slot", "handed")
+        # a null day sorts first, so the carried sample precedes every day of its vehicle
+        seen = carried.groupBy("vehicle_id").agg(last)
+        days = days.unionByName(seen.withColumn("day", F.lit(None).cast("date")))
+    sequence = days.groupBy("vehicle_id").agg(F.sort_array(F.collect_list(F.struct("day", "last_sample"))).alias("days"))
+    overnight = sequence.select("vehicle_id", "days", F.posexplode("days").alias("at", "own")).select(
+        "vehicle_id", F.col("own.day").alias("day"),
+        F.when(F.col("at") > 0, F.get("days", F.col("at") - 1)["last_sample"]).alias("overnight"),
+    )
+    handover = within.join(overnight.where(F.col("day").isNotNull()), ["vehicle_id", "day"], "left").select(
+        "vehicle_id", "slot", F.coalesce("handed", "overnight").alias("handed")
     )
     previous = F.when(F.col("opens_slot"), F.col("handed.speed_kph")).otherwise(F.col("before.speed_kph"))
     drop = F.col("prev_speed_kph") - F.col("speed_kph")

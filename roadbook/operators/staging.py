@@ -30,9 +30,10 @@ def _with_violations(df: DataFrame, required: list[str], **rules: Column) -> Dat
     absent = F.transform(
         missing_keys("present_keys", required), lambda k: F.concat(F.lit("missing_"), k)
     )
+    wrong = F.transform("bad_types", lambda k: F.concat(F.lit("bad_type_"), k))
     # a rule that evaluates to null is not broken
     broken = F.array_compact(F.array(*[F.when(bad, F.lit(code)) for code, bad in rules.items()]))
-    return df.withColumn("violations", F.concat(absent, broken))
+    return df.withColumn("violations", F.concat(absent, F.coalesce(wrong, F.array().cast("array<string>")), broken))
 
 
 def _outside(name: str, low: float, high: float) -> Column:
@@ -41,7 +42,17 @@ def _outside(name: str, low: float, high: float) -> Column:
 
 def _carried_null(name: str) -> Column:
     """Key present with an explicit null, where a number is needed."""
-    return F.col(name).isNull() & F.array_contains("present_keys", name)
+    return F.col(name).isNull() & F.array_contains("present_keys", name) & ~F.array_contains("bad_types", name)
+
+
+def _identity(*names: str) -> dict[str, Column]:
+    """Identity that is explicitly null: such a row could not be stored."""
+    return {f"null_{n}": F.col(n).isNull() & F.array_contains("present_keys", n) for n in names}
+
+
+def _bad_time(name: str, kind: str = "timestamp") -> Column:
+    """A text that is no time; it would stop every later load."""
+    return F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
 
 
 def vehicle_violations(df: DataFrame) -> DataFrame:
@@ -52,6 +63,8 @@ def vehicle_violations(df: DataFrame) -> DataFrame:
         lon_out_of_range=_outside("lon", -180, 180) | _carried_null("lon"),
         speed_negative=F.col("speed_kph") < 0,
         fuel_out_of_range=_outside("fuel_percent", 0, 100),
+        bad_time=_bad_time("timestamp"),
+        **_identity("event_id", "vehicle_id", "timestamp"),
     )
 
 
@@ -62,6 +75,8 @@ def health_violations(df: DataFrame) -> DataFrame:
         shift_hours_negative=F.col("shift_hours") < 0,
         continuous_hours_negative=F.col("continuous_driving_hours") < 0,
         fatigue_out_of_range=_outside("fatigue_index", 0, 1),
+        bad_time=_bad_time("timestamp"),
+        **_identity("event_id", "driver_id", "timestamp"),
     )
 
 
@@ -71,6 +86,8 @@ def finance_violations(df: DataFrame) -> DataFrame:
         FINANCE_KEYS,
         revenue_negative=(F.col("total_revenue") < 0) | _carried_null("total_revenue"),
         cost_negative=(F.col("total_cost") < 0) | _carried_null("total_cost"),
+        bad_time=_bad_time("date", "date"),
+        **_identity("event_id", "driver_id", "date"),
     )
 
 
@@ -80,6 +97,7 @@ def trip_violations(df: DataFrame) -> DataFrame:
         TRIP_KEYS,
         revenue_negative=(F.col("revenue") < 0) | _carried_null("revenue"),
         cost_negative=(F.col("total_cost") < 0) | _carried_null("total_cost"),
+        bad_time=_bad_time("timestamp"),
     )
 
 
@@ -125,7 +143,7 @@ def health_columns() -> list[Column]:
 
 
 def finance_columns() -> list[Column]:
-    count = _or_default("fraud_alerts_count", F.lit(0))
+    count = _or_default("fraud_alerts_count", F.lit(0.0))
     return _columns(schemas.STAGED_FINANCE, fraud_alerts_count=count)
 
 
@@ -151,7 +169,8 @@ def stage_finance_daily(df: DataFrame) -> DataFrame:
 
 def explode_trips(df: DataFrame) -> DataFrame:
     """One row per nested trip, parsed like a record of its own; no list means no rows."""
-    trips = df.select(F.col("event_id").alias("daily_event_id"), F.explode("trips").alias("value"))
+    kept = [c for c in ("file_name",) if c in df.columns]
+    trips = df.select(F.col("event_id").alias("daily_event_id"), F.explode("trips").alias("value"), *kept)
     return parse_lines(trips, schemas.RAW_TRIP)
 
 

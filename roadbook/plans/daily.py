@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadbook.operators import alerts, conform, marts, quality
+from roadbook.operators import alerts, conform, quality
 from roadbook.plans import staging, warehouse
 from roadbook.sources import tables
 from roadbook.sources.reference import default_thresholds
@@ -23,29 +23,31 @@ def run_day(
     spark: SparkSession, lake: str, staged: str, root: str, drivers: DataFrame, vehicles: DataFrame,
     alert_time: dt.datetime, mode: str = "strict", policy: str = "touched_keys",
 ) -> DataFrame:
-    """Run everything once and return the alerts of the newest day.
+    """Bring everything up to date and return the alerts of the newest day.
+
+    Files are staged and loaded once, unless they change; what an earlier run has left undone is
+    taken up. Rows that are stored as they are touch no day, so an unchanged rerun rewrites nothing.
 
     ``drivers`` and ``vehicles`` are the master lists (id, status). Errors propagate: a bad
     record in strict mode or a failed write stops the run.
     """
     for domain in LOADS:
         staging.stage(spark, domain, lake, staged, mode)
-    touched = {}
     for domain, (fact, ts_col) in LOADS.items():
-        rows = conform.to_fact(staging.read_good(spark, staged, domain), ts_col)
-        touched[domain] = warehouse.load_fact(spark, root, fact, rows)
+        done = set(warehouse.loaded_files(spark, root, domain))
+        files = [f for f in staging.staged_files(spark, staged, domain) if f not in done]
+        if files:
+            rows = conform.to_fact(staging.read_good(spark, staged, domain, [f[0] for f in files]), ts_col)
+            warehouse.load_fact(spark, root, fact, rows)
+            warehouse.note_loaded(spark, root, domain, files)
     warehouse.seed_thresholds(spark, root, default_thresholds(spark))
     warehouse.build_dimensions(spark, root, drivers, vehicles)
-    driver_days = marts.changed_driver_days(*touched.values())
-    vehicle_days = marts.changed_vehicle_days(touched["vehicles"])
-    warehouse.refresh_driver_mart(spark, root, policy, driver_days)
-    warehouse.refresh_vehicle_mart(spark, root, policy, vehicle_days)
-    warehouse.settle(spark, root)
+    warehouse.refresh_marts(spark, root, policy)
     return run_alerts(spark, root, alert_time)
 
 
 def run_alerts(spark: SparkSession, root: str, alert_time: dt.datetime) -> DataFrame:
-    """Evaluate the scheduled alerts on the stored marts and append them to the alert table."""
+    """Evaluate the scheduled alerts on the stored marts and return the rows stored for this time."""
     found = alerts.all_alerts(
         tables.read_table(spark, root, "fact_driver_daily_metrics"),
         tables.read_table(spark, root, "fact_vehicle_daily_metrics"),
@@ -54,7 +56,8 @@ def run_alerts(spark: SparkSession, root: str, alert_time: dt.datetime) -> DataF
         alert_time,
     )
     tables.write_alerts(found, tables.table_path(root, "alerts"), alert_time)
-    return found
+    stored = tables.read_table(spark, root, "alerts")
+    return stored.where(F.col("alert_time") == F.lit(alert_time).cast("timestamp_ntz"))
 
 
 def run_checks(spark: SparkSession, root: str, as_of: dt.date) -> dict[str, DataFrame]:

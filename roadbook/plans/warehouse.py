@@ -7,7 +7,10 @@ Only the day partitions that change are read and written. Days are collected to
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -25,64 +28,167 @@ IDENTITY = {
     "fact_daily_finance": ["event_id", "driver_id", "date_key"],
 }
 
+MARTS = ["fact_driver_daily_metrics", "fact_vehicle_daily_metrics"]
+
 
 def load_fact(
     spark: SparkSession, root: str, name: str, incoming: DataFrame, on_conflict: str = "replace"
-) -> DataFrame:
-    """Load a batch into a fact table and return the entity-days whose marts are out of date.
+) -> None:
+    """Load a batch into a fact table and note the entity-days whose marts it puts out of date.
 
-    These keys are noted on storage before the fact changes and stay noted until
-    :func:`settle`, so a run that dies between load and refresh loses none of them.
+    The keys of a load are noted in a folder of its own before the fact changes, and stay noted
+    until :func:`refresh_marts` has dealt with them. A run that dies in between loses none.
 
-    ``replace``: a known event id is replaced, even when its day has changed; the days of the
-    replaced rows are rewritten. ``ignore``: known ids are skipped and new rows are appended,
-    so nothing stored is rewritten and a repeated batch adds nothing.
+    ``replace``: a known event id is replaced where its row differs, even when its day has
+    changed; only the days of such rows are rewritten, and a row stored before as it is changes
+    nothing. ``ignore``: known ids are skipped. New rows are appended in either case.
     """
     path, schema = tables.table_path(root, name), schemas.TABLES[name]
+    recover_swaps(spark, root, name)
     keyed = drop_null_keys(align(incoming, schema), IDENTITY[name])
     # events have no natural order inside a batch: all columns make the choice reproducible
-    order = [c for c in schema.names if not _is_array(schema, c)]
-    entities = [c for c in ("vehicle_id", "driver_id", "date_key") if c in schema.names]
+    order = [F.to_json(c) if _is_array(schema, c) else c for c in schema.names]
+    entities = _entities(schema)
     stored = tables.read_table(spark, root, name)
 
     if on_conflict == "ignore":
         added = tables.materialize(upserts.new_rows(stored, keyed, ["event_id"], order), name)
         _note(root, name, added.select(*entities))
         tables.append_fact(added, path)
-        return pending(spark, root, name)
+        return
     if on_conflict != "replace":
         raise ValueError(f"unknown conflict rule {on_conflict!r}")
 
     fresh = tables.materialize(upserts.dedup(keyed, ["event_id"], order), name)
-    replaced = tables.materialize(
-        stored.join(fresh.select("event_id"), "event_id", "left_semi").select(*entities), f"{name}-old"
+    known = tables.materialize(stored.join(fresh.select("event_id"), "event_id", "left_semi"), f"{name}-known")
+    same = reduce(and_, [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in schema.names])
+    paired = fresh.alias("new").join(known.alias("old"), F.col("new.event_id") == F.col("old.event_id"), "left")
+    differing = tables.materialize(
+        paired.where(~same).select("new.*", F.col("old.event_id").isNotNull().alias("replaces")), f"{name}-new"
     )
-    _note(root, name, fresh.select(*entities).unionByName(replaced))
-    days = sorted({*tables.days_of(fresh), *tables.days_of(replaced)})
-    kept = upserts.delete_keys(_days(stored, days), fresh, ["event_id"])
-    written = tables.write_fact(kept.unionByName(fresh), path)
-    tables.drop_days(spark, path, [d for d in days if d not in written])
-    return pending(spark, root, name)
+    changed = differing.where("replaces").select("event_id")
+    replaced = known.join(changed, "event_id", "left_semi")
+    _note(root, name, differing.select(*entities).unionByName(replaced.select(*entities)))
+    days = tables.days_of(replaced)
+    if days:
+        # days that lose a row are rewritten with their new rows; the other new rows are appended
+        kept = upserts.delete_keys(_days(stored, days), changed, ["event_id"])
+        entering = _days(differing, days).select(*schema.names)
+        swap_days(spark, root, name, kept.unionByName(entering), days)
+    rest = differing.where(~F.col("date_key").isin(days)) if days else differing
+    tables.append_fact(rest.select(*schema.names), path)
+
+
+FILES = schemas._table(source="string", length="bigint", modified="bigint")
+
+
+def loaded_files(spark: SparkSession, root: str, domain: str) -> list[tuple[str, int, int]]:
+    """Staged files whose rows the fact holds."""
+    path = _loaded_path(root, domain)
+    if not storage.exists(spark, path):
+        return []
+    return [tuple(row) for row in spark.read.schema(FILES).parquet(path).collect()]
+
+
+def note_loaded(spark: SparkSession, root: str, domain: str, files: list[tuple[str, int, int]]) -> None:
+    spark.createDataFrame(files, FILES).write.mode("append").parquet(_loaded_path(root, domain))
+
+
+def _loaded_path(root: str, domain: str) -> str:
+    return tables.table_path(tables.table_path(root, "loaded_files"), domain)
+
+
+def swap_days(spark: SparkSession, root: str, name: str, rows: DataFrame, days: list[dt.date]) -> None:
+    """Replace day partitions by ``rows``, which may be read from these partitions.
+
+    Their next state is complete on storage before the table is touched, and is applied again by
+    :func:`recover_swaps` if a run dies while the days are moved.
+    """
+    path = tables.table_path(_swap_path(root, name), uuid.uuid4().hex)
+    rows.write.parquet(f"{path}/rows")
+    spark.createDataFrame([(d,) for d in days], "date_key date").write.parquet(f"{path}/days")
+    _apply_swap(spark, root, name, path)
+
+
+def recover_swaps(spark: SparkSession, root: str, name: str) -> None:
+    """Finish replacements that a run has begun; drop those it had not completed on storage."""
+    for child in storage.children(spark, _swap_path(root, name)):
+        path = tables.table_path(_swap_path(root, name), child)
+        if storage.exists(spark, f"{path}/days/_SUCCESS"):
+            _apply_swap(spark, root, name, path)
+        else:
+            storage.delete(spark, path)
+
 
+def _apply_swap(spark: SparkSession, root: str, name: str, path: str) -> None:
+    rows = spark.read.schema(schemas.TABLES[name]).parquet(f"{path}/rows")
+    days = tables.days_of(spark.read.schema("date_key date").parquet(f"{path}/days"))
+    target = tables.table_path(root, name)
+    written = tables.write_fact(rows, target)
+    tables.drop_days(spark, target, [d for d in days if d not in written])
+    storage.delete(spark, path)
 
-def _pending_path(root: str, name: str = "") -> str:
-    return tables.table_path(tables.table_path(root, "pending_keys"), name).rstrip("/")
+
+def _swap_path(root: str, name: str) -> str:
+    return tables.table_path(tables.table_path(root, "swaps"), name)
+
+
+def _entities(schema: T.StructType) -> list[str]:
+    return [c for c in ("vehicle_id", "driver_id", "date_key") if c in schema.names]
+
+
+def _pending_path(root: str, name: str, load: str = "") -> str:
+    return tables.table_path(tables.table_path(tables.table_path(root, "pending_keys"), name), load).rstrip("/")
 
 
 def _note(root: str, name: str, keys: DataFrame) -> None:
-    keys.distinct().write.mode("append").parquet(_pending_path(root, name))
+    keys.distinct().write.parquet(_pending_path(root, name, uuid.uuid4().hex))
 
 
-def pending(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Entity-days of one fact that the marts have not caught up with."""
+def pending_loads(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Loads of one fact whose keys the marts have not caught up with."""
+    loads = storage.children(spark, _pending_path(root, name))
+    return sorted(n for n in loads if storage.exists(spark, f"{_pending_path(root, name, n)}/_SUCCESS"))
+
+
+def pending(spark: SparkSession, root: str, name: str, loads: list[str] | None = None) -> DataFrame:
+    """Entity-days noted by these loads of a fact (all by default)."""
     fact = schemas.TABLES[name]
-    keys = T.StructType([f for f in fact if f.name in ("vehicle_id", "driver_id", "date_key")])
-    return spark.read.schema(keys).parquet(_pending_path(root, name)).distinct()
+    keys = T.StructType([fact[c] for c in _entities(fact)])
+    loads = pending_loads(spark, root, name) if loads is None else loads
+    if not loads:
+        return spark.createDataFrame([], keys)
+    return spark.read.schema(keys).parquet(*[_pending_path(root, name, n) for n in loads]).distinct()
+
 
+def settle(spark: SparkSession, root: str, loads: dict[str, list[str]]) -> None:
+    """Forget what exactly these loads have noted; loads that came meanwhile stay."""
+    for name, own in loads.items():
+        for load in own:
+            storage.delete(spark, _pending_path(root, name, load))
 
-def settle(spark: SparkSession, root: str) -> None:
-    """Forget the noted keys; to be called once the marts are refreshed."""
-    storage.delete(spark, _pending_path(root))
+
+def refresh_marts(spark: SparkSession, root: str, policy: str = "touched_keys") -> None:
+    """Bring both marts up to date with what all loads of all facts have noted so far.
+
+    ``touched_keys`` recomputes each noted day. ``high_watermark`` adds the days after the newest
+    stored one; keys of earlier days stay noted, as their marts remain out of date.
+    """
+    loads = {name: pending_loads(spark, root, name) for name in IDENTITY}
+    if policy == "high_watermark":
+        marks = {mart: _mark(spark, root, mart) for mart in MARTS}
+        refresh_driver_mart(spark, root, policy)
+        refresh_vehicle_mart(spark, root, policy)
+        newest = max(marks.values())
+        for name, own in loads.items():
+            if own:
+                _note(root, name, pending(spark, root, name, own).where(F.col("date_key") <= F.lit(newest)))
+        settle(spark, root, loads)
+        return
+    noted = {name: tables.materialize(pending(spark, root, name, own), "noted") for name, own in loads.items()}
+    refresh_driver_mart(spark, root, policy, marts.changed_driver_days(*noted.values()))
+    refresh_vehicle_mart(spark, root, policy, marts.changed_vehicle_days(noted["fact_vehicle_telemetry"]))
+    settle(spark, root, loads)
 
 
 def refresh_driver_mart(
@@ -92,8 +198,8 @@ def refresh_driver_mart(
     facts = [tables.read_table(spark, root, n) for n in IDENTITY]
     dim = tables.read_current(spark, root, "dim_driver")
     _refresh(
-        spark, root, "fact_driver_daily_metrics", marts.DRIVER_DAY, policy, touched,
-        lambda days, keys: marts.driver_daily_metrics(*(days(f) for f in facts), dim, keyset=keys),
+        spark, root, "fact_driver_daily_metrics", policy, touched,
+        lambda days: marts.driver_daily_metrics(*(days(f) for f in facts), dim),
     )
 
 
@@ -103,28 +209,34 @@ def refresh_vehicle_mart(
     tel = tables.read_table(spark, root, "fact_vehicle_telemetry")
     thresholds = tables.read_current(spark, root, "alert_thresholds")
     _refresh(
-        spark, root, "fact_vehicle_daily_metrics", marts.VEHICLE_DAY, policy, touched,
-        lambda days, keys: marts.vehicle_daily_metrics(days(tel), thresholds, keyset=keys),
+        spark, root, "fact_vehicle_daily_metrics", policy, touched,
+        lambda days: marts.vehicle_daily_metrics(days(tel), thresholds),
     )
 
 
+def _mark(spark: SparkSession, root: str, mart: str) -> dt.date:
+    return tables.read_table(spark, root, mart).agg(F.max("date_key")).first()[0] or EPOCH_START
+
+
 def _refresh(
-    spark: SparkSession, root: str, name: str, keys: list[str], policy: str,
-    touched: DataFrame | None, compute: Callable[..., DataFrame],
+    spark: SparkSession, root: str, name: str, policy: str, touched: DataFrame | None,
+    compute: Callable[[Callable[[DataFrame], DataFrame]], DataFrame],
 ) -> None:
-    mart, path = tables.read_table(spark, root, name), tables.table_path(root, name)
+    """Write whole days computed from the facts alone: no stored mart row is read.
+
+    A day that dies half written is still noted, so the next refresh writes it again.
+    """
+    path = tables.table_path(root, name)
     if policy == "high_watermark":
-        mark = mart.agg(F.max("date_key")).first()[0] or EPOCH_START
-        tables.write_fact(compute(lambda fact: fact.where(F.col("date_key") > F.lit(mark)), None), path)
+        mark = _mark(spark, root, name)
+        tables.write_fact(compute(lambda fact: fact.where(F.col("date_key") > F.lit(mark))), path)
         return
     if policy != "touched_keys" or touched is None:
         raise ValueError("touched_keys needs the touched key set")
-    keyset = tables.materialize(touched.select(*keys), f"{name}-keys")
-    days = tables.days_of(keyset)
+    days = tables.days_of(touched)
     if not days:
         return
-    fresh = compute(lambda fact: _days(fact, days), keyset)
-    written = tables.write_fact(marts.refresh(_days(mart, days), fresh, keys, keyset), path)
+    written = tables.write_fact(compute(lambda fact: _days(fact, days)), path)
     tables.drop_days(spark, path, [d for d in days if d not in written])
 
 
@@ -140,7 +252,13 @@ def build_dimensions(
     spark: SparkSession, root: str, drivers: DataFrame, vehicles: DataFrame,
     start: dt.date = dt.date(2025, 1, 1), end: dt.date = dt.date(2027, 12, 31),
 ) -> None:
-    """Next version of the three dimensions; history of earlier versions stays readable."""
+    """Next version of the three dimensions; history of earlier versions stays readable.
+
+    The calendar covers ``start`` to ``end`` and is extended to the days that the facts hold.
+    """
+    for name in IDENTITY:
+        low, high = tables.read_table(spark, root, name).agg(F.min("date_key"), F.max("date_key")).first()
+        start, end = min(start, low or start), max(end, high or end)
     builds = {
         "dim_date": upserts.insert_ignore(
             tables.read_current(spark, root, "dim_date"),

@@ -40,7 +40,7 @@ RAW_HEALTH = _table(
 # trips stay JSON text here, one string per trip: each is parsed and checked as a record of its own
 RAW_FINANCE = _table(
     event_id="string", driver_id="string", date="string", total_revenue="double",
-    total_cost="double", net_profit="double", fraud_alerts_count="int",
+    total_cost="double", net_profit="double", fraud_alerts_count="double",
     trading_position="string", end_of_day_balance="double", trips="strings",
 )
 
@@ -63,7 +63,10 @@ STAGED_VEHICLES = _table(
 
 STAGED_HEALTH = RAW_HEALTH
 
-STAGED_FINANCE = T.StructType([f for f in RAW_FINANCE if f.name != "trips"])
+# the raw count is read as a number, as some writers put 2.0
+STAGED_FINANCE = T.StructType([
+    T.StructField(f.name, T.IntegerType()) if f.name == "fraud_alerts_count" else f for f in RAW_FINANCE if f.name != "trips"
+])
 
 STAGED_TRIPS = _table(
     trip_event_id="string", daily_event_id="string", driver_id="string", timestamp="string",

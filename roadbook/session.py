@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,12 +29,18 @@ def spark_session(app: str = "roadbook", master: str | None = None, **conf: str)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``; a local one only where it is unset."""
+    """The shared folder named in ``spark.checkpoint.dir``.
+
+    Where it is unset, a machine-local folder serves a session that runs in one process. On a cluster
+    every executor would write to its own disk, so there it is an error.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="roadbook-"))
     return context.getCheckpointDir()
 

@@ -12,15 +12,25 @@ def parse_lines(lines: DataFrame, schema: T.StructType, line: str = "value") ->
     """Typed columns next to the raw text.
 
     ``present_keys`` lists the keys the object really carries (a key with a JSON null counts,
-    an unparsable line gives null), which a parsed column alone cannot tell.
+    an unparsable line gives null) and ``bad_types`` the keys whose value is of another type than
+    their column, which a parsed column alone cannot tell.
     """
     # A generated column is computed once per line. Plain columns would be copied into every
     # later filter and check, and each copy would parse the text again.
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     record = F.struct(
-        F.json_object_keys(line).alias("present_keys"), F.from_json(line, schema).alias("parsed")
+        F.json_object_keys(line).alias("present_keys"), F.from_json(line, schema).alias("parsed"),
+        F.from_json(line, as_text).alias("texts"),
     )
+    # a value that is there but is no value of its column's type
+    bad_types = F.array_compact(
+        F.array(*[
+            F.when(F.col(f"texts.{f.name}").isNotNull() & F.col(f"parsed.{f.name}").isNull(), F.lit(f.name))
+            for f in schema if f.dataType != T.StringType()
+        ])
+    ).cast("array<string>")
     return lines.select("*", F.inline(F.array(record))).select(
-        *lines.columns, "present_keys", "parsed.*"
+        *lines.columns, "present_keys", bad_types.alias("bad_types"), "parsed.*"
     )
 
 
@@ -28,12 +38,24 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Every line of every file below ``path``; no file at all is an error."""
     if not storage.has_input(spark, path):
         raise FileNotFoundError(f"no raw files at {path}")
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("source_file")
+    return read_files(spark, [path], schema)
+
+
+def read_files(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Every line of the given files, with the file it comes from."""
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_name").alias("file_name")
     )
     return parse_lines(lines, schema)
 
 
+def list_raw(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Path, length and time of change of the files in a raw folder; none at all is an error."""
+    if not storage.has_input(spark, path):
+        raise FileNotFoundError(f"no raw files at {path}")
+    return storage.files(spark, path)
+
+
 def write_raw(df: DataFrame, path: str, overwrite: bool = False) -> None:
     """Append a drop to the lake, or replace the whole folder.
 

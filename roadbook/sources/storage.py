@@ -37,3 +37,13 @@ def has_input(spark: SparkSession, path: str) -> bool:
     return any(
         status.isFile() or len(files.listStatus(status.getPath())) > 0 for status in found
     )
+
+
+def files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Path, length and time of change of each visible file directly in a folder (or of a file)."""
+    system, target = _handle(spark, path)
+    return sorted(
+        (status.getPath().toString(), status.getLen(), status.getModificationTime())
+        for status in system.listStatus(target)
+        if status.isFile() and status.getPath().getName()[0] not in "._"
+    )

@@ -39,8 +39,8 @@ def write_fact(df: DataFrame, path: str, partition: str = "date_key") -> set[dt.
     """Overwrite exactly the day partitions present in ``df`` and return those days.
 
     All other partitions stay. The rebalance hint lets AQE cut a heavy day into several files
-    and merge light ones. Reading the same path in the plan is safe: files move in only at
-    job commit.
+    and merge light ones. The plan must not read the days it overwrites: a crash while they are
+    swapped would lose what only they hold (see ``warehouse.swap_days``).
     """
     written = Observation()
     (
@@ -79,34 +79,57 @@ def drop_days(spark: SparkSession, path: str, days: list[dt.date], partition: st
         storage.delete(spark, f"{path}/{partition}={day.isoformat()}")
 
 
-def replace_table(df: DataFrame, path: str, version: int | None = None) -> None:
+def replace_table(df: DataFrame, path: str, version: int | None = None, keep: int | None = None) -> None:
     """Publish a new version of a table.
 
     Each version has a folder of its own, so a plan may read the current version while it
     writes the next one; a version counts once its job has committed. A fixed ``version``
-    makes a repeated micro-batch overwrite its own output.
+    makes a repeated micro-batch overwrite its own output. With ``keep`` only so many of the
+    newest versions stay; two are enough for a batch to be repeated.
     """
+    spark = df.sparkSession
     if version is None:
-        version = (_versions(df.sparkSession, path) or [0])[-1] + 1
+        version = (_newest(spark, path) or 0) + 1
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    if keep is not None:
+        for old in _numbers(spark, path)[keep:]:
+            storage.delete(spark, f"{path}/version={old}")
 
 
 def read_version(spark: SparkSession, path: str, schema: T.StructType, below: int | None = None) -> DataFrame:
     """The newest version published with :func:`replace_table` (of those below a number)."""
-    known = [v for v in _versions(spark, path) if below is None or v < below]
-    if not known:
+    newest = _newest(spark, path, below)
+    if newest is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/version={known[-1]}")
+    return spark.read.schema(schema).parquet(f"{path}/version={newest}")
+
+
+def read_versions(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The rows of all committed versions, for tables to which each batch adds a version."""
+    committed = [n for n in _numbers(spark, path) if _is_committed(spark, path, n)]
+    if not committed:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/version={n}" for n in committed])
 
 
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_version(spark, table_path(root, name), schemas.TABLES[name])
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of all versions, newest first."""
     names = storage.children(spark, path)
-    numbers = sorted(int(n.split("=")[1]) for n in names if n.startswith("version="))
-    return [n for n in numbers if storage.exists(spark, f"{path}/version={n}/_SUCCESS")]
+    return sorted((int(n.split("=")[1]) for n in names if n.startswith("version=")), reverse=True)
+
+
+def _is_committed(spark: SparkSession, path: str, number: int) -> bool:
+    return storage.exists(spark, f"{path}/version={number}/_SUCCESS")
+
+
+def _newest(spark: SparkSession, path: str, below: int | None = None) -> int | None:
+    """The newest committed version; older ones are not looked at."""
+    known = (n for n in _numbers(spark, path) if below is None or n < below)
+    return next((n for n in known if _is_committed(spark, path, n)), None)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -115,6 +138,10 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def write_alerts(df: DataFrame, path: str, alert_time: dt.datetime) -> None:
-    """Append alert rows stamped with the evaluation time."""
+    """Store alert rows under their evaluation time; a repeated evaluation replaces its rows.
+
+    The partition's folder is written directly, so an evaluation without alerts clears it as well.
+    """
     stamped = df.withColumn("alert_time", F.lit(alert_time).cast("timestamp_ntz"))
-    align(stamped, schemas.ALERTS).write.mode("append").parquet(path)
+    stamp = alert_time.isoformat(sep=" ").replace(":", "%3A")
+    align(stamped, schemas.ALERTS).drop("alert_time").write.mode("overwrite").parquet(f"{path}/alert_time={stamp}")

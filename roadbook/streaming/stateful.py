@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from roadbook import schemas
-from roadbook.operators import alerts, marts
+from roadbook.operators import alerts
 from roadbook.operators.conform import align
 from roadbook.plans import warehouse
 from roadbook.sources import tables
@@ -54,7 +54,7 @@ def stream_harsh_brake(out: str, state: str) -> BatchJob:
         last = carried.unionByName(samples).groupBy("vehicle_id").agg(
             F.max_by(F.struct("event_timestamp", "event_id", "speed_kph"), position).alias("last")
         )
-        tables.replace_table(last.select("vehicle_id", "last.*"), state, version=batch_id + 1)
+        tables.replace_table(last.select("vehicle_id", "last.*"), state, version=batch_id + 1, keep=2)
         samples.unpersist()
 
     return on_batch
@@ -67,26 +67,21 @@ def stream_replay_buffer(state: str, n: int = 30) -> BatchJob:
         kept = tables.read_version(batch.sparkSession, state, BUFFERED, below=batch_id + 1)
         merged = kept.unionByName(align(batch, BUFFERED)).distinct()
         buffered = alerts.replay_buffer(merged, n).drop("recency")
-        tables.replace_table(buffered, state, version=batch_id + 1)
+        tables.replace_table(buffered, state, version=batch_id + 1, keep=2)
 
     return on_batch
 
 
 def stream_refresh(root: str, fact: str = "fact_vehicle_telemetry") -> BatchJob:
-    """Store new facts of a batch and recompute exactly the mart rows they touch, late or not."""
+    """Store new facts of a batch and recompute exactly the mart days they touch, late or not.
+
+    Streams of several facts may share one root: each refreshes what any load has noted by then,
+    and settles only that.
+    """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        touched = warehouse.load_fact(
-            spark, root, fact, align(batch, schemas.TABLES[fact]), on_conflict="ignore"
-        )
-        if fact == "fact_vehicle_telemetry":
-            warehouse.refresh_vehicle_mart(
-                spark, root, "touched_keys", marts.changed_vehicle_days(touched)
-            )
-        warehouse.refresh_driver_mart(
-            spark, root, "touched_keys", marts.changed_driver_days(touched)
-        )
-        warehouse.settle(spark, root)
+        warehouse.load_fact(spark, root, fact, align(batch, schemas.TABLES[fact]), on_conflict="ignore")
+        warehouse.refresh_marts(spark, root)
 
     return on_batch

@@ -18,6 +18,7 @@ from roadbook.sources import tables
 from roadbook.streaming import stateful
 
 AT = dt.datetime(2026, 2, 9, 6)
+FLAGGED = "event_id string, vehicle_id string, prev_speed_kph double, harsh_brake boolean"
 
 
 def write(path, records):
@@ -64,17 +65,23 @@ def test_daily_run_is_idempotent_and_takes_late_files(spark, tmp_path, masters):
             for n in ("fact_vehicle_telemetry", "fact_driver_daily_metrics", "fact_vehicle_daily_metrics")
         }
 
-    before = state()
+    def files(day=""):
+        return sorted(str(p) for n in ("fact_*",) for t in (tmp_path / "wh").glob(n) for p in t.rglob("*.parquet") if day in str(p))
+
+    before, stored = state(), files()
     daily.run_day(spark, str(lake), out, root, *masters, AT)
-    assert state() == before
+    assert state() == before and files() == stored  # an unchanged rerun writes no fact and no mart
     drop(lake, 5)  # late file of an older day
     daily.run_day(spark, str(lake), out, root, *masters, AT)
+    assert files("date_key=2026-02-08") == stored
     mart = tables.read_table(spark, root, "fact_driver_daily_metrics")
     assert sorted(str(r.date_key) for r in mart.collect()) == ["2026-02-05", "2026-02-08"]
     assert mart.first().fatigue_alert is True
     dim = {r.vehicle_id: r for r in tables.read_current(spark, root, "dim_vehicle").collect()}
     assert dim["CAR_1"].last_seen_at is None and dim["BUS_1"].first_seen_at == dt.datetime(2026, 2, 5, 10)
-    assert tables.read_table(spark, root, "alerts").count() == 9
+    assert tables.read_table(spark, root, "alerts").count() == 3  # one evaluation time, however often it is run
+    assert daily.run_alerts(spark, root, AT + dt.timedelta(days=1)).count() == 3
+    assert tables.read_table(spark, root, "alerts").count() == 6
     assert staging.read_good(spark, out, "finance_trips").count() == 2
     checks = daily.run_checks(spark, root, dt.date(2026, 2, 9))
     assert checks["nulls"].first().bad_rows == 0 and checks["freshness"].first().status == "FRESH"
@@ -89,6 +96,12 @@ def test_high_watermark_plan_ignores_late_files(spark, tmp_path, masters):
     daily.run_day(spark, str(lake), out, root, *masters, AT, policy="high_watermark")
     days = {str(r.date_key) for r in tables.read_table(spark, root, "fact_vehicle_daily_metrics").collect()}
     assert days == {"2026-02-08", "2026-02-09"}
+    # what was passed over stays noted, and a later run by keys makes up for it
+    assert [str(r.date_key) for r in warehouse.pending(spark, root, "fact_daily_finance").collect()] == ["2026-02-05"]
+    daily.run_day(spark, str(lake), out, root, *masters, AT)
+    mart = tables.read_table(spark, root, "fact_driver_daily_metrics")
+    assert {str(r.date_key) for r in mart.collect()} == {"2026-02-05", "2026-02-08", "2026-02-09"}
+    assert warehouse.pending(spark, root, "fact_daily_finance").count() == 0
 
 
 def test_strict_stops_quarantine_goes_on(spark, tmp_path):
@@ -106,6 +119,77 @@ def test_strict_stops_quarantine_goes_on(spark, tmp_path):
     assert staging.read_quarantined(spark, out, "vehicles").count() == 0
 
 
+def test_wrong_types_times_and_null_ids_are_refused(spark, tmp_path, masters):
+    lake, out, root = tmp_path / "lake", str(tmp_path / "staged"), str(tmp_path / "wh")
+    drop(lake, 8)
+    good = day_records(9)
+    vehicle, health, day = good["vehicles"][0], good["driver_health"][0], good["finance"][0]
+    write(lake / "vehicles" / "bad.jsonl", [
+        {**vehicle, "speed_kph": "fast"}, {**vehicle, "speed_kph": True}, {**vehicle, "timestamp": "not a time"},
+        {**vehicle, "event_id": None}, {**vehicle, "event_id": "fine", "speed_kph": None},
+    ])
+    write(lake / "driver_health" / "bad.jsonl", [{**health, "alerts": "x"}, {**health, "driver_id": None}, {**health, "shift_hours": -1}])
+    write(lake / "finance" / "bad.jsonl", [
+        {**day, "trips": "oops"}, {**day, "date": "soon"}, {**day, "total_revenue": -1.0},
+        {**day, "event_id": "fine", "fraud_alerts_count": 2.0, "trips": [{**day["trips"][0], "revenue": "x"}, {**day["trips"][0], "total_cost": -2}]},
+    ])
+    with pytest.raises(PySparkException):
+        daily.run_day(spark, str(lake), out, root, *masters, AT)
+    daily.run_day(spark, str(lake), out, root, *masters, AT, mode="quarantine")
+    causes = {d: sorted(tuple(r.violations) for r in staging.read_quarantined(spark, out, d).collect()) for d in (*daily.LOADS, "finance_trips")}
+    assert causes == {
+        "vehicles": [("bad_time",), ("bad_type_speed_kph",), ("bad_type_speed_kph",), ("null_event_id",)],
+        "driver_health": [("bad_type_alerts",), ("null_driver_id",), ("shift_hours_negative",)],
+        "finance": [("bad_time",), ("bad_type_trips",), ("revenue_negative",)],
+        "finance_trips": [("bad_type_revenue",), ("cost_negative",)],
+    }
+    counts = {r.event_id: r.fraud_alerts_count for r in tables.read_table(spark, root, "fact_daily_finance").collect()}
+    assert counts == {"f8": 1, "fine": 2}
+    assert tables.read_table(spark, root, "fact_vehicle_telemetry").count() == 4
+
+
+def test_a_bad_trip_publishes_no_day(spark, tmp_path):
+    lake, out = tmp_path / "lake", str(tmp_path / "staged")
+    day = day_records(8)["finance"][0]
+    write(lake / "finance" / "a.jsonl", [{**day, "trips": [{**day["trips"][0], "revenue": -1}]}])
+    with pytest.raises(PySparkException):
+        staging.stage(spark, "finance", str(lake), out)
+    assert staging.read_good(spark, out, "finance").count() == 0 and staging.staged_files(spark, out, "finance") == []
+
+
+def test_keys_of_another_fact_are_not_lost(spark, tmp_path, masters):
+    """A run loads a finance day and dies; then a micro-batch of telemetry comes, then one of shifts."""
+    root = str(tmp_path)
+    from roadbook.sources.reference import default_thresholds
+
+    warehouse.seed_thresholds(spark, root, default_thresholds(spark))
+    warehouse.build_dimensions(spark, root, *masters)
+    row = ("f1", "DR_1", dt.date(2026, 2, 3), 10.0, 4.0, 6.0, 0, "hold", 0.0)
+    warehouse.load_fact(spark, root, "fact_daily_finance", spark.createDataFrame([row], schemas.FACT_DAILY_FINANCE))
+    stateful.stream_refresh(root)(samples(spark, ("a", "v", 1, 60.0)).withColumn("driver_id", F.lit("DR_1")), 0)
+    shift = ("s1", "DR_1", dt.datetime(2026, 2, 4, 8), 9.0, 9.0, 0.8, True, ["x"], dt.date(2026, 2, 4))
+    stateful.stream_refresh(root, "fact_driver_shifts")(spark.createDataFrame([shift], schemas.FACT_DRIVER_SHIFTS), 0)
+    mart = {str(r.date_key): r for r in tables.read_table(spark, root, "fact_driver_daily_metrics").collect()}
+    assert sorted(mart) == ["2026-02-03", "2026-02-04", "2026-02-08"]
+    assert mart["2026-02-03"].net_profit == 6.0
+    assert not any(warehouse.pending_loads(spark, root, n) for n in warehouse.IDENTITY)
+
+
+def test_calendar_reaches_as_far_as_the_facts(spark, tmp_path, masters):
+    root = str(tmp_path)
+    row = ("f1", "DR_1", dt.date(2029, 5, 3), 10.0, 4.0, 6.0, 0, "hold", 0.0)
+    warehouse.load_fact(spark, root, "fact_daily_finance", spark.createDataFrame([row], schemas.FACT_DAILY_FINANCE))
+    warehouse.build_dimensions(spark, root, *masters)
+    assert tables.read_current(spark, root, "dim_date").agg(F.max("date_key")).first()[0] == dt.date(2029, 5, 3)
+
+
+def test_harsh_brake_plan(spark):
+    text = plan(alerts.harsh_brake(samples(spark, ("a", "v", 1, 1.0))))
+    assert "hint" not in text.lower()
+    for block in re.findall(r"\(\d+\) Window\n.*?\n\n", text, re.S):
+        assert re.search(r"\[vehicle_id#\d+, (slot|day)#\d+\]", block), block
+
+
 def samples(spark, *rows):
     full = [(e, v, "d", dt.datetime(2026, 2, 8, 10, m), 0.0, 0.0, s, None, 90.0, 12.0, False, dt.date(2026, 2, 8)) for e, v, m, s in rows]
     return spark.createDataFrame(full, schemas.FACT_VEHICLE_TELEMETRY)
@@ -118,9 +202,10 @@ def test_harsh_brake_batches_late_rows_and_replay(spark, tmp_path):
     second = samples(spark, ("c", "v", 6, 20.0), ("late", "v", 3, 10.0), ("x", "w", 1, 5.0))
     job(second, 1)
     job(second, 1)  # the batch runs again after a failure
-    got = {r.event_id: (r.prev_speed_kph, r.harsh_brake) for r in spark.read.parquet(out).collect()}
+    got = {r.event_id: (r.prev_speed_kph, r.harsh_brake) for r in tables.read_versions(spark, out, FLAGGED).collect()}
     assert got == {"a": (None, False), "b": (80.0, False), "c": (70.0, True), "late": (None, None), "x": (None, False)}
-    assert spark.read.parquet(out).count() == 5
+    assert tables.read_versions(spark, out, FLAGGED).count() == 5
+    assert len(list((tmp_path / "state").iterdir())) == 2
 
 
 def test_replay_buffer_state(spark, tmp_path):
