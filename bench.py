@@ -20,6 +20,7 @@ HEADLINE = [
     "alert_fatigue", "alert_thresholds_generic", "alert_digest", "harsh_brake", "replay_buffer",
     "dq_ranges", "investigation_leads", "executive_kpis", "driver_summary", "vehicle_summary",
     "finance_kpis", "risk_reward", "status_hours", "fatigue_streaks", "histogram",
+    "all_alerts", "load_fact_replace", "stream_refresh", "stream_harsh_brake",
 ]
 
 

@@ -14,20 +14,21 @@ from roadbook.operators import alerts, quality
 from roadbook.session import scratch_path
 from roadbook.sources import tables
 
+# The limits in the SQL below are those of the rules it checks.
 _ALERT = "entity_id, entity_type, metric_name, metric_value, severity, description"
 
 _FATIGUE = """
     SELECT driver_id AS entity_id, 'driver' AS entity_type, 'avg_fatigue_index' AS metric_name,
            round(avg_fatigue_index, 1) AS metric_value,
-           CASE WHEN avg_fatigue_index < 0.8e0 THEN 'WARNING' ELSE 'CRITICAL' END AS severity, 'Driver fatigue risk' AS description
+           CASE WHEN avg_fatigue_index >= 0.8e0 THEN 'CRITICAL' ELSE 'WARNING' END AS severity, 'Driver fatigue risk' AS description
     FROM dlast JOIN drv USING (driver_id) WHERE status = 'ACTIVE' AND avg_fatigue_index >= 0.6e0"""
 _VEHICLE = """
     SELECT vehicle_id AS entity_id, 'vehicle' AS entity_type, 'engine_temp' AS metric_name, round(avg_engine_temp_c, 6) AS metric_value,
-           CASE WHEN avg_engine_temp_c < 120 THEN 'WARNING' ELSE 'CRITICAL' END AS severity, 'Engine overheating risk' AS description
+           CASE WHEN avg_engine_temp_c >= 120 THEN 'CRITICAL' ELSE 'WARNING' END AS severity, 'Engine overheating risk' AS description
     FROM vlast WHERE avg_engine_temp_c >= 90"""
 _FRAUD = """
     SELECT driver_id AS entity_id, 'driver' AS entity_type, 'fraud_alerts' AS metric_name, CAST(fraud_alerts_count AS DOUBLE) AS metric_value,
-           'CRITICAL' AS severity, 'Fraud signals detected' AS description FROM dlast WHERE fraud_alerts_count >= 1"""
+           'CRITICAL' AS severity, 'Fraud signals detected' AS description FROM dlast WHERE fraud_alerts_count > 0"""
 
 
 def _freshness(mart: str) -> str:
@@ -51,7 +52,8 @@ _STALE = """
 
 
 def _all(f: Fleet) -> DataFrame:
-    return alerts.all_alerts(f.driver_mart, f.vehicle_mart, f.driver_master, f.thresholds, ALERT_TIME)
+    """The rules read stored marts, as in the daily run."""
+    return alerts.all_alerts(f.stored_driver_mart, f.stored_vehicle_mart, f.driver_master, f.thresholds, ALERT_TIME)
 
 
 _ALL = f"""
@@ -149,6 +151,13 @@ QUERIES = {
                       'Engine temp or speeding anomaly' AS description
                FROM vlast WHERE avg_engine_temp_c > 95 OR speeding_rate > 0.10e0""", "vlast"),
     ),
+    "alert_no_activity_empty": (
+        # the mart of the days after the newest one
+        lambda f: alerts.alert_no_activity(f.driver_mart.where(F.col("date_key") > F.lit(f.span[1]))),
+        sql("""SELECT 'SYSTEM' AS entity_id, 'system' AS entity_type, 'no_driver_activity' AS metric_name, 0e0 AS metric_value,
+                      'CRITICAL' AS severity, 'No active drivers today' AS description
+               FROM (SELECT count(DISTINCT driver_id) AS n FROM dm WHERE date_key > (SELECT CAST(max(ts) AS DATE) FROM events)) WHERE n = 0""", "dm"),
+    ),
     "alert_no_activity": (
         lambda f: alerts.alert_no_activity(f.driver_mart),
         sql("""SELECT 'SYSTEM' AS entity_id, 'system' AS entity_type, 'no_driver_activity' AS metric_name, 0e0 AS metric_value,
@@ -243,7 +252,7 @@ QUERIES = {
         sql("SELECT count(*) FILTER (WHERE last_seen_at IS NULL) AS ghost_count FROM vdim", "vdim"),
     ),
     "investigation_leads": (
-        lambda f: quality.investigation_leads(f.vehicle_mart, f.driver_mart, f.thresholds), sql(_LEADS, "vlast", "dlast"),
+        lambda f: quality.investigation_leads(f.stored_vehicle_mart, f.stored_driver_mart, f.thresholds), sql(_LEADS, "vlast", "dlast"),
     ),
     "health_score": (
         lambda f: quality.system_health(f.vehicle_mart, f.driver_mart, f.thresholds, AS_OF),

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadbook.operators import dimensions, marts
 from roadbook.session import scratch_path
+from roadbook.sources import tables
 from roadbook.sources.reference import default_thresholds
 
 AS_OF = dt.date(2024, 1, 31)
-FIRST_DAY, LAST_DAY = dt.date(2024, 1, 1), dt.date(2024, 1, 31)
 ALERT_TIME = dt.datetime(2024, 1, 31, 6, 0, 0)
 LATE_CUT = dt.date(2024, 1, 20)
 
@@ -161,6 +161,20 @@ class Fleet:
     def vehicle_mart(self) -> DataFrame:
         return marts.vehicle_daily_metrics(self.telemetry, self.thresholds)
 
+    @cached_property
+    def span(self) -> tuple[dt.date, dt.date]:
+        """First and last day of the events."""
+        return tuple(self.events.agg(F.min("date_key"), F.max("date_key")).first())
+
+    @cached_property
+    def stored_driver_mart(self) -> DataFrame:
+        """The mart written once, for queries that read it more than once."""
+        return tables.materialize(self.driver_mart, "driver-mart")
+
+    @cached_property
+    def stored_vehicle_mart(self) -> DataFrame:
+        return tables.materialize(self.vehicle_mart, "vehicle-mart")
+
     # late data: the first load misses the error events and everything after LATE_CUT -----------
 
     def early(self, name: str) -> DataFrame:
@@ -183,8 +197,9 @@ class Fleet:
     def lake(self, domain: str) -> str:
         """The raw lines of a domain as text files in a fresh folder of the shared scratch location."""
         path = scratch_path(self.spark, domain)
-        {"vehicles": self.raw_vehicle_lines, "driver_health": self.raw_health_lines,
-         "finance": self.raw_finance_lines}[domain].write.text(path)
+        lines = {"vehicles": "raw_vehicle_lines", "driver_health": "raw_health_lines", "finance": "raw_finance_lines",
+                 "bad_finance": "bad_finance_lines"}
+        getattr(self, lines[domain]).write.text(path)
         return path
 
     @cached_property
@@ -217,6 +232,22 @@ class Fleet:
                 'alerts', IF(event_type <> 'error', array('fatigue_risk'), NULL))) AS value"""
         )
 
+    @cached_property
+    def bad_finance_lines(self) -> DataFrame:
+        """One finance day with two trips per order, most with a fault that depends on the order's status.
+
+        O: good, but the second trip costs less than nothing. F: negative revenue, unreadable date.
+        P: the cost is a text, the driver null, the trips no list.
+        """
+        trip = "named_struct('event_id', concat('t', CAST(i AS STRING)), 'driver_id', 'd', 'timestamp', '2024-01-01T00:00:00Z', 'revenue', 1D, 'total_cost', IF(i = 2, -1D, 1D))"
+        trips = f"to_json(transform(sequence(1, 2), i -> {trip}))"
+        return self.table("orders").selectExpr(
+            f"""concat('{{"event_id": "', CAST(o_orderkey AS STRING), '", "driver_id": ',
+                IF(o_orderstatus = 'P', 'null', '"d"'), ', "date": "', IF(o_orderstatus = 'F', 'soon', '2024-01-01'),
+                '", "total_revenue": ', IF(o_orderstatus = 'F', '-1', '5'), ', "total_cost": ', IF(o_orderstatus = 'P', '"free"', '2'),
+                ', "net_profit": 3, "trips": ', IF(o_orderstatus = 'P', '"none"', {trips}), '}}') AS value"""
+        )
+
     @cached_property
     def raw_finance_lines(self) -> DataFrame:
         """One finance day per order with one to five trips (the digit of the order priority).

@@ -9,6 +9,7 @@ from checks.oracle import sql
 from roadbook import schemas
 from roadbook.functions.expressions import vehicle_type
 from roadbook.operators import conform, dimensions, upserts
+from roadbook.plans import warehouse
 from roadbook.session import scratch_path
 from roadbook.sources import raw, reference, tables
 
@@ -43,6 +44,25 @@ def dedup(f: Fleet) -> DataFrame:
     return upserts.dedup(_lines(f), LINE, LINE_ORDER + ["l_returnflag"])
 
 
+def load_fact_replace(f: Fleet) -> DataFrame:
+    """A first load with other speeds on other days, then the true rows, twice."""
+    root, name = scratch_path(f.spark, "warehouse"), "fact_vehicle_telemetry"
+    wrong = {"speed_kph": F.lit(0.0), "date_key": F.date_sub("date_key", 1)}
+    warehouse.load_fact(f.spark, root, name, f.early("telemetry").withColumns(wrong))
+    for _ in range(2):
+        warehouse.load_fact(f.spark, root, name, f.telemetry)
+    return tables.read_table(f.spark, root, name)
+
+
+def load_fact_ignore(f: Fleet) -> DataFrame:
+    """Rows of the first load stay as they are; the second brings the others."""
+    root, name = scratch_path(f.spark, "warehouse"), "fact_vehicle_telemetry"
+    warehouse.load_fact(f.spark, root, name, f.early("telemetry").withColumn("speed_kph", F.lit(0.0)), "ignore")
+    for _ in range(2):
+        warehouse.load_fact(f.spark, root, name, f.telemetry, "ignore")
+    return tables.read_table(f.spark, root, name)
+
+
 def reset_unseen(f: Fleet) -> DataFrame:
     return upserts.reset_unseen(f.stored_vehicles, f.telemetry)
 
@@ -135,6 +155,15 @@ QUERIES = {
         sql("SELECT * FROM base UNION ALL SELECT * FROM inc WHERE " + _NOT_IN.format(o="base", i="inc"),
             base=_BASE, inc=_NEW),
     ),
+    "load_fact_replace": (
+        load_fact_replace, sql("SELECT * REPLACE (round(lat, 6) AS lat, round(lon, 6) AS lon) FROM tel", "tel"),
+    ),
+    "load_fact_ignore": (
+        load_fact_ignore,
+        sql("""SELECT * REPLACE (round(lat, 6) AS lat, round(lon, 6) AS lon, CASE WHEN event_id IN (SELECT 'evt_' || CAST(event_id AS VARCHAR) FROM ev
+                                                        WHERE event_type <> 'error' AND CAST(ts AS DATE) <= DATE '2024-01-20')
+                                      THEN 0e0 ELSE speed_kph END AS speed_kph) FROM tel""", "tel", "ev"),
+    ),
     "stage_master": (
         lambda f: reference.stage_master(f.driver_master, "driver_id"),
         sql("SELECT driver_id, status, status = 'ACTIVE' AS is_active FROM drv", "drv"),

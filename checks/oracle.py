@@ -68,16 +68,16 @@ CTES: dict[str, str] = {
                coalesce(total_revenue, 0) AS total_revenue, coalesce(total_cost, 0) AS total_cost,
                coalesce(net_profit, 0) AS net_profit, coalesce(fraud_alerts_count, 0) AS fraud_alerts_count,
                speeding_events / CAST(nullif(total_events, 0) AS DOUBLE) > 0.10e0 AS speeding_alert,
-               status <> 'RETIRED' AND (coalesce(avg_fatigue_index, 0) > 0.7e0
-                                        OR coalesce(max_continuous_hours, 0) > 8) AS fatigue_alert,
+               CASE WHEN status = 'RETIRED' THEN FALSE
+                    ELSE coalesce(avg_fatigue_index, 0) > 0.7e0 OR coalesce(max_continuous_hours, 0) > 8 END AS fatigue_alert,
                coalesce(fraud_alerts_count, 0) > 0 AS fraud_alert
         FROM ta FULL JOIN sa USING (driver_id, date_key) FULL JOIN fa USING (driver_id, date_key)
         JOIN drv USING (driver_id)""",
     "vm": """
-        SELECT *, (SELECT warning_threshold FROM thr WHERE metric_name = 'speeding_rate')
-                      < speeding_events / CAST(telemetry_events AS DOUBLE) AS speeding_alert,
-               (SELECT warning_threshold FROM thr WHERE metric_name = 'engine_temp_c') < avg_engine_temp_c AS engine_temp_alert,
-               (SELECT warning_threshold FROM thr WHERE metric_name = 'battery_voltage') > avg_battery_voltage AS battery_alert
+        SELECT *, speeding_events / CAST(telemetry_events AS DOUBLE)
+                      > (SELECT warning_threshold FROM thr WHERE metric_name = 'speeding_rate') AS speeding_alert,
+               avg_engine_temp_c > (SELECT warning_threshold FROM thr WHERE metric_name = 'engine_temp_c') AS engine_temp_alert,
+               avg_battery_voltage < (SELECT warning_threshold FROM thr WHERE metric_name = 'battery_voltage') AS battery_alert
         FROM (SELECT vehicle_id, date_key, count(event_id) AS telemetry_events, avg(speed_kph) AS avg_speed_kph,
                      max(speed_kph) AS max_speed_kph, avg(fuel_percent) AS avg_fuel_percent,
                      avg(engine_temp_c) AS avg_engine_temp_c, avg(battery_v) AS avg_battery_voltage,

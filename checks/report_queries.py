@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from checks.alert_queries import _all, _ALL, _LEADS
-from checks.binding import AS_OF, FIRST_DAY, LAST_DAY, Fleet
+from checks.binding import AS_OF, Fleet
 from checks.oracle import DRIVER_MART, rounded, sql
 from roadbook.functions.expressions import date_range, threshold
 from roadbook.operators import quality
 from roadbook.operators.reports import drivers, finance, generic, overview, vehicles
 
-_SPAN = (FIRST_DAY, LAST_DAY)
-_IN_SPAN = "date_key BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'"
+# the whole period of the events, on both sides
+_IN_SPAN = "date_key BETWEEN (SELECT CAST(min(ts) AS DATE) FROM events) AND (SELECT CAST(max(ts) AS DATE) FROM events)"
 _VSUM = f"""
     SELECT veh.vehicle_id, count(DISTINCT date_key) AS active_days, coalesce(avg(avg_speed_kph), 0) AS avg_speed,
            coalesce(max(max_speed_kph), 0) AS max_speed, coalesce(avg(avg_engine_temp_c), 0) AS avg_engine_temp,
@@ -38,7 +38,7 @@ _FIN = f"""
 
 
 def _vehicle_summary(f: Fleet) -> DataFrame:
-    return vehicles.vehicle_summary(f.vehicle_master, f.vehicle_mart, *_SPAN)
+    return vehicles.vehicle_summary(f.vehicle_master, f.vehicle_mart, *f.span)
 
 
 QUERIES = {
@@ -84,7 +84,7 @@ QUERIES = {
         .where(F.col("avg_fuel_percent") > threshold(f.thresholds, "fuel_percent", default=20)).select("vehicle_id", "date_key"),
         sql("SELECT vehicle_id, date_key FROM vm WHERE avg_engine_temp_c > 120 AND avg_fuel_percent > 20", "vm"),
     ),
-    "executive_kpis": (lambda f: overview.executive_kpis(f.driver_mart, f.vehicle_mart), sql(_EXEC, "dlast", "vm")),
+    "executive_kpis": (lambda f: overview.executive_kpis(f.stored_driver_mart, f.stored_vehicle_mart), sql(_EXEC, "dlast", "vm")),
     "profit_trend": (
         lambda f: overview.profit_trend(f.driver_mart),
         sql("SELECT date_key, round(sum(net_profit), 6) AS profit FROM dm WHERE date_key >= (SELECT max(date_key) FROM dm) - 7 GROUP BY date_key", "dm"),
@@ -109,22 +109,22 @@ QUERIES = {
         sql("""SELECT CASE WHEN telemetry_events > 0 THEN 'Active' ELSE 'Idle/Ghost' END AS status, count(*) AS count
                FROM veh LEFT JOIN vlast USING (vehicle_id) GROUP BY 1""", "veh", "vlast"),
     ),
-    "driver_summary": (lambda f: drivers.driver_summary(f.driver_mart, *_SPAN), sql(_DSUM, "dm")),
+    "driver_summary": (lambda f: drivers.driver_summary(f.driver_mart, *f.span), sql(_DSUM, "dm")),
     "driver_summary_flags": (
-        lambda f: drivers.driver_summary_flags(drivers.driver_summary(f.driver_mart, *_SPAN)),
+        lambda f: drivers.driver_summary_flags(drivers.driver_summary(f.driver_mart, *f.span)),
         sql(f"""SELECT *, CASE WHEN avg_fatigue > 0.65e0 THEN 'Risk' ELSE 'Safe' END AS fatigue_label,
                        CASE WHEN max_hours > 8 THEN 'Violation' ELSE 'Compliant' END AS hours_label FROM ({_DSUM})""", "dm"),
     ),
     "driver_trend": (
-        lambda f: drivers.driver_trend(f.driver_mart, *_SPAN),
+        lambda f: drivers.driver_trend(f.driver_mart, *f.span),
         sql(f"SELECT driver_id, date_key AS date, round(avg_fatigue_index, 6) AS avg_fatigue_index, max_continuous_hours FROM dm WHERE {_IN_SPAN}", "dm"),
     ),
     "speeding_profile": (
-        lambda f: drivers.speeding_profile(f.driver_mart, *_SPAN),
+        lambda f: drivers.speeding_profile(f.driver_mart, *f.span),
         sql(f"SELECT driver_id, date_key AS date, speeding_events FROM dm WHERE {_IN_SPAN}", "dm"),
     ),
     "audit_log": (
-        lambda f: drivers.audit_log(f.driver_mart, *_SPAN),
+        lambda f: drivers.audit_log(f.driver_mart, *f.span),
         sql(f"""SELECT driver_id, date_key, round(avg_fatigue_index, 2) AS fatigue, max_continuous_hours AS shift_hrs, speeding_events AS speeding,
                        fraud_alerts_count AS fraud FROM dm
                 WHERE {_IN_SPAN} AND (avg_fatigue_index > 0.7e0 OR max_continuous_hours > 8 OR speeding_events > 10 OR fraud_alerts_count > 0)""", "dm"),
@@ -145,39 +145,39 @@ QUERIES = {
                 WHERE avg_battery < 11.8e0""", "veh", "vm"),
     ),
     "engine_trend": (
-        lambda f: vehicles.engine_trend(f.vehicle_mart, *_SPAN),
+        lambda f: vehicles.engine_trend(f.vehicle_mart, *f.span),
         sql(f"SELECT vehicle_id, date_key, round(avg_engine_temp_c, 6) AS avg_engine_temp_c FROM vm WHERE {_IN_SPAN}", "vm"),
     ),
     "stress_series": (
-        lambda f: vehicles.stress_series(f.vehicle_mart, *_SPAN),
+        lambda f: vehicles.stress_series(f.vehicle_mart, *f.span),
         sql(f"SELECT vehicle_id, date_key, speeding_rate, round(avg_speed_kph, 6) AS avg_speed_kph FROM vm WHERE {_IN_SPAN}", "vm"),
     ),
     "operational_log": (
-        lambda f: vehicles.operational_log(f.vehicle_mart, *_SPAN),
+        lambda f: vehicles.operational_log(f.vehicle_mart, *f.span),
         sql(f"""SELECT vehicle_id, date_key, round(avg_speed_kph, 6) AS avg_speed_kph, max_speed_kph, round(avg_engine_temp_c, 6) AS avg_engine_temp_c,
                        round(avg_battery_voltage, 6) AS avg_battery_voltage, speeding_events FROM vm WHERE {_IN_SPAN}""", "vm"),
     ),
-    "finance_kpis": (lambda f: finance.finance_kpis(f.driver_mart, *_SPAN), sql(_FIN, "dm")),
+    "finance_kpis": (lambda f: finance.finance_kpis(f.driver_mart, *f.span), sql(_FIN, "dm")),
     "revenue_cost_trend": (
-        lambda f: finance.revenue_cost_trend(f.driver_mart, *_SPAN),
+        lambda f: finance.revenue_cost_trend(f.driver_mart, *f.span),
         sql(f"SELECT date_key, round(sum(total_revenue), 6) AS revenue, round(sum(total_cost), 6) AS cost FROM dm WHERE {_IN_SPAN} GROUP BY date_key", "dm"),
     ),
     "fraud_trend": (
-        lambda f: finance.fraud_trend(f.driver_mart, *_SPAN),
+        lambda f: finance.fraud_trend(f.driver_mart, *f.span),
         sql(f"SELECT date_key, CAST(sum(fraud_alerts_count) AS BIGINT) AS alerts FROM dm WHERE {_IN_SPAN} GROUP BY date_key", "dm"),
     ),
     "risk_reward": (
-        lambda f: finance.risk_reward(f.driver_mart, *_SPAN),
+        lambda f: finance.risk_reward(f.driver_mart, *f.span),
         sql(f"""SELECT driver_id, round(sum(net_profit), 6) AS total_profit, CAST(sum(fraud_alerts_count) AS BIGINT) AS total_fraud,
                        round(avg(avg_fatigue_index), 6) AS avg_fatigue FROM dm WHERE {_IN_SPAN} GROUP BY driver_id""", "dm"),
     ),
     "loss_makers": (
-        lambda f: finance.loss_makers(f.driver_mart, *_SPAN),
+        lambda f: finance.loss_makers(f.driver_mart, *f.span),
         sql(f"""SELECT driver_id, round(sum(net_profit), 6) AS profit, round(sum(total_revenue), 6) AS rev FROM dm WHERE {_IN_SPAN}
                 GROUP BY driver_id HAVING sum(net_profit) < 0""", "dm"),
     ),
     "high_fraud": (
-        lambda f: finance.high_fraud(f.driver_mart, *_SPAN),
+        lambda f: finance.high_fraud(f.driver_mart, *f.span),
         sql(f"""SELECT driver_id, CAST(sum(fraud_alerts_count) AS BIGINT) AS alerts, round(avg(avg_fatigue_index), 6) AS fatigue
                 FROM dm WHERE {_IN_SPAN} GROUP BY driver_id HAVING sum(fraud_alerts_count) > 0""", "dm"),
     ),
@@ -219,14 +219,14 @@ QUERIES = {
                GROUP BY driver_id ORDER BY profit DESC, driver_id LIMIT 5""", "dm"),
     ),
     "kpi_labels": (
-        lambda f: overview.kpi_labels(overview.executive_kpis(f.driver_mart, f.vehicle_mart), f.thresholds, f.vehicle_mart),
+        lambda f: overview.kpi_labels(overview.executive_kpis(f.stored_driver_mart, f.stored_vehicle_mart), f.thresholds, f.vehicle_mart),
         sql(f"""SELECT *, CASE WHEN avg_fatigue_index > 0.6e0 THEN 'Risk' ELSE 'Normal' END AS fatigue_label,
                        CASE WHEN overheating > 0 THEN 'Critical' ELSE 'Clear' END AS overheating_label,
                        CASE WHEN fraud_alerts > 0 THEN 'Review' ELSE 'OK' END AS fraud_label
                 FROM ({_EXEC}), (SELECT count(DISTINCT vehicle_id) AS overheating FROM vlast WHERE avg_engine_temp_c > 90)""", "dlast", "vm", "vlast"),
     ),
     "finance_labels": (
-        lambda f: overview.finance_labels(finance.finance_kpis(f.driver_mart, *_SPAN)),
+        lambda f: overview.finance_labels(finance.finance_kpis(f.driver_mart, *f.span)),
         sql(f"SELECT *, CASE WHEN fraud_alerts > 5 THEN 'High Risk' ELSE 'Normal' END AS fraud_label FROM ({_FIN})", "dm"),
     ),
     "quality_labels": (

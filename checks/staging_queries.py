@@ -33,6 +33,24 @@ def vehicle_violations(f: Fleet) -> DataFrame:
     return _vehicles(f).select("event_id", "violations")
 
 
+def health_violations(f: Fleet) -> DataFrame:
+    return _health(f).select("event_id", "violations")
+
+
+def _bad_finance(f: Fleet) -> DataFrame:
+    return staging.finance_violations(raw.read_raw(f.spark, f.lake("bad_finance"), schemas.RAW_FINANCE))
+
+
+def finance_violations(f: Fleet) -> DataFrame:
+    return _bad_finance(f).select("event_id", "violations")
+
+
+def trip_violations(f: Fleet) -> DataFrame:
+    """Trips of the days that pass."""
+    good, _ = staging.enforce(_bad_finance(f), "quarantine")
+    return staging.trip_violations(staging.explode_trips(good)).select("daily_event_id", "event_id", "violations")
+
+
 def stage_vehicles(f: Fleet) -> DataFrame:
     good, _ = staging.enforce(_vehicles(f), "quarantine")
     return staging.stage_vehicles(good)
@@ -121,6 +139,26 @@ QUERIES = {
     "vehicle_violations": (
         vehicle_violations, sql("SELECT eid AS event_id, violations FROM coded", "ev", rawv=_RAWV, coded=_CODES),
     ),
+    "health_violations": (
+        health_violations,
+        sql("""SELECT 'health_' || CAST(event_id AS VARCHAR) AS event_id,
+                      list_filter([CASE WHEN shift_hours < 0 THEN 'shift_hours_negative' END,
+                                   CASE WHEN fatigue > 1 THEN 'fatigue_out_of_range' END], lambda x: x IS NOT NULL) AS violations
+               FROM rawh""", "ev", rawh=_RAWH),
+    ),
+    "finance_violations": (
+        finance_violations,
+        """SELECT CAST(o_orderkey AS VARCHAR) AS event_id,
+                  CASE o_orderstatus WHEN 'F' THEN ['revenue_negative', 'bad_time']
+                                     WHEN 'P' THEN ['bad_type_total_cost', 'bad_type_trips', 'null_driver_id']
+                                     ELSE CAST([] AS VARCHAR[]) END AS violations FROM orders""",
+    ),
+    "trip_violations": (
+        trip_violations,
+        """SELECT CAST(o_orderkey AS VARCHAR) AS daily_event_id, 't' || CAST(i AS VARCHAR) AS event_id,
+                  CASE WHEN i = 2 THEN ['cost_negative'] ELSE CAST([] AS VARCHAR[]) END AS violations
+           FROM orders, (SELECT unnest([1, 2]) AS i) t WHERE o_orderstatus NOT IN ('F', 'P')""",
+    ),
     "stage_vehicles": (
         stage_vehicles,
         sql(f"""SELECT eid AS event_id, vehicle_id, driver_id, stamp AS timestamp, lat, lon, speed_kph, fuel_percent,

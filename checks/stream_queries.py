@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from checks.binding import Fleet
-from checks.oracle import VEHICLE_MART, rounded, sql
+from checks.oracle import DRIVER_MART, VEHICLE_MART, rounded, sql
 from checks.staging_queries import _CLEAN_V, _CODES, _RAWV
 from roadbook import schemas
 from roadbook.operators import staging
@@ -79,6 +79,21 @@ def stream_refresh(f: Fleet) -> DataFrame:
     return tables.read_table(f.spark, root, "fact_vehicle_daily_metrics")
 
 
+def stream_refresh_driver_mart(f: Fleet) -> DataFrame:
+    """Streams of all three facts over one warehouse, each in two drops; final driver mart."""
+    root = scratch_path(f.spark, "warehouse")
+    warehouse.seed_thresholds(f.spark, root, f.thresholds)
+    warehouse.build_dimensions(f.spark, root, f.driver_master, f.vehicle_master)
+    facts = {"telemetry": "fact_vehicle_telemetry", "shifts": "fact_driver_shifts", "finance": "fact_daily_finance"}
+    for name, fact in facts.items():
+        path, checkpoint = scratch_path(f.spark, "drop"), scratch_path(f.spark, "ckpt")
+        for part in (f.early(name), f.late(name)):
+            align(part, schemas.TABLES[fact]).write.mode("append").parquet(path)
+            rows = f.spark.readStream.schema(schemas.TABLES[fact]).parquet(path)
+            ingest.run_available(rows.writeStream.foreachBatch(stateful.stream_refresh(root, fact)), checkpoint)
+    return tables.read_table(f.spark, root, "fact_driver_daily_metrics")
+
+
 def stream_harsh_brake(f: Fleet) -> DataFrame:
     """Two drops in time order; the flags equal the batch result."""
     path, out, state, checkpoint = (scratch_path(f.spark, n) for n in ("drop", "out", "state", "ckpt"))
@@ -134,6 +149,7 @@ QUERIES = {
                WHERE comparison_op = '>' AND v >= warning_threshold OR comparison_op = '<' AND v <= warning_threshold""", "tel", "veh", "thr"),
     ),
     "stream_refresh": (stream_refresh, sql(f"SELECT {rounded(VEHICLE_MART)} FROM vm", "vm")),
+    "stream_refresh_driver_mart": (stream_refresh_driver_mart, sql(f"SELECT {rounded(DRIVER_MART)} FROM dm", "dm")),
     "stream_harsh_brake": (
         stream_harsh_brake,
         sql("""SELECT event_id, vehicle_id, round(prev, 6) AS prev_speed_kph,
