@@ -28,6 +28,8 @@ IDENTITY = {
     "fact_daily_finance": ["event_id", "driver_id", "date_key"],
 }
 
+# facts that tell when an entity was seen
+ENTITY = {"fact_driver_shifts": "driver_id", "fact_vehicle_telemetry": "vehicle_id"}
 MARTS = ["fact_driver_daily_metrics", "fact_vehicle_daily_metrics"]
 
 
@@ -175,6 +177,8 @@ def refresh_marts(spark: SparkSession, root: str, policy: str = "touched_keys")
     stored one; keys of earlier days stay noted, as their marts remain out of date.
     """
     loads = {name: pending_loads(spark, root, name) for name in IDENTITY}
+    for name in ENTITY:
+        refresh_activity(spark, root, name)
     if policy == "high_watermark":
         marks = {mart: _mark(spark, root, mart) for mart in MARTS}
         refresh_driver_mart(spark, root, policy)
@@ -214,6 +218,35 @@ def refresh_vehicle_mart(
     )
 
 
+def refresh_activity(spark: SparkSession, root: str, name: str) -> None:
+    """Recompute, for the days noted by any load, when each entity was first and last seen on the day.
+
+    Dimensions are built from these few rows instead of the complete fact. Days are computed whole
+    from the fact, so a repeated or broken run does no harm; settling comes after it.
+    """
+    days, path = tables.days_of(pending(spark, root, name)), _activity_path(root, name)
+    if not days:
+        return
+    entity = ENTITY[name]
+    seen = _days(tables.read_table(spark, root, name), days).groupBy(entity, "date_key").agg(
+        F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last")
+    )
+    written = tables.write_fact(seen, path)
+    tables.drop_days(spark, path, [d for d in days if d not in written])
+
+
+def activity(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Entity and event time: the first and the last event of each entity and day."""
+    schema = f"{ENTITY[name]} string, first timestamp_ntz, last timestamp_ntz, date_key date"
+    path = _activity_path(root, name)
+    rows = spark.read.schema(schema).parquet(path) if storage.exists(spark, path) else spark.createDataFrame([], schema)
+    return rows.select(ENTITY[name], F.explode(F.array("first", "last")).alias("event_timestamp"))
+
+
+def _activity_path(root: str, name: str) -> str:
+    return tables.table_path(tables.table_path(root, "activity"), name)
+
+
 def _mark(spark: SparkSession, root: str, mart: str) -> dt.date:
     return tables.read_table(spark, root, mart).agg(F.max("date_key")).first()[0] or EPOCH_START
 
@@ -256,6 +289,8 @@ def build_dimensions(
 
     The calendar covers ``start`` to ``end`` and is extended to the days that the facts hold.
     """
+    for name in ENTITY:
+        refresh_activity(spark, root, name)
     for name in IDENTITY:
         low, high = tables.read_table(spark, root, name).agg(F.min("date_key"), F.max("date_key")).first()
         start, end = min(start, low or start), max(end, high or end)
@@ -266,11 +301,11 @@ def build_dimensions(
         ),
         "dim_driver": dimensions.build_dim_driver(
             tables.read_current(spark, root, "dim_driver"), drivers,
-            tables.read_table(spark, root, "fact_driver_shifts"),
+            activity(spark, root, "fact_driver_shifts"),
         ),
         "dim_vehicle": dimensions.build_dim_vehicle(
             tables.read_current(spark, root, "dim_vehicle"), vehicles,
-            tables.read_table(spark, root, "fact_vehicle_telemetry"),
+            activity(spark, root, "fact_vehicle_telemetry"),
         ),
     }
     for name, df in builds.items():

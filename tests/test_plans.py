@@ -183,6 +183,22 @@ def test_calendar_reaches_as_far_as_the_facts(spark, tmp_path, masters):
     assert tables.read_current(spark, root, "dim_date").agg(F.max("date_key")).first()[0] == dt.date(2029, 5, 3)
 
 
+def test_dimensions_read_no_fact(spark, tmp_path, masters):
+    root = str(tmp_path)
+    shifts = [(f"s{d}", "DR_1", dt.datetime(2026, 2, d, 8), 9.0, 9.0, 0.8, True, ["x"], dt.date(2026, 2, d)) for d in (3, 5)]
+    warehouse.load_fact(spark, root, "fact_driver_shifts", spark.createDataFrame(shifts, schemas.FACT_DRIVER_SHIFTS))
+    warehouse.build_dimensions(spark, root, *masters)
+    dim = {r.driver_id: (r.first_seen_at, r.last_seen_at) for r in tables.read_current(spark, root, "dim_driver").collect()}
+    assert dim == {"DR_1": (dt.datetime(2026, 2, 3, 8), dt.datetime(2026, 2, 5, 8)), "DR_2": (None, None)}
+    assert "fact_driver_shifts/date_key" not in plan(warehouse.activity(spark, root, "fact_driver_shifts"))
+    # a shift that moves to another day is no longer seen on the old one
+    warehouse.load_fact(spark, root, "fact_driver_shifts", spark.createDataFrame([
+        ("s5", "DR_1", dt.datetime(2026, 2, 4, 8), 9.0, 9.0, 0.8, True, ["x"], dt.date(2026, 2, 4))], schemas.FACT_DRIVER_SHIFTS))
+    warehouse.build_dimensions(spark, root, *masters)
+    seen = sorted({r.event_timestamp.day for r in warehouse.activity(spark, root, "fact_driver_shifts").collect()})
+    assert seen == [3, 4]
+
+
 def test_harsh_brake_plan(spark):
     text = plan(alerts.harsh_brake(samples(spark, ("a", "v", 1, 1.0))))
     assert "hint" not in text.lower()
