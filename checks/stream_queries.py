@@ -30,18 +30,11 @@ def _stream(f: Fleet, path: str, max_files: int | None = None) -> DataFrame:
     return ingest.event_time(ingest.stream_raw(f.spark, path, schemas.RAW_VEHICLES, max_files))
 
 
-def _collect(f: Fleet, df: DataFrame, mode: str = "append") -> DataFrame:
+def _collect(f: Fleet, df: DataFrame) -> DataFrame:
     """Run a stream into a table and read the table back."""
     out, checkpoint = scratch_path(f.spark, "out"), scratch_path(f.spark, "ckpt")
-    if mode == "append":
-        ingest.run_available(df.writeStream.format("parquet").option("path", out), checkpoint)
-        return f.spark.read.schema(df.schema).parquet(out)
-
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        tables.replace_table(batch, out, version=batch_id + 1)
-
-    ingest.run_available(df.writeStream.foreachBatch(keep).outputMode(mode), checkpoint)
-    return tables.read_version(f.spark, out, df.schema)
+    ingest.run_available(df.writeStream.format("parquet").option("path", out), checkpoint)
+    return f.spark.read.schema(df.schema).parquet(out)
 
 
 def stream_dedup(f: Fleet) -> DataFrame:
@@ -56,9 +49,13 @@ def stream_dedup(f: Fleet) -> DataFrame:
 
 
 def stream_vehicle_daily(f: Fleet) -> DataFrame:
-    path = scratch_path(f.spark, "drop")
-    _drop(f.telemetry, path)
-    return _collect(f, live.stream_vehicle_daily(_stream(f, path)), "complete")
+    """Two drops, the second with late rows of days that are stored already."""
+    path, root, checkpoint = (scratch_path(f.spark, n) for n in ("drop", "live", "ckpt"))
+    for part in (f.early("telemetry"), f.late("telemetry")):
+        _drop(part, path, overwrite=False)
+        figures = live.stream_vehicle_daily(_stream(f, path), "60 days")
+        ingest.run_available(figures.writeStream.foreachBatch(live.keep_vehicle_daily(root)).outputMode("update"), checkpoint)
+    return tables.read_table(f.spark, root, "live_vehicle_daily")
 
 
 def stream_alerts(f: Fleet) -> DataFrame:

@@ -126,6 +126,11 @@ FACT_VEHICLE_DAILY_METRICS = _table(
     speeding_alert="boolean", engine_temp_alert="boolean", battery_alert="boolean",
 )
 
+# daily figures kept by a stream: the measures of the vehicle mart, without rates and flags
+LIVE_VEHICLE_DAILY = T.StructType([
+    f for f in FACT_VEHICLE_DAILY_METRICS if f.name != "speeding_rate" and not f.name.endswith("_alert")
+])
+
 ALERT_THRESHOLDS = _table(
     metric_name="string", warning_threshold="double", critical_threshold="double",
     comparison_op="string", description="string", is_active="boolean",
@@ -147,6 +152,7 @@ TABLES = {
     "finance_trips": STAGED_TRIPS,
     "fact_driver_daily_metrics": FACT_DRIVER_DAILY_METRICS,
     "fact_vehicle_daily_metrics": FACT_VEHICLE_DAILY_METRICS,
+    "live_vehicle_daily": LIVE_VEHICLE_DAILY,
     "alert_thresholds": ALERT_THRESHOLDS,
     "alerts": ALERTS,
 }

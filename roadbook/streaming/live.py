@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
-from roadbook.operators import marts
+from roadbook import schemas
+from roadbook.operators import marts, upserts
 from roadbook.operators.alerts import ALERT_COLUMNS, evaluate_thresholds
+from roadbook.operators.conform import align
+from roadbook.plans import warehouse
+from roadbook.sources import tables
 
 # Threshold name -> telemetry column.
 SAMPLE_METRICS = {"engine_temp_c": "engine_temp_c", "battery_voltage": "battery_v"}
 
 
 def stream_vehicle_daily(df: DataFrame, delay: str = "1 day") -> DataFrame:
-    """One-day tumbling figures per vehicle; partial aggregation runs ahead of the state store."""
+    """One-day tumbling figures per vehicle; partial aggregation runs ahead of the state store.
+
+    Run it in update mode with :func:`keep_vehicle_daily`: a batch then gives the vehicle-days it
+    changed, and the watermark frees the state of days that are over.
+    """
     return (
         df.withWatermark("event_timestamp", delay)
         .groupBy(F.window("event_timestamp", "1 day"), "vehicle_id")
@@ -22,6 +32,22 @@ def stream_vehicle_daily(df: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
+def keep_vehicle_daily(root: str) -> Callable[[DataFrame, int], None]:
+    """Put the vehicle-days of a batch in place of the stored ones; only their days are rewritten."""
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark, name = batch.sparkSession, "live_vehicle_daily"
+        warehouse.recover_swaps(spark, root, name)
+        changed = tables.materialize(align(batch, schemas.TABLES[name]), name)
+        days = tables.days_of(changed)
+        if days:
+            stored = tables.read_table(spark, root, name).where(F.col("date_key").isin(days))
+            kept = upserts.delete_keys(stored, changed, marts.VEHICLE_DAY)
+            warehouse.swap_days(spark, root, name, kept.unionByName(changed), days)
+
+    return on_batch
+
+
 def stream_alerts(df: DataFrame, thresholds: DataFrame, dim_vehicle: DataFrame) -> DataFrame:
     """Samples of active vehicles over a limit, against the static rules and dimension."""
     active = dim_vehicle.where(F.col("status") == "ACTIVE").select("vehicle_id")
