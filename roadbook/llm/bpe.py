@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import json
 import re
-from array import array
+from collections.abc import Callable, Iterable
 from functools import lru_cache
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from roadbook.llm.frames import append_columns
 
@@ -23,8 +24,8 @@ from roadbook.llm.frames import append_columns
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White space that meets a space.
 DEPENDENT = re.compile(r" \s|[^\S ] ")
-#: Distinct chunks, and verdicts on token pairs, that a worker remembers; only speed depends on them.
-KNOWN_CHUNKS, KNOWN_PAIRS = 400_000, 1_000_000
+#: Chunks, words and ends of prefixes that a worker remembers; only speed depends on them.
+KNOWN_CHUNKS, KNOWN_WORDS, KNOWN_ENDINGS = 200_000, 150_000, 100_000
 
 
 def _byte_characters() -> dict[str, int]:
@@ -69,8 +70,7 @@ class Vocabulary:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.longest = max(map(len, self.number), default=1)
         self.root = self.size  # stands for the empty prefix
-        self.apart: dict[int, bool] = {}  # left token << 32 | right token
-        self.endings: dict[int, list[tuple[int, int]]] = {}  # last token << 8 | next byte
+        self.endings: dict[int, list[tuple[int, int, dict[int, bool]]]] = {}  # last token << 8 | next byte
         self.whole: dict[int, bool] = {}
 
     def stay_apart(self, a: int, b: int, before: int | None = None) -> bool:
@@ -106,53 +106,54 @@ class Vocabulary:
             self.whole[token] = known
         return known
 
-    def _ending(self, token: int, byte: int) -> list[tuple[int, int]]:
-        """Tokens that end the bytes of a token and one more byte, longest first, with their lengths."""
+    def _ending(self, token: int, byte: int) -> list[tuple[int, int, dict[int, bool]]]:
+        """Tokens that end the bytes of a token and one more byte, longest first: number, length, verdicts.
+
+        A verdict says whether the token stays apart from the token on its left; it does from the root.
+        """
         whole = self.bytes_of[token] + bytes([byte]) if token != self.root else bytes([byte])
         found = [(self.number.get(whole[i:]), len(whole) - i) for i in range(len(whole))]
-        return [(t, n) for t, n in found if t is not None and self._is_whole(t)]
+        return [(t, n, {self.root: True}) for t, n in found if t is not None and self._is_whole(t)]
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
+    def encode_words(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """The tokens of each word; words share the work on common prefixes.
 
         Sorted words are the trie in depth-first order: ``last`` holds the last tokens of the prefixes on
         the branch of the current word, and only what a word does not share with the one before is added.
         """
-        out: list[list[int]] = [[]] * len(words)
-        root, endings, apart, bytes_of = self.root, self.endings, self.apart, self.bytes_of
-        last, before = [root], b""
+        out: list[tuple[int, ...]] = [()] * len(words)
+        endings, bytes_of = self.endings, self.bytes_of
+        if len(endings) > KNOWN_ENDINGS:
+            endings.clear()
+        last, before = [self.root], b""
         for k in sorted(range(len(words)), key=words.__getitem__):
             word = words[k]
             depth = _shared(before, word)
             del last[depth + 1 :]
             token, before = last[depth], word
-            for depth in range(depth, len(word)):
-                edge = token << 8 | word[depth]
+            for byte in word[depth:]:
+                edge = token << 8 | byte
                 choice = endings.get(edge)
                 if choice is None:
-                    choice = endings[edge] = self._ending(token, word[depth])
-                for token, length in choice:
-                    left = last[depth + 1 - length]
-                    if left == root:
-                        break
-                    verdict = apart.get(left << 32 | token)
-                    if verdict is None:
-                        verdict = apart[left << 32 | token] = self.stay_apart(left, token)
+                    choice = endings[edge] = self._ending(token, byte)
+                for token, length, verdicts in choice:
+                    left = last[-length]
+                    verdict = verdicts.get(left)
                     if verdict:
                         break
+                    if verdict is None:
+                        verdict = verdicts[left] = self.stay_apart(left, token)
+                        if verdict:
+                            break
                 else:
-                    token = self._longer(word, depth + 1, choice[0][1] if choice else 0, last)
+                    token = self._longer(word, len(last), choice[0][1] if choice else 0, last)
                 last.append(token)
             tokens, depth = [], len(word)
             while depth:
                 token = last[depth]
                 tokens.append(token)
                 depth -= len(bytes_of[token])
-            out[k] = tokens[::-1]
-        if len(apart) > KNOWN_PAIRS:
-            apart.clear()
-        if len(endings) > KNOWN_PAIRS:
-            endings.clear()
+            out[k] = tuple(tokens[::-1])
         return out
 
     def _longer(self, word: bytes, depth: int, length: int, last: list[int]) -> int:
@@ -176,8 +177,31 @@ def _shared(a: bytes, b: bytes) -> int:
     return n
 
 
+class Recent:
+    """Remembers what was made for keys. When it is full, what was not used since it was last full goes."""
+
+    def __init__(self, limit: int, make: Callable[[list], Iterable]):
+        self.limit, self.make = limit, make
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def recall(self, keys: list) -> list:
+        """What belongs to each key, made where it is not remembered."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        found = list(map(self.young.get, keys))
+        if None not in found:
+            return found
+        missing = list({key for key, value in zip(keys, found, strict=True) if value is None})
+        kept = list(map(self.old.get, missing))
+        new = [key for key, value in zip(missing, kept, strict=True) if value is None]
+        self.young.update((key, value) for key, value in zip(missing, kept, strict=True) if value is not None)
+        self.young.update(zip(new, self.make(new), strict=True))
+        return list(map(self.young.__getitem__, keys))
+
+
 class Codec:
-    """Encodes and decodes lists of texts; keeps the tokens of what it has met.
+    """Encodes and decodes lists of texts; keeps the tokens of what it has met lately.
 
     A text is cut at single spaces. The key of what follows a space is that chunk; the key of any other
     piece begins with a space, which no chunk has.
@@ -186,24 +210,17 @@ class Codec:
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self.words = regex.compile(WORD_PATTERN)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.index: dict[str, int] = {}  # key -> place of its tokens
-        self.known: dict[str, list[int]] = {}  # word -> tokens
-        self.flat, self.ends = array("i", [0]), array("q", [1])
+        self.known = Recent(KNOWN_WORDS, lambda new: self.vocabulary.encode_words([w.encode() for w in new]))
+        self.chunks = Recent(KNOWN_CHUNKS, self._encode_chunks)
 
-    def _learn(self, keys: set[str]) -> None:
+    def _encode_chunks(self, keys: list[str]) -> Iterable[tuple[int, ...]]:
         """Encode pieces that are met for the first time."""
-        known, findall = self.known, self.words.findall
-        cut = [findall(key[1:] if key[:1] == " " else " " + key) for key in keys]
-        new = [word for word in set().union(*cut) if word not in known]
-        known.update(zip(new, self.vocabulary.encode_words([w.encode() for w in new]), strict=True))
-        for key, words in zip(keys, cut, strict=True):
-            for word in words:
-                self.flat.extend(known[word])
-            self.index[key] = len(self.ends) - 1
-            self.ends.append(len(self.flat))
+        findall = self.words.findall
+        # letters alone are one word
+        cut = [[" " + k] if k.isalpha() else findall(k[1:] if k[:1] == " " else " " + k) for k in keys]
+        distinct = list(set(chain.from_iterable(cut)))
+        tokens = dict(zip(distinct, self.known.recall(distinct), strict=True))
+        return [tokens[c[0]] if len(c) == 1 else tuple(chain.from_iterable(map(tokens.__getitem__, c))) for c in cut]
 
     def _keys(self, text: str) -> list[str]:
         """Keys of the parts of a text that can be cut into words by themselves.
@@ -217,7 +234,7 @@ class Codec:
         keys[0] = " " + keys[0]
         return keys
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str]) -> tuple[list[int], list[int]]:
         """All tokens in a row, and where each text's tokens end."""
         special, keys, ends = self.vocabulary.special, [], []
         marks: list[tuple[int, int]] = []  # places of added tokens
@@ -230,24 +247,11 @@ class Codec:
                 elif part:
                     keys.extend(self._keys(part))
             ends.append(len(keys))
-        if len(self.index) > KNOWN_CHUNKS:
-            self._forget()
-        places = list(map(self.index.get, keys))
-        if None in places:
-            self._learn({key for key, at in zip(keys, places, strict=True) if at is None})
-            places = map(self.index.__getitem__, keys)
-        place = np.fromiter(places, np.int64, len(keys))
-        bounds, flat = np.frombuffer(self.ends, np.int64), np.frombuffer(self.flat, np.int32)
-        begin = bounds[place]
-        count = bounds[place + 1] - begin
-        for at, _ in marks:
-            count[at] = 1
-        reach = np.concatenate([[0], np.cumsum(count)])
-        source = np.repeat(begin - reach[:-1], count) + np.arange(reach[-1])
-        tokens = flat[np.minimum(source, len(flat) - 1)]
+        found = self.chunks.recall(keys)
         for at, token in marks:
-            tokens[reach[at]] = token
-        return tokens, reach[np.asarray(ends, np.int64)]
+            found[at] = (token,)
+        reach = [0, *accumulate(map(len, found))]
+        return list(chain.from_iterable(found)), [reach[end] for end in ends]
 
     def decode(self, tokens: list[int]) -> str:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, tokens)).decode("utf-8", "replace")
@@ -263,19 +267,22 @@ ENCODED = T.StructType([T.StructField("token_ids", T.ArrayType(T.IntegerType(),
 DECODED = T.StructType([T.StructField("decoded_text", T.StringType(), False)])
 
 
-def _token_lists(known: Codec, texts: list[str | None]) -> pa.ListArray:
-    tokens, ends = known.encode([t or "" for t in texts])
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(tokens, pa.int32()))
+def _token_lists(tokens: list[int], ends: list[int]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(np.array(tokens, np.int32)))
 
 
-def encode_documents(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, text_column: str = "text", keep_text: bool = True) -> DataFrame:
     """Rows with ``token_ids``, the tokens of the whole text under the vocabulary file at ``path``.
 
     Strings of added tokens inside a text become those tokens; none is added besides. A null or empty
     text has no tokens. Repeated rows are encoded each; an input column ``token_ids`` is replaced. The
     vocabulary file must be present on each worker.
     """
-    return append_columns(docs, text_column, ENCODED, lambda texts: [_token_lists(codec(path), texts)])
+
+    def compute(texts: list[str | None]) -> list[pa.Array]:
+        return [_token_lists(*codec(path).encode([t or "" for t in texts]))]
+
+    return append_columns(docs, text_column, ENCODED, compute, keep_source=keep_text)
 
 
 def decode_documents(encoded: DataFrame, path: str, ids_column: str = "token_ids") -> DataFrame:
@@ -289,16 +296,16 @@ def decode_documents(encoded: DataFrame, path: str, ids_column: str = "token_ids
         known = codec(path)
         return [pa.array([known.decode(x or []) for x in lists], pa.string())]
 
-    kept = encoded.withColumn("__ids", F.col(f"`{ids_column}`"))
-    return append_columns(kept, "__ids", DECODED, compute, "array<int>").drop("__ids")
+    return append_columns(encoded, ids_column, DECODED, compute, "array<int>")
 
 
-def round_trip(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, text_column: str = "text", keep_text: bool = True) -> DataFrame:
     """Both of the above in one pass: ``token_ids``, and ``decoded_text`` made from these tokens alone."""
 
     def compute(texts: list[str | None]) -> list[pa.Array]:
         known = codec(path)
-        lists = _token_lists(known, texts)
-        return [lists, pa.array([known.decode(x.values.to_pylist() if len(x) else []) for x in lists], pa.string())]
+        tokens, ends = known.encode([t or "" for t in texts])
+        decoded = [known.decode(tokens[begin:end]) for begin, end in pairwise([0, *ends])]
+        return [_token_lists(tokens, ends), pa.array(decoded, pa.string())]
 
-    return append_columns(docs, text_column, T.StructType([*ENCODED.fields, *DECODED.fields]), compute)
+    return append_columns(docs, text_column, T.StructType([*ENCODED.fields, *DECODED.fields]), compute, keep_source=keep_text)

@@ -55,14 +55,16 @@ def blocks(values: pa.Array, limit: int = BLOCK_CHARS) -> Iterator[tuple[int, in
 
 
 def append_columns(
-    df: DataFrame, column: str, added: T.StructType, compute: Callable[[list], list[pa.Array]], kind: str = "string"
+    df: DataFrame, column: str, added: T.StructType, compute: Callable[[list], list[pa.Array]], kind: str = "string",
+    keep_source: bool = True,
 ) -> DataFrame:
     """Rows with the columns ``added`` computed from one column, in one Arrow pass without a shuffle.
 
     ``compute`` gets a list of values, cast to ``kind``, and returns one Arrow array per added column.
-    An input column of the same name as an added one is replaced.
+    An input column of the same name as an added one is replaced. Without ``keep_source`` the column that
+    is computed from goes, which spares sending it back.
     """
-    names = {f.name.lower() for f in added.fields}
+    names = {f.name.lower() for f in added.fields} | (set() if keep_source else {column.lower()})
     keep = [c for c in df.columns if c.lower() not in names]
     frame = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{column}`").cast(kind).alias("__value"))
     schema = T.StructType([*frame.schema.fields[:-1], *added.fields])

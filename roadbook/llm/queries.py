@@ -21,7 +21,7 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame, path: str, keep: list[str] = ()) -> DataFrame:
     """Per row: id, token count, and digests of the tokens and of the text decoded from them."""
-    coded = bpe.round_trip(docs.select("doc_id", "text"), path, "text")
+    coded = bpe.round_trip(docs.select("doc_id", "text"), path, keep_text=False)
     return coded.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
