@@ -45,8 +45,12 @@ DROPPED_NAMES = frozenset(
     " promotion promoted cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription"
     " signup nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside widget widgets related recommended"
     " recommendations share sharing social comment comments commentlist respond replies reply disqus discussion footer"
-    " masthead toolbar pager pagination login search skip hidden".split()
+    " masthead toolbar topbar pager pagination login search skip hidden alert alerts rail".split()
 )
+DROPPED_ENDINGS, DROPPED_BEGINNINGS = ("nav", "navbar", "menu"), ("advert", "sidebar", "cookie", "footer", "breadcrumb", "newsletter")
+#: Words that turn a name into a remark on the page, as in no-sidebar; and those of a header that belongs to the article.
+REMARKS = frozenset("no not has with without is".split())
+OWN_HEADERS = frozenset("article post entry content story section".split())
 KEPT_NAMES = frozenset("html body article main".split())
 #: Points of a block: for being there, per comma, and per hundred characters up to a limit.
 BASE_POINTS, LENGTH_UNIT, LENGTH_POINTS = 1.0, 100, 3.0
@@ -92,7 +96,7 @@ def _is_dropped(tag: str, attributes: str, parent: Element | None) -> bool:
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next(filter(None, values), "")
         if name in ("class", "id"):
-            if any(part.lower() in DROPPED_NAMES for part in _NAME.findall(value)):
+            if any(_names_dropped(token, parent) for token in value.split()):
                 return True
         elif name == "role" and value.strip().lower() in DROPPED_ROLES:
             return True
@@ -103,6 +107,16 @@ def _is_dropped(tag: str, attributes: str, parent: Element | None) -> bool:
     return False
 
 
+def _names_dropped(token: str, parent: Element | None) -> bool:
+    """Whether a class or id names a part that is no part of an article."""
+    parts = [part.lower() for part in _NAME.findall(token)]
+    if not parts or parts[0] in REMARKS:
+        return False
+    if any(p in DROPPED_NAMES or p.endswith(DROPPED_ENDINGS) or p.startswith(DROPPED_BEGINNINGS) for p in parts):
+        return True
+    return "header" in parts and not OWN_HEADERS.intersection(parts) and not _within(parent, ("article", "main"))
+
+
 def _within(element: Element | None, tags: tuple[str, ...]) -> Element | None:
     while element is not None and element.tag not in tags:
         element = element.parent

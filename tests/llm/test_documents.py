@@ -120,6 +120,19 @@ def test_main_text():
     assert html.main_text("<body>Direct text<br>here<p>and a paragraph</body>") == "Direct text here\n\nand a paragraph"
 
 
+@pytest.mark.parametrize("part, stays", [
+    ('<div class="site-header"><p>x, y</p></div>', False), ('<div class="article-header"><p>x, y</p></div>', True),
+    ('<div class="wide no-sidebar"><p>x, y</p></div>', True), ('<div id="topNav"><p>x, y</p></div>', False),
+    ('<div class="post_comments"><p>x, y</p></div>', False), ('<div class="commentary"><p>x, y</p></div>', True),
+    ('<div role="complementary"><p>x, y</p></div>', False), ('<div aria-hidden="true"><p>x, y</p></div>', False),
+    ('<div style="display: none"><p>x, y</p></div>', False), ('<div class="adverts"><p>x, y</p></div>', False),
+    ('<div class="shadow"><p>x, y</p></div>', True), ("<table><tr><td>x, y<td>z</table>", True),
+])
+def test_named_parts(part, stays):
+    found = html.main_text(f"<body><div><p>One, two, three.</p>{part}<p>Four, five, six.</p></div></body>")
+    assert ("x, y" in found) == stays and found.startswith("One, two, three.") and found.endswith("Four, five, six.")
+
+
 @pytest.mark.parametrize("source, wanted", [
     (None, ""), ("", ""), ("no tags, at all", "no tags, at all"), ("<p>a<p>b", "a\n\nb"), ("<article></article>", ""),
     ("<p>1 < 2 & 3 > 2</p>", "1 < 2 & 3 > 2"), ("<!-- never closed <p>x</p>", ""), ("<div>" * 3000 + "deep", "deep"),
