@@ -65,9 +65,13 @@ def fingerprints(texts: list[str | None]) -> np.ndarray:
     return out
 
 
-def with_fingerprints(docs: DataFrame, text_column: str = "text") -> DataFrame:
+def with_fingerprints(docs: DataFrame, text_column: str = "text", keep_text: bool = True) -> DataFrame:
     """Rows with ``fingerprint``; a text without words (null too) has zero."""
-    return append_columns(docs, text_column, _MARKED, lambda texts: [pa.array(fingerprints(texts), pa.int64())])
+
+    def compute(texts: list[str | None]) -> list[pa.Array]:
+        return [pa.array(fingerprints(texts), pa.int64())]
+
+    return append_columns(docs, text_column, _MARKED, compute, keep_source=keep_text)
 
 
 def variant_keys(values: np.ndarray) -> np.ndarray:
@@ -239,7 +243,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     and are folded before the search, so groups of copies cost nothing there. Repeated rows are all given.
     """
     named = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
-    marked = with_fingerprints(named.withColumn("mark", text_mark(F.col("text"))), "text")
+    marked = with_fingerprints(named.withColumn("mark", text_mark(F.col("text"))), "text", keep_text=False)
     rows, _ = written(marked, "fingerprints")
     distinct, _ = written(rows.groupBy("fingerprint").agg(F.min("id").alias("first_id")), "distinct")
     found = components(links(distinct))
