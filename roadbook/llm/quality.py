@@ -64,7 +64,7 @@ def statistics(text: str | None) -> list[float]:
 _STATED = T.StructType([T.StructField("stats", T.ArrayType(T.DoubleType(), False), False)])
 
 
-def with_statistics(docs: DataFrame, text_column: str = "text") -> DataFrame:
+def with_statistics(docs: DataFrame, text_column: str = "text", keep_text: bool = True) -> DataFrame:
     """Rows with ``stats``, the statistics of the whole text."""
 
     def compute(texts: list[str | None]) -> list[pa.Array]:
@@ -72,7 +72,7 @@ def with_statistics(docs: DataFrame, text_column: str = "text") -> DataFrame:
         ends = np.arange(len(texts) + 1, dtype=np.int32) * len(STATISTICS)
         return [pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))]
 
-    return append_columns(docs, text_column, _STATED, compute)
+    return append_columns(docs, text_column, _STATED, compute, keep_source=keep_text)
 
 
 @dataclass
@@ -222,7 +222,7 @@ def classify(
     read once; statistics are written to the shared folder, as three passes use them.
     """
     named = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
-    stated, _ = written(with_statistics(named, "text"), "statistics")
+    stated, _ = written(with_statistics(named, "text", keep_text=False), "statistics")
     marks = labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label_column}`").alias("label"))
     rows, _ = written(learnable(stated, marks, "id", "label"), "labelled")
     model = fit(rows)
