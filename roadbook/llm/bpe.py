@@ -22,8 +22,11 @@ from roadbook.llm.frames import append_columns
 
 #: Fixed value: how byte-level vocabularies cut text before any merge.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: White space that meets a space.
+#: White space that meets a space, and white space besides spaces and line ends.
 DEPENDENT = re.compile(r" \s|[^\S ] ")
+OTHER_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
+#: Marks that are a word of their own behind letters and before a space.
+MARKS = frozenset(".,;:!?")
 #: Chunks, words and ends of prefixes that a worker remembers; only speed depends on them.
 KNOWN_CHUNKS, KNOWN_WORDS, KNOWN_ENDINGS = 200_000, 150_000, 100_000
 
@@ -216,8 +219,15 @@ class Codec:
     def _encode_chunks(self, keys: list[str]) -> Iterable[tuple[int, ...]]:
         """Encode pieces that are met for the first time."""
         findall = self.words.findall
-        # letters alone are one word
-        cut = [[" " + k] if k.isalpha() else findall(k[1:] if k[:1] == " " else " " + k) for k in keys]
+        cut = []
+        for key in keys:
+            # letters alone are one word, and so is a mark behind them; the pattern says the same, only later
+            if key.isalpha():
+                cut.append([" " + key])
+            elif key[-1:] in MARKS and key[:-1].isalpha():
+                cut.append([" " + key[:-1], key[-1]])
+            else:
+                cut.append(findall(key[1:] if key[:1] == " " else " " + key))
         distinct = list(set(chain.from_iterable(cut)))
         tokens = dict(zip(distinct, self.known.recall(distinct), strict=True))
         return [tokens[c[0]] if len(c) == 1 else tuple(chain.from_iterable(map(tokens.__getitem__, c))) for c in cut]
@@ -228,7 +238,7 @@ class Codec:
         A space between two characters that are no white space always begins a word. Where white space
         meets more white space, the words of the stretch depend on each other and are cut together.
         """
-        if DEPENDENT.search(text):
+        if "  " in text or "\n " in text or " \n" in text or (any(c in text for c in OTHER_SPACES) and DEPENDENT.search(text)):
             return [" " + word for word in self.words.findall(text)]
         keys = text.split(" ")
         keys[0] = " " + keys[0]
