@@ -42,7 +42,7 @@ def test_normal_equations_are_those_of_all_rows(spark):
     stats = chance.normal(size=(60, len(quality.STATISTICS)))
     label = (stats[:, 0] > 0).astype(float)
     rows = spark.createDataFrame(
-        [(s.tolist(), k % 2, y) for k, (s, y) in enumerate(zip(stats, label, strict=True))], "stats array<double>, fold int, label double"
+        [(s.tolist(), k % 2, float(y)) for k, (s, y) in enumerate(zip(stats, label, strict=True))], "stats array<double>, fold int, label double"
     ).repartition(5)
     mean, scale = quality._moments(rows)
     assert np.allclose(mean, stats.mean(axis=0)) and np.allclose(scale, stats.std(axis=0))
