@@ -15,7 +15,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from roadbook.llm.frames import append_columns, blocks, filter_rows, held_out
 
@@ -139,21 +139,32 @@ def _document_counts(rows: DataFrame) -> tuple[np.ndarray, dict[str, int]]:
     return present, languages
 
 
-def _sample(rows: DataFrame, languages: dict[str, int]) -> DataFrame:
-    """Up to ``SAMPLE`` distinct texts of each language, those with the least hashes.
+def _sample(rows: DataFrame) -> DataFrame:
+    """Of each language the ``SAMPLE`` distinct texts with the least hashes, or all if there are fewer.
 
-    A first cut by hash, at four times the expected share, leaves few rows, so nothing large is sorted.
+    Only hashes are ranked, at most ``SAMPLE`` a language and task; a task then gives each chosen text once.
     """
     hashed = rows.select("lang", "text", F.xxhash64("text").alias("hash"))
-    share = F.create_map(*[F.lit(x) for name, n in languages.items() for x in (name, min(1.0, 4 * SAMPLE / n))])
-    cut = hashed.where(F.pmod("hash", F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    least = hashed.select("lang", "hash").distinct().withColumn("rank", rank).where(F.col("rank") <= SAMPLE)
+    last = {r["lang"]: r["last"] for r in least.groupBy("lang").agg(F.max("hash").alias("last")).collect()}
+    limit = F.create_map(*[F.lit(x) for pair in last.items() for x in pair])
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch in batches:
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True))
+            new = [key not in seen and not seen.add(key) for key in keys]
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    cut = hashed.where(F.col("hash") <= limit[F.col("lang")]).mapInArrow(once, "lang string, text string, hash long")
     return cut.dropDuplicates(["lang", "hash"])
 
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model:
     """A model from rows that have a text and a language and whose id's crc32 is not divisible by five.
 
-    Document counts cover all of these rows; centroids come from at most ``SAMPLE`` texts per language.
+    Document counts cover all of these rows; centroids come from ``SAMPLE`` distinct texts per language, or all it has.
     """
     rows = docs.where(~held_out(id_column)).select(
         F.col(f"`{lang_column}`").cast("string").alias("lang"), F.col(f"`{text_column}`").cast("string").alias("text")
@@ -167,7 +178,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
         return Model(idf, [], np.zeros(0, int), np.zeros((0, PLACES), np.float32), np.zeros(0))
 
     def centroids(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("hash").head(SAMPLE)
+        part = part.sort_values("hash")
         table, found = counts(part["text"].tolist())
         vectors = weigh(table, idf)[found]
         if not len(vectors):
@@ -178,7 +189,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
             {"lang": key[0], "part": range(len(centers)), "vector": [c.tobytes() for c in centers], "floor": floor}
         )
 
-    found = _sample(rows, languages).groupBy("lang").applyInPandas(centroids, "lang string, part int, vector binary, floor double")
+    found = _sample(rows).groupBy("lang").applyInPandas(centroids, "lang string, part int, vector binary, floor double")
     got = sorted(found.collect(), key=lambda r: (r["lang"], r["part"]))
     names = sorted({r["lang"] for r in got})
     floor = {r["lang"]: r["floor"] for r in got}

@@ -93,3 +93,12 @@ def test_counts_do_not_depend_on_neighbours():
         alone, own = langid.counts([text])
         assert (alone[0] == together[k]).all() and own[0] == found[k]
     assert found.tolist() == [True, False, False, True, True, True, True]
+
+
+def test_copies_do_not_thin_the_sample(spark, monkeypatch, make_docs):
+    monkeypatch.setattr(langid, "SAMPLE", 5)
+    texts = [f"wort nummer {'abcdefghij'[k]} und noch eins" for k in range(10)]
+    docs = make_docs([(i, texts[i % 10], "de") for i in range(2000)] + [(i, "the one text of it", "en") for i in range(2000, 5000)])
+    rows = docs.select("lang", "text")
+    assert {r.lang: r["count"] for r in langid._sample(rows).groupBy("lang").count().collect()} == {"de": 5, "en": 1}
+    assert langid.fit(docs).languages == ["de", "en"]
