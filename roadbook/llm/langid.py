@@ -20,11 +20,14 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from roadbook.llm.frames import append_columns, blocks, filter_rows, held_out
 
 #: Places for hashed n-grams, longest n-gram, centroids per language.
-PLACES, LONGEST, CENTROIDS = 4096, 3, 4
+PLACES, LONGEST, CENTROIDS = 16384, 3, 4
 #: Texts per language that centroids are fitted on, at most.
 SAMPLE = 400
-#: A text is rejected below this share of the similarity that all but ``LOW_TAIL`` of a language's sample reach.
-REJECT_SHARE, LOW_TAIL = 0.25, 0.02
+#: A text is rejected below this share of the similarity that all but ``LOW_TAIL`` of a language's sample reach, cut to
+#: texts that fill as many places; the numbers of places are told apart by powers of two.
+REJECT_SHARE, LOW_TAIL, SPANS = 0.5, 0.02, 15
+#: Lengths the sample is cut to, besides whole texts, and texts counted at once.
+CUTS, AT_ONCE = (8, 16, 32, 64, 128, 256, 512), 256
 #: What a model may weigh, as it is sent to every worker.
 MODEL_BYTES = 256 << 20
 UNKNOWN = "und"
@@ -71,7 +74,7 @@ class Model:
     languages: list[str]
     of: np.ndarray  # language of each centroid
     centroids: np.ndarray
-    floor: np.ndarray  # similarity under which a language rejects
+    floor: np.ndarray  # similarity under which a language rejects, by span of filled places
 
     def vectors(self, table: np.ndarray) -> np.ndarray:
         return weigh(table, self.idf)
@@ -80,13 +83,45 @@ class Model:
         """Language, similarity to its nearest centroid, and whether the text is rejected."""
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-        table, found = counts(texts)
-        likeness = self.vectors(table) @ self.centroids.T
-        best = likeness.argmax(axis=1)
-        score = np.clip(likeness[np.arange(len(texts)), best].astype(np.float64), 0, 1) * found
-        language = self.of[best]
-        names = [self.languages[k] if f else UNKNOWN for k, f in zip(language, found, strict=True)]
-        return names, score, ~found | (score < self.floor[language])
+        names, scores, rejected = [], [np.zeros(0)], [np.zeros(0, bool)]
+        for begin in range(0, len(texts), AT_ONCE):
+            table, found = counts(texts[begin : begin + AT_ONCE])
+            likeness = self.vectors(table) @ self.centroids.T
+            best = likeness.argmax(axis=1)
+            score = np.clip(likeness[np.arange(len(table)), best].astype(np.float64), 0, 1) * found
+            language = self.of[best]
+            names += [self.languages[k] if f else UNKNOWN for k, f in zip(language, found, strict=True)]
+            scores.append(score)
+            rejected.append(~found | (score < self.floor[language, spans(table)]))
+        return names, np.concatenate(scores), np.concatenate(rejected)
+
+
+def spans(table: np.ndarray) -> np.ndarray:
+    """The power of two at or below the number of filled places."""
+    filled = (table > 0).sum(axis=1)
+    return np.minimum(np.log2(np.maximum(filled, 1)).astype(int), SPANS - 1)
+
+
+def floors(texts: list[str], idf: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """The least similarity accepted, by span, from texts and their beginnings.
+
+    A span that hardly any of them has takes the floor of the next shorter one.
+    """
+    likeness, span = [np.zeros(0)], [np.zeros(0, int)]
+    for cut in (*CUTS, None):
+        parts = [t[:cut] for t in texts if cut is None or len(t) > cut]
+        for begin in range(0, len(parts), AT_ONCE):
+            table, found = counts(parts[begin : begin + AT_ONCE])
+            likeness.append((weigh(table[found], idf) @ centers.T).max(axis=1) if found.any() else np.zeros(0))
+            span.append(spans(table[found]))
+    likeness, span = np.concatenate(likeness), np.concatenate(span)
+    out, last = np.zeros(SPANS), 0.0
+    for k in range(SPANS):
+        own = likeness[span == k]
+        if len(own) >= 1 / LOW_TAIL or (len(own) and not last):
+            last = REJECT_SHARE * float(np.quantile(own, LOW_TAIL))
+        out[k] = last
+    return out
 
 
 def weigh(table: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -122,7 +157,9 @@ def _document_counts(rows: DataFrame) -> tuple[np.ndarray, dict[str, int]]:
                 part = batch.slice(begin, end - begin)
                 for name in part.column(0).to_pylist():
                     languages[name] = languages.get(name, 0) + 1
-                present += (counts(part.column(1).to_pylist())[0] > 0).sum(axis=0)
+                texts = part.column(1).to_pylist()
+                for first in range(0, len(texts), AT_ONCE):
+                    present += (counts(texts[first : first + AT_ONCE])[0] > 0).sum(axis=0)
         yield pa.RecordBatch.from_pydict(
             {"lang": pa.array([None] * PLACES + [*languages], pa.string()),
              "place": pa.array([*range(PLACES)] + [None] * len(languages), pa.int32()),
@@ -175,7 +212,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
     if len(languages) * CENTROIDS * PLACES * 4 > MODEL_BYTES:
         raise ValueError(f"centroids of {len(languages)} languages exceed {MODEL_BYTES} bytes")
     if not languages:
-        return Model(idf, [], np.zeros(0, int), np.zeros((0, PLACES), np.float32), np.zeros(0))
+        return Model(idf, [], np.zeros(0, int), np.zeros((0, PLACES), np.float32), np.zeros((0, SPANS)))
 
     def centroids(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("hash")
@@ -184,19 +221,19 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
         if not len(vectors):
             return pd.DataFrame({"lang": [], "part": [], "vector": [], "floor": []})
         centers = cluster(vectors, CENTROIDS).astype(np.float32)
-        floor = REJECT_SHARE * float(np.quantile((vectors @ centers.T).max(axis=1), LOW_TAIL))
+        floor = floors(part["text"].tolist(), idf, centers).tolist()
         return pd.DataFrame(
-            {"lang": key[0], "part": range(len(centers)), "vector": [c.tobytes() for c in centers], "floor": floor}
+            {"lang": key[0], "part": range(len(centers)), "vector": [c.tobytes() for c in centers], "floor": [floor] * len(centers)}
         )
 
-    found = _sample(rows).groupBy("lang").applyInPandas(centroids, "lang string, part int, vector binary, floor double")
+    found = _sample(rows).groupBy("lang").applyInPandas(centroids, "lang string, part int, vector binary, floor array<double>")
     got = sorted(found.collect(), key=lambda r: (r["lang"], r["part"]))
     names = sorted({r["lang"] for r in got})
     floor = {r["lang"]: r["floor"] for r in got}
     return Model(
         idf, names, np.array([names.index(r["lang"]) for r in got], int),
         np.array([np.frombuffer(r["vector"], np.float32) for r in got], np.float32).reshape(-1, PLACES),
-        np.array([floor[name] for name in names]),
+        np.array([floor[name] for name in names]).reshape(-1, SPANS),
     )
 
 

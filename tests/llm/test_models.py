@@ -102,3 +102,33 @@ def test_copies_do_not_thin_the_sample(spark, monkeypatch, make_docs):
     rows = docs.select("lang", "text")
     assert {r.lang: r["count"] for r in langid._sample(rows).groupBy("lang").count().collect()} == {"de": 5, "en": 1}
     assert langid.fit(docs).languages == ["de", "en"]
+
+
+@pytest.fixture(scope="module")
+def table_model(spark):
+    return langid.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+@pytest.mark.parametrize("repeat", [1, 4, 100])
+def test_unlearned_languages_are_rejected(table_model, repeat):
+    texts = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem. ",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto. ",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью. ",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. ",
+    ]
+    assert table_model.predict([t * repeat for t in texts])[2].all()
+
+
+@pytest.mark.parametrize("size", [100, 1000, 20_000])
+def test_random_letters_are_rejected(table_model, size):
+    chance = np.random.default_rng(size)
+    for first, number in ((0x61, 26), (0x430, 32), (0x4E00, 20_000)):
+        text = "".join(chr(first + k) if k >= 0 else " " for k in chance.integers(-number // 6, number, size))
+        assert table_model.predict([text])[2].all()
+
+
+def test_short_texts_of_a_language_stay(spark, table_model):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("n_chars > 200 and text not like '%@%'").limit(300).collect()
+    for size in (40, 100, 200):
+        assert np.mean(table_model.predict([r.text[:size] for r in rows])[2]) < 0.01
