@@ -1,8 +1,9 @@
 """Licence wordings inside documents, by conditional compression.
 
 Blocks of lines with licence vocabulary are candidates. A block is compressed alone and once with each
-template as raw dictionary; the more a template saves, the closer it is. Templates are tried in that order,
-and the first whose wording differs from the block in no telling word and in few others is the licence.
+template as raw dictionary; the more a template saves, the closer it is. Long blocks are cut into overlapping
+windows. Every template is held against the wording, whatever it saves; the longest that differs from it in no
+telling word and in few others is the licence, of equally long ones the one that saves more.
 """
 
 from __future__ import annotations
@@ -153,11 +154,31 @@ def candidate_blocks(text: str) -> Iterator[tuple[int, int]]:
         yield begin, end
 
 
-def ranked(block: str) -> list[tuple[float, Template]]:
-    """Templates by the share of the block's compressed size that they save, largest first."""
+@lru_cache(maxsize=1)
+def reach() -> int:
+    """Characters that a wording may take: twice the longest template."""
+    return 2 * max(len(t.text) for t in templates())
+
+
+def windows(begin: int, end: int) -> Iterator[tuple[int, int]]:
+    """Parts that cover a block; each stretch of ``reach`` characters is whole in one of them."""
+    while end - begin > 2 * reach():
+        yield begin, begin + 2 * reach()
+        begin += reach()
+    yield begin, end
+
+
+def possible(template: list[str], block: set[str]) -> bool:
+    """Whether a wording with these words can be in a block with those: no telling word and few others are missing."""
+    lost = [w for w in template if w not in block and not w.startswith("<")]
+    return len(lost) <= DIFFERING * len(template) and not any(w in TELLING or w[0].isdigit() for w in lost)
+
+
+def ranked(block: str, among: list[Template]) -> list[tuple[float, Template]]:
+    """Templates by the share of the block's compressed size that they save, largest first; it may be negative."""
     raw = block.encode()
     alone = len(zstandard.ZstdCompressor(level=LEVEL, write_checksum=False).compress(raw))
-    saved = [(1 - len(t.compressor.compress(raw)) / alone, t) for t in templates()]
+    saved = [(1 - len(t.compressor.compress(raw)) / alone, t) for t in among]
     return sorted(saved, key=lambda s: (-s[0], s[1].license, s[1].form))
 
 
@@ -184,6 +205,22 @@ def differences(template: list[str], block: list[str]) -> tuple[int, int, list[s
     return begin, end, out, telling
 
 
+def _closest(window: str) -> tuple[Template, float, int, int, list[str]] | None:
+    """The template whose wording is in a window, the share it saves, begin and end, differing words."""
+    own = words(window)
+    if not own or not _LINE.search(window.lower()):
+        return None
+    plain = [w for w, _, _ in own]
+    present = set(plain)
+    tried: list[tuple] = []
+    for saved, template in ranked(window, [t for t in templates() if possible(t.words, present)]):
+        first, last, differ, telling = differences(template.words, plain)
+        if not telling and len(differ) <= DIFFERING * len(template.words):
+            tried.append((template, saved, own[first][1], own[last - 1][2], differ))
+    # among close wordings the longer one says more
+    return max(tried, key=lambda t: (len(t[0].words) - len(t[4]), t[1]), default=None)
+
+
 def scan_text(text: str | None) -> list[tuple[str, int, int, int, float, list[str]]]:
     """Licences of a text: name, form, begin, end, share saved, differing words.
 
@@ -191,27 +228,16 @@ def scan_text(text: str | None) -> list[tuple[str, int, int, int, float, list[st
     """
     found, open_ = [], list(candidate_blocks(text)) if text else []
     while open_:
-        begin, end = open_.pop()
-        block = text[begin:end]
-        own = words(block)
-        if not own or not _LINE.search(block.lower()):
-            continue
-        tried: list[tuple] = []
-        for saved, template in ranked(block):
-            if saved <= 0:
+        block_begin, block_end = open_.pop()
+        for begin, end in windows(block_begin, block_end):
+            hit = _closest(text[begin:end])
+            if hit:
+                template, saved, first, last, differ = hit
+                start, stop = begin + first, begin + last
+                found.append((template.license, template.form, start, stop, saved, differ))
+                # what lies before is whole in this window or in one without a licence
+                open_ += [(begin, start), (stop, block_end)]
                 break
-            first, last, differ, telling = differences(template.words, [w for w, _, _ in own])
-            if not telling and len(differ) <= DIFFERING * len(template.words):
-                tried.append((saved, template, first, last, differ))
-                if not differ or len(tried) == 2:
-                    break
-        if not tried:
-            continue
-        # among close wordings the longer one says more
-        saved, template, first, last, differ = max(tried, key=lambda t: (len(t[1].words) - len(t[4]), t[0]))
-        start, stop = begin + own[first][1], begin + own[last - 1][2]
-        found.append((template.license, template.form, start, stop, saved, differ))
-        open_ += [(begin, start), (stop, end)]
     return sorted(found, key=lambda f: (f[2], f[0]))
 
 
@@ -227,8 +253,8 @@ def may_hold_license(text: Column) -> Column:
 def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per licence wording found: ``id``, ``license``, ``form``, ``begin``, ``end``, ``saved``, ``differences``.
 
-    ``begin`` and ``end`` are offsets into the whole text, ``saved`` is the share of the block's compressed
-    size that the template saves, ``differences`` lists words missing (-) and added (+). Null and empty texts
+    ``begin`` and ``end`` are offsets into the whole text, ``saved`` is the share of the window's compressed
+    size that the template saves, which may be negative, ``differences`` lists words missing (-) and added (+). Null and empty texts
     have none. A text may hold several, repeated rows are each scanned. Ties between templates go by name.
     """
     named = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))

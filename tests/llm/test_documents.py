@@ -43,6 +43,24 @@ def test_wording_decides():
     assert [(f[0], f[5]) for f in licenses.scan_text(body)] == [("MIT", ["-in", "+within"])]
 
 
+@pytest.mark.parametrize("size", [2_000, 5_000, 20_000])
+def test_notices_inside_long_lines(size):
+    """A notice that saves nothing, as its line is long, is found all the same, wherever it stands."""
+    chance = random.Random(size)
+    for notice, name in (("Released under the MIT License.", "MIT"), ("Licensed under CC BY 4.0.", "CC-BY-4.0"), (licenses.TEMPLATES["ISC"][0], "ISC")):
+        for place in (0.0, 0.3, 0.5, 0.77, 1.0):
+            prose = ["".join(chance.choice("abcdefghilmnoprstu") for _ in range(chance.randint(2, 9))) for _ in range(size // 6)]
+            at = int(place * len(prose))
+            text = " ".join([*prose[:at], notice, *prose[at:]])
+            hits = licenses.scan_text(text)
+            assert [(h[0], text[h[2] : h[3]]) for h in hits] == [(name, notice.rstrip("."))]
+
+
+def test_all_notices_of_a_long_line():
+    line = " and so on and on ".join(["Released under the MIT License." + " word" * 400, "Licensed under CC BY-SA 4.0." + " text" * 900] * 5)
+    assert [h[0] for h in licenses.scan_text(line)] == ["MIT", "CC-BY-SA-4.0"] * 5
+
+
 def test_licenses_of_odd_input(odd_docs, no_docs, make_docs):
     assert licenses.scan_licenses(odd_docs).count() == licenses.scan_licenses(no_docs).count() == 0
     long = "word " * 50_000 + "\nReleased under the MIT License.\n" + "word " * 50_000
