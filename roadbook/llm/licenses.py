@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -56,8 +57,37 @@ TEMPLATES: dict[str, list[str]] = {
         " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
         " option) any later version.",
     ],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at"
+        " your option) any later version.",
+        "SPDX-License-Identifier: LGPL-2.1",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at"
+        " your option) any later version.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at"
+        " your option) any later version.",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at"
+        " your option) any later version.",
+    ],
+    "BSD-2-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+        " the following conditions are met: Redistributions of source code must retain the above copyright notice,"
+        " this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the"
+        " above copyright notice, this list of conditions and the following disclaimer in the documentation and/or"
+        " other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND"
+        " CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED"
+        " WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+        "Licensed under the BSD 2-Clause License.",
+    ],
     "BSD-3-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
         " the following conditions are met: Redistributions of source code must retain the above copyright notice,"
@@ -108,6 +138,9 @@ GAP, DIFFERING = 3, 0.12
 LEVEL = 19
 
 _LINE = re.compile("|".join(map(re.escape, VOCABULARY)))
+#: A number that begins an item of a list, and what stands before one: nothing, an end of a clause, "and" or "or".
+_ITEM = re.compile(r"(?<![\w.(])\(?\d{1,2}[.)]\s+(?=[A-Z])")
+_BEFORE_ITEM = re.compile(r"(?:^|[:;.,)]|\b(?:and|or))[\s#*/;%>|-]*$", re.IGNORECASE)
 _WORD = re.compile(r"<[^<>\s]+>|[^\W_]+(?:\.[^\W_]+)*")
 
 
@@ -133,25 +166,24 @@ def templates() -> list[Template]:
 
 
 def words(text: str) -> list[tuple[str, int, int]]:
-    """Words in lower case with their places."""
-    return [(m.group().lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
+    """Words in lower case with their places; numbers that begin items of a list are no words."""
+    items = {m.start() + (m.group()[0] == "(") for m in _ITEM.finditer(text) if _BEFORE_ITEM.search(text, max(0, m.start() - 80), m.start())}
+    return [(m.group().lower(), m.start(), m.end()) for m in _WORD.finditer(text) if m.start() not in items]
 
 
 def candidate_blocks(text: str) -> Iterator[tuple[int, int]]:
-    """Begin and end of runs of lines with licence vocabulary, over short gaps."""
-    begin, end, gap, at = None, 0, 0, 0
-    for line in text.splitlines(keepends=True):
+    """Begin and end of runs of lines with licence vocabulary, over short gaps, with up to ``GAP`` lines around each."""
+    lines = text.splitlines(keepends=True)
+    starts = [0, *accumulate(map(len, lines))]
+    first = last = None
+    for k, line in enumerate(lines):
         if _LINE.search(line.lower()):
-            if begin is None or gap > GAP:
-                if begin is not None:
-                    yield begin, end
-                begin = at
-            end, gap = at + len(line), 0
-        elif begin is not None:
-            gap += 1
-        at += len(line)
-    if begin is not None:
-        yield begin, end
+            if first is not None and k - last > GAP + 1:
+                yield starts[max(0, first - GAP)], starts[min(len(lines), last + 1 + GAP)]
+                first = None
+            first, last = k if first is None else first, k
+    if first is not None:
+        yield starts[max(0, first - GAP)], starts[min(len(lines), last + 1 + GAP)]
 
 
 @lru_cache(maxsize=1)

@@ -61,6 +61,54 @@ def test_all_notices_of_a_long_line():
     assert [h[0] for h in licenses.scan_text(line)] == ["MIT", "CC-BY-SA-4.0"] * 5
 
 
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_NAMES = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+BSD_END = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE FOR ANY DAMAGES.
+"""
+GNU = """{0} is free software{1} you can redistribute it and/or modify
+it under the terms of the GNU {2}General Public License as published by
+the Free Software Foundation{3} either version {4} of the License, or
+(at your option) any later version.
+"""
+
+
+@pytest.mark.parametrize("prefix", ["", "# ", " * ", "// "])
+@pytest.mark.parametrize("name, text", [
+    ("BSD-3-Clause", BSD + BSD_NAMES + BSD_END), ("BSD-2-Clause", BSD + BSD_END),
+    ("BSD-3-Clause", (BSD + BSD_NAMES).replace("1. ", "(1) ").replace("2. ", "(2) ").replace("3. ", "(3) ")),
+    ("GPL-2.0", GNU.format("This program", ";", "", ";", "2")), ("GPL-3.0", GNU.format("This program", ":", "", ",", "3")),
+    ("LGPL-2.1", GNU.format("This library", ";", "Lesser ", ";", "2.1")), ("LGPL-3.0", GNU.format("This library", ":", "Lesser ", ",", "3")),
+    ("LGPL-3.0", GNU.format("This program", ":", "Lesser ", ",", "3")), ("AGPL-3.0", GNU.format("This program", ":", "Affero ", ",", "3")),
+])
+def test_notices_as_they_are_written(name, text, prefix):
+    body = "".join(prefix + line + "\n" for line in text.splitlines())
+    for whole in (body, f"int main\n\n{body}\nsome code behind it\n", f"{body}\n\n\n\n\n\nReleased under the MIT License."):
+        found = [h[0] for h in licenses.scan_text(whole)]
+        assert found == [name] + ["MIT"] * ("MIT License" in whole)
+
+
+def test_numbers_that_are_not_of_a_list_tell():
+    assert licenses.words("met: 1. Redis 2.0 version 3. You")[1:] == [(w, *p) for w, *p in [("redis", 8, 13), ("2.0", 14, 17), ("version", 18, 25), ("3", 26, 27), ("you", 29, 32)]]
+    assert licenses.scan_text("Licensed under the GNU General Public License, version 1. All rights.") == []
+
+
 def test_licenses_of_odd_input(odd_docs, no_docs, make_docs):
     assert licenses.scan_licenses(odd_docs).count() == licenses.scan_licenses(no_docs).count() == 0
     long = "word " * 50_000 + "\nReleased under the MIT License.\n" + "word " * 50_000
