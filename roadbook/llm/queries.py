@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadbook.llm import bpe, decontaminate, exact_dedup, html, langid, licenses, quality, simhash, token_counts, warc
+from roadbook.llm import (
+    bpe, decontaminate, exact_dedup, html, langid, licenses, merkle, quality, simhash, token_counts, warc,
+    whitening,
+)
 from roadbook.llm.frames import held_out, table, written
 from roadbook.session import scratch_path
 
@@ -95,6 +98,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # a deviation beyond the range of a long is null
+    return white.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    tampered = F.when(touched, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), changed={"n_chars": tampered})
+    folded = merkle.fold(F.col("other_leaf"), F.col("path"))
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_bpe_codec": op2_bpe_codec,
@@ -106,6 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_main_text": op9_main_text,
     "op10_decontaminate": op10_decontaminate,
+    "op11_whitening": op11_whitening,
+    "op13_merkle": op13_merkle,
 }
 
 SQL: dict[str, str] = {
@@ -131,6 +153,66 @@ SQL: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN newest END AS refers_to
         FROM stored
     """,
+    # a step of a path is a letter, for a sibling to the left, to the right or none, and the sibling
+    "op13_merkle": """
+        WITH RECURSIVE touched AS (
+            SELECT *, xor(list_reduce(
+                       [4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+                       lambda crc, byte: list_reduce([xor(crc, byte)] || range(8), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))
+                   ), 4294967295) % 7 = 0 AS tampered
+            FROM documents
+        ), sized AS (
+            SELECT doc_id, coalesce('=' || lang, '') AS grp,
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                       || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+                   coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS chars,
+                   coalesce(strlen((n_chars + CASE WHEN tampered THEN 1 ELSE 0 END)::VARCHAR) || ':'
+                       || (n_chars + CASE WHEN tampered THEN 1 ELSE 0 END), '-') AS other_chars,
+                   coalesce(strlen(text) || ':' || text, '-') AS tail
+            FROM touched
+        ), leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                   count(*) OVER (PARTITION BY grp) AS n
+            FROM (SELECT doc_id, grp, sha256(head || chars || tail) AS leaf, sha256(head || other_chars || tail) AS other FROM sized)
+        ), up AS (
+            SELECT grp, 0 AS level, pos, leaf AS d, n FROM leaves
+            UNION ALL
+            SELECT grp, level + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (n + 1) // 2
+            FROM up WHERE n > 1 GROUP BY grp, level, pos // 2, n
+        ), tops AS (
+            SELECT grp, d, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1
+        ), above AS (
+            SELECT 0 AS level, pos, d, n FROM tops
+            UNION ALL
+            SELECT level + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (n + 1) // 2
+            FROM above WHERE n > 1 GROUP BY level, pos // 2, n
+        ), steps AS (
+            SELECT l.grp, l.pos, list(CASE WHEN s.d IS NULL THEN 'N' WHEN s.pos % 2 = 0 THEN 'L' || s.d ELSE 'R' || s.d END
+                                      ORDER BY h.level) AS path
+            FROM leaves l JOIN (SELECT DISTINCT grp, level FROM up WHERE n > 1) h ON l.grp = h.grp
+            LEFT JOIN up s ON s.grp = l.grp AND s.level = h.level AND s.pos = xor(l.pos >> h.level, 1)
+            GROUP BY l.grp, l.pos
+        ), top_steps AS (
+            SELECT t.grp, list(CASE WHEN s.d IS NULL THEN 'N' WHEN s.pos % 2 = 0 THEN 'L' || s.d ELSE 'R' || s.d END
+                               ORDER BY h.level) AS path
+            FROM tops t, (SELECT DISTINCT level FROM above WHERE n > 1) h
+            LEFT JOIN above s ON s.level = h.level AND s.pos = xor(t.pos >> h.level, 1)
+            GROUP BY t.grp
+        ), proofs AS (
+            SELECT l.doc_id, l.leaf, l.other, t.d AS subroot, (SELECT d FROM above WHERE n = 1) AS root,
+                   coalesce(s.path, []::VARCHAR[]) || coalesce(u.path, []::VARCHAR[]) AS path
+            FROM leaves l JOIN tops t ON t.grp = l.grp
+            LEFT JOIN steps s ON s.grp = l.grp AND s.pos = l.pos
+            LEFT JOIN top_steps u ON u.grp = l.grp
+        ), folded AS (
+            SELECT *, list_reduce([other] || path, lambda d, s: CASE s[1] WHEN 'L' THEN sha256(s[2:] || d)
+                                                                       WHEN 'R' THEN sha256(d || s[2:]) ELSE sha256(d) END) AS folded_root
+            FROM proofs
+        )
+        SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256,
+               folded_root, folded_root = root AS verified
+        FROM folded
+    """,
 }
 
 
