@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadbook.llm import (
-    bpe, decontaminate, exact_dedup, html, langid, licenses, merkle, quality, simhash, token_counts, warc,
+    bpe, decontaminate, exact_dedup, html, langid, licenses, merkle, minhash, quality, simhash, token_counts, warc,
     whitening,
 )
 from roadbook.llm.frames import held_out, table, written
@@ -104,6 +104,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return white.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     tampered = F.when(touched, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
@@ -127,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_main_text": op9_main_text,
     "op10_decontaminate": op10_decontaminate,
     "op11_whitening": op11_whitening,
+    "op12_minhash": op12_minhash,
     "op13_merkle": op13_merkle,
 }
 
