@@ -7,7 +7,8 @@ verified exactly on the whole sets.
 
 A bucket of many sets is no group of pairs. First every set is held against the bucket's first one, which joins
 near copies to one component. Only buckets that still hold several components are compared further: they are cut
-into blocks of bounded size, and pairs of blocks are tasks that give surviving pairs of different components only.
+into blocks of bounded size, and pairs of blocks are tasks that verify what survives on the spot. A pair is tried in
+the first band that its sets share, and only while it would connect something, so a task gives a forest of links.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ BANDS, ROWS = 32, 6
 HASHES = BANDS * ROWS
 #: Signature values compared at once, and the posterior probability of a link below which a pair is dropped.
 BATCH, MISS = 32, 1e-6
-#: Sets of a bucket that are compared with each other at once.
-BLOCK = 512
+#: Sets of a bucket, and shingles of all of them, that are compared with each other at once.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 19
 #: Signature values computed at once per text, so that they stay in the processor's cache.
 CHUNK = 256
 
@@ -71,13 +72,13 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def band_keys(signatures: np.ndarray) -> np.ndarray:
-    """One key per signature (rows) and band: a hash of the band's number and values."""
+    """One key per signature (rows) and band: a hash of the band's values, with the band's number as its last bits."""
     bands = signatures.reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
     keys = np.broadcast_to(_BAND_SEEDS, bands.shape[:2]).copy()
     for row in range(ROWS):
         keys = (keys ^ bands[:, :, row]) * np.uint64(0x9E3779B97F4A7C15)
         keys ^= keys >> np.uint64(29)
-    return keys.view(np.int64)
+    return (keys // np.uint64(BANDS) * np.uint64(BANDS) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
 def least_matches(compared: int) -> int:
@@ -97,8 +98,8 @@ def least_matches(compared: int) -> int:
 _NEEDED = [(end, least_matches(end)) for end in range(BATCH, HASHES + 1, BATCH)]
 
 
-def likely(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which pairs, of row ``a`` of ``left`` and row ``b`` of ``right``, survive all batches of signature values."""
+def likely(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs, of row ``a`` of ``left`` and row ``b`` of ``right``, survive all batches, and how many values agree."""
     alive, agreed = np.arange(len(a)), np.zeros(len(a), np.int32)
     for end, needed in _NEEDED:
         if not len(alive):
@@ -107,7 +108,7 @@ def likely(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) ->
         agreed = agreed + (left[a[alive], part] == right[b[alive], part]).sum(axis=1, dtype=np.int32)
         keep = agreed >= needed
         alive, agreed = alive[keep], agreed[keep]
-    return alive
+    return alive, agreed
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
@@ -158,7 +159,7 @@ def _likely_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             for begin, end in blocks(batch.column(2)):
                 part = batch.slice(begin, end - begin)
                 at = np.arange(len(part))
-                kept = likely(_signatures(part.column(2)), _signatures(part.column(3)), at, at)
+                kept, _ = likely(_signatures(part.column(2)), _signatures(part.column(3)), at, at)
                 yield part.select(["a", "b"]).take(pa.array(kept))
 
     held = nodes.select("node", "signature")
@@ -168,10 +169,8 @@ def _likely_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, label: str) -> DataFrame:
-    """Links ``a``, ``b`` among surviving pairs: the whole texts of their sets' first documents are read again."""
-    tried, _ = written(pairs.distinct(), label)
-    named = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
+def _sets(named: DataFrame, nodes: DataFrame, docs: DataFrame, label: str) -> DataFrame:
+    """``node`` and ``shingles`` of the nodes named; the whole text of each set's first document is read again."""
     wanted = nodes.join(named, "node").select("node", id_key(F.col("id")).alias("__id"), "mark")
     texts = docs.select(id_key(F.col("id")).alias("__id"), text_mark(F.col("text")).alias("mark"), "text").join(
         wanted, ["__id", "mark"]
@@ -181,7 +180,13 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, label: str) -
         return [pa.array([shingle_set(v).tobytes() for v in values], pa.binary())]
 
     once = texts.groupBy("node").agg(F.first("text").alias("text"))
-    sets, _ = written(append_columns(once, "text", _SET, compute, keep_source=False), label + "-sets")
+    return written(append_columns(once, "text", _SET, compute, keep_source=False), label)[0]
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` among surviving pairs."""
+    tried, _ = written(pairs.distinct(), "tried")
+    sets = _sets(tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct(), nodes, docs, "tried-sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,57 +199,94 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, label: str) -
     both = tried.join(sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a").join(
         sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b"
     )
-    found, _ = written(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), label + "-links")
-    return found
+    return written(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "first-links")[0]
 
 
 def _mixed(shared: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold sets of several components, with ``root`` and the bucket's number of ``parts``.
+    """Rows of the buckets that hold sets of several components, with ``root``, and the bucket's number of ``parts``.
 
     In a bucket of two sets both have been compared already.
     """
     rooted, path = written(
-        shared.join(known, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "rooted"
+        shared.join(known, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root")), "rooted"
+    )
+    several = rooted.groupBy("key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")
+    )
+    parts = F.expr(f"greatest((sets + {BLOCK - 1}) div {BLOCK}, (shingles + {BLOCK_SHINGLES - 1}) div {BLOCK_SHINGLES})")
+    found, _ = written(
+        rooted.join(several.where("low < high AND sets > 2").select("key", parts.alias("parts")), "key"), "mixed"
     )
-    several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("sets"))
-    parts = several.where("low < high AND sets > 2").select("key", F.expr(f"(sets + {BLOCK - 1}) div {BLOCK}").alias("parts"))
-    found, _ = written(rooted.join(parts, "key"), "mixed")
     drop(shared.sparkSession, path)
     return found
 
 
+def _block(sets: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    return (
+        np.array([s["node"] for s in sets], np.int64), np.array([s["root"] for s in sets], np.int64),
+        np.frombuffer(b"".join(s["signature"] for s in sets), np.uint16).reshape(-1, HASHES), [s["shingles"] for s in sets],
+    )
+
+
+def forest(band: int, sets: list[dict], others: list[dict] | None) -> list[tuple[int, int]]:
+    """Links between two blocks of a bucket, or within one, that connect all components with a link between them.
+
+    Pairs that agree most come first; a pair whose components are connected by then is not verified.
+    """
+    node_a, root_a, sig_a, held_a = _block(sets)
+    node_b, root_b, sig_b, held_b = _block(sets if others is None else others)
+    apart = root_a[:, None] != root_b[None, :]
+    a, b = np.nonzero(apart if others is not None else apart & (node_a[:, None] < node_b[None, :]))
+    kept, agreed = [], []
+    for begin in range(0, len(a), 1 << 15):
+        one, two = a[begin : begin + (1 << 15)], b[begin : begin + (1 << 15)]
+        alive, count = likely(sig_a, sig_b, one, two)
+        shared = (sig_a[one[alive]] == sig_b[two[alive]]).reshape(len(alive), BANDS, ROWS).all(axis=2)
+        here = shared.argmax(axis=1) == band
+        kept.append(alive[here] + begin)
+        agreed.append(count[here])
+    if not kept:
+        return []
+    order = np.concatenate(kept)[np.argsort(-np.concatenate(agreed), kind="stable")]
+    parent: dict[int, int] = {}
+
+    def top(root: int) -> int:
+        while root in parent:
+            root = parent[root]
+        return root
+
+    links = []
+    for i, j in zip(a[order].tolist(), b[order].tolist(), strict=True):
+        x, y = top(int(root_a[i])), top(int(root_b[j]))
+        if x != y and alike(np.frombuffer(held_a[i], np.uint64), np.frombuffer(held_b[j], np.uint64)):
+            parent[max(x, y)] = min(x, y)
+            links.append((int(node_a[i]), int(node_b[j])))
+    return links
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Surviving pairs of different components between two blocks of a bucket, or within one."""
     for batch in batches:
-        for row in batch.to_pylist():
-            left, right = row["held"], row["other"] if row["other"] is not None else row["held"]
-            sides = []
-            for side in (left, right):
-                sides.append((
-                    np.array([s["node"] for s in side], np.int64), np.array([s["root"] for s in side], np.int64),
-                    np.frombuffer(b"".join(s["signature"] for s in side), np.uint16).reshape(-1, HASHES),
-                ))
-            (node_a, root_a, sig_a), (node_b, root_b, sig_b) = sides
-            a, b = np.nonzero((root_a[:, None] != root_b[None, :]) & ((row["other"] is not None) | (node_a[:, None] < node_b[None, :])))
-            for begin in range(0, len(a), 1 << 15):
-                one, two = a[begin : begin + (1 << 15)], b[begin : begin + (1 << 15)]
-                kept = likely(sig_a, sig_b, one, two)
-                x, y = node_a[one[kept]], node_b[two[kept]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-
-
-def _cross_pairs(mixed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Surviving pairs of different components that share a bucket."""
-    dealt = mixed.withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("parts")))
-    full = dealt.join(nodes.select("node", "signature"), "node").groupBy("key", "part", "parts").agg(
-        F.collect_list(F.struct("node", "root", "signature")).alias("held")
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1).to_pylist()[0]
+            links = forest(row["key"] % BANDS, row["held"], row["other"])
+            a, b = zip(*links, strict=True) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _cross_links(mixed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links that connect components which share a bucket."""
+    sets = _sets(mixed.select("node").distinct(), nodes, docs, "mixed-sets")
+    full = sets.join(nodes.select("node", "signature"), "node")
+    held, _ = written(
+        mixed.withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("parts"))).join(full, "node")
+        .groupBy("key", "part", "parts").agg(F.collect_list(F.struct("node", "root", "signature", "shingles")).alias("held")),
+        "blocks",
     )
-    held, _ = written(full, "blocks")
-    alone = held.select("held", F.lit(None).cast(held.schema["held"].dataType).alias("other"))
-    spread = held.where("parts > 1").select("key", "held", F.explode(F.expr("sequence(part, parts - 1)")).alias("at"), "part")
-    others = held.where("parts > 1").select("key", F.col("part").alias("at"), F.col("held").alias("other"))
-    paired = spread.where("at > part").join(others, ["key", "at"]).select("held", "other")
-    return alone.unionByName(paired).mapInArrow(_across, "a long, b long")
+    alone = held.select("key", "held", F.lit(None).cast(held.schema["held"].dataType).alias("other"))
+    spread = held.where("part < parts - 1").select("key", "held", F.explode(F.expr("sequence(part + 1, parts - 1)")).alias("at"))
+    others = held.where("part > 0").select("key", F.col("part").alias("at"), F.col("held").alias("other"))
+    paired = spread.join(others, ["key", "at"]).select("key", "held", "other")
+    return written(alone.unionByName(paired).mapInArrow(_across, "a long, b long"), "cross-links")[0]
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -259,16 +301,17 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     named = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
     rows, _ = written(sketches(named.withColumn("mark", text_mark(F.col("text")))), "sketches")
     distinct = rows.where("same IS NOT NULL").groupBy("same").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("best"), F.first("signature").alias("signature")
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("best"), F.first("signature").alias("signature"),
+        F.first("n").alias("n"),
     )
     nodes, _ = written(
-        distinct.select("same", "best.id", "best.mark", "signature", F.monotonically_increasing_id().alias("node")), "nodes"
+        distinct.select("same", "best.id", "best.mark", "signature", "n", F.monotonically_increasing_id().alias("node")), "nodes"
     )
     shared, _ = written(buckets(nodes), "buckets")
     starts = shared.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    first = _verified(_likely_pairs(starts, nodes), nodes, named, "first")
-    mixed = _mixed(shared, components(first))
-    more = _verified(_cross_pairs(mixed, nodes), nodes, named, "across")
+    first = _verified(_likely_pairs(starts, nodes), nodes, named)
+    mixed = _mixed(shared.join(nodes.select("node", "n"), "node"), components(first))
+    more = _cross_links(mixed, nodes, named)
     found = components(first.unionByName(more))
     labelled = nodes.join(found, "node", "left").select("same", "id", F.coalesce("root", "node").alias("root"))
     least = labelled.groupBy("root").agg(F.min("id").alias("component_id"))
