@@ -14,7 +14,8 @@ the first band that its sets share, and only while it would connect something, s
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from dataclasses import dataclass
+from functools import cached_property, partial
 from math import comb
 
 import numpy as np
@@ -23,12 +24,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from roadbook.llm.components import components
-from roadbook.llm.frames import append_columns, blocks, drop, id_key, text_mark, written
+from roadbook.llm.frames import append_columns, blocks, drop, id_key, stay, text_mark, written
 
-#: Words in a shingle, seed of its hash, and the least similarity of linked texts, as a fraction.
-SHINGLE, SEED = 3, 42
-LIKE = (85, 100)
-#: Bands and rows of each. Two sets of similarity 0.85 share no band with a probability of 3e-7.
+#: Seed of a shingle's hash.
+SEED = 42
+#: Bands and rows of each. Two sets share no band with a probability of 3e-7 at similarity 0.85, of 6e-5 at 0.8.
 BANDS, ROWS = 32, 6
 HASHES = BANDS * ROWS
 #: Signature values compared at once, and the posterior probability of a link below which a pair is dropped.
@@ -50,13 +50,53 @@ _SKETCH = T.StructType([
 _SET = T.StructType([T.StructField("shingles", T.BinaryType(), False)])
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Hashes of the distinct shingles, sorted; a text of fewer words is one shingle, one without words none."""
-    words = text.encode().lower().split() if text else []
-    if len(words) < SHINGLE:
-        return np.array([xxh64_intdigest(b" ".join(words), SEED)] if words else [], np.uint64)
-    runs = map(b" ".join, zip(*[words[i:] for i in range(SHINGLE)], strict=False))
-    return np.unique(np.fromiter(map(partial(xxh64_intdigest, seed=SEED), runs), np.uint64, len(words) - SHINGLE + 1))
+def least_matches(compared: int, t: float) -> int:
+    """Fewest agreeing values of ``compared`` at which a similarity of ``t`` is still likelier than ``MISS``.
+
+    With a uniform prior, the similarity given m agreements in c is Beta(m + 1, c - m + 1); its weight above t is
+    the probability of at most m successes in c + 1 trials of probability t.
+    """
+    trials, below = compared + 1, 0.0
+    for m in range(compared + 1):
+        below += comb(trials, m) * t**m * (1 - t) ** (trials - m)
+        if below >= MISS:
+            return m
+    return compared
+
+
+@dataclass(frozen=True)
+class Rule:
+    """When two texts are near copies: words in a shingle, and the least similarity of their sets in hundredths."""
+
+    shingle: int = 5
+    percent: int = 80
+
+    def shingles(self, text: str | None) -> np.ndarray:
+        """Hashes of the distinct shingles, sorted; a text of fewer words is one shingle, one without words none."""
+        words = text.encode().lower().split() if text else []
+        if len(words) < self.shingle:
+            return np.array([xxh64_intdigest(b" ".join(words), SEED)] if words else [], np.uint64)
+        runs = map(b" ".join, zip(*[words[i:] for i in range(self.shingle)], strict=False))
+        return np.unique(np.fromiter(map(partial(xxh64_intdigest, seed=SEED), runs), np.uint64, len(words) - self.shingle + 1))
+
+    def alike(self, a: np.ndarray, b: np.ndarray) -> bool:
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return 100 * both >= self.percent * (len(a) + len(b) - both)
+
+    @cached_property
+    def needed(self) -> list[tuple[int, int]]:
+        """For each batch, the values compared by its end and how many of them have to agree."""
+        return [(end, least_matches(end, self.percent / 100)) for end in range(BATCH, HASHES + 1, BATCH)]
+
+    def likely(self, left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs, of row ``a`` of ``left`` and row ``b`` of ``right``, survive all batches, and how many values agree."""
+        alive, agreed = np.arange(len(a)), np.zeros(len(a), np.int32)
+        for end, least in self.needed:
+            part = slice(end - BATCH, end)
+            agreed = agreed + (left[a[alive], part] == right[b[alive], part]).sum(axis=1, dtype=np.int32)
+            keep = agreed >= least
+            alive, agreed = alive[keep], agreed[keep]
+        return alive, agreed
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -81,46 +121,11 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return (keys // np.uint64(BANDS) * np.uint64(BANDS) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
-def least_matches(compared: int) -> int:
-    """Fewest agreeing values of ``compared`` at which a link is still likelier than ``MISS``.
-
-    With a uniform prior, the similarity given m agreements in c is Beta(m + 1, c - m + 1); its weight above t is
-    the probability of at most m successes in c + 1 trials of probability t.
-    """
-    t, trials, below = LIKE[0] / LIKE[1], compared + 1, 0.0
-    for m in range(compared + 1):
-        below += comb(trials, m) * t**m * (1 - t) ** (trials - m)
-        if below >= MISS:
-            return m
-    return compared
-
-
-_NEEDED = [(end, least_matches(end)) for end in range(BATCH, HASHES + 1, BATCH)]
-
-
-def likely(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which pairs, of row ``a`` of ``left`` and row ``b`` of ``right``, survive all batches, and how many values agree."""
-    alive, agreed = np.arange(len(a)), np.zeros(len(a), np.int32)
-    for end, needed in _NEEDED:
-        if not len(alive):
-            break
-        part = slice(end - BATCH, end)
-        agreed = agreed + (left[a[alive], part] == right[b[alive], part]).sum(axis=1, dtype=np.int32)
-        keep = agreed >= needed
-        alive, agreed = alive[keep], agreed[keep]
-    return alive, agreed
-
-
-def alike(a: np.ndarray, b: np.ndarray) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return LIKE[1] * both >= LIKE[0] * (len(a) + len(b) - both)
-
-
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
     """Rows with ``same`` (a 128-bit digest of the shingle set, null if it is empty), its size ``n`` and ``signature``."""
 
     def compute(texts: list[str | None]) -> list[pa.Array]:
-        sets = [shingle_set(text) for text in texts]
+        sets = [rule.shingles(text) for text in texts]
         return [
             pa.array([xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
             pa.array([len(s) for s in sets], pa.int64()),
@@ -151,7 +156,7 @@ def buckets(nodes: DataFrame) -> DataFrame:
     return keys.join(shared.where("first < last").select("key", "first"), "key")
 
 
-def _likely_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _likely_pairs(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """The pairs ``a``, ``b`` that survive the comparison of their signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +164,7 @@ def _likely_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             for begin, end in blocks(batch.column(2)):
                 part = batch.slice(begin, end - begin)
                 at = np.arange(len(part))
-                kept, _ = likely(_signatures(part.column(2)), _signatures(part.column(3)), at, at)
+                kept, _ = rule.likely(_signatures(part.column(2)), _signatures(part.column(3)), at, at)
                 yield part.select(["a", "b"]).take(pa.array(kept))
 
     held = nodes.select("node", "signature")
@@ -169,7 +174,7 @@ def _likely_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _sets(named: DataFrame, nodes: DataFrame, docs: DataFrame, label: str) -> DataFrame:
+def _sets(named: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule, label: str) -> DataFrame:
     """``node`` and ``shingles`` of the nodes named; the whole text of each set's first document is read again."""
     wanted = nodes.join(named, "node").select("node", id_key(F.col("id")).alias("__id"), "mark")
     texts = docs.select(id_key(F.col("id")).alias("__id"), text_mark(F.col("text")).alias("mark"), "text").join(
@@ -177,23 +182,23 @@ def _sets(named: DataFrame, nodes: DataFrame, docs: DataFrame, label: str) -> Da
     )
 
     def compute(values: list[str | None]) -> list[pa.Array]:
-        return [pa.array([shingle_set(v).tobytes() for v in values], pa.binary())]
+        return [pa.array([rule.shingles(v).tobytes() for v in values], pa.binary())]
 
     once = texts.groupBy("node").agg(F.first("text").alias("text"))
     return written(append_columns(once, "text", _SET, compute, keep_source=False), label)[0]
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """Links ``a``, ``b`` among surviving pairs."""
     tried, _ = written(pairs.distinct(), "tried")
-    sets = _sets(tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct(), nodes, docs, "tried-sets")
+    sets = _sets(tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct(), nodes, docs, rule, "tried-sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end in blocks(batch.column(2)):
                 part = batch.slice(begin, end - begin)
                 sides = zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)
-                keep = [alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in sides]
+                keep = [rule.alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in sides]
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = tried.join(sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a").join(
@@ -228,7 +233,7 @@ def _block(sets: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[b
     )
 
 
-def forest(band: int, sets: list[dict], others: list[dict] | None) -> list[tuple[int, int]]:
+def forest(rule: Rule, band: int, sets: list[dict], others: list[dict] | None) -> list[tuple[int, int]]:
     """Links between two blocks of a bucket, or within one, that connect all components with a link between them.
 
     Pairs that agree most come first; a pair whose components are connected by then is not verified.
@@ -240,7 +245,7 @@ def forest(band: int, sets: list[dict], others: list[dict] | None) -> list[tuple
     kept, agreed = [], []
     for begin in range(0, len(a), 1 << 15):
         one, two = a[begin : begin + (1 << 15)], b[begin : begin + (1 << 15)]
-        alive, count = likely(sig_a, sig_b, one, two)
+        alive, count = rule.likely(sig_a, sig_b, one, two)
         shared = (sig_a[one[alive]] == sig_b[two[alive]]).reshape(len(alive), BANDS, ROWS).all(axis=2)
         here = shared.argmax(axis=1) == band
         kept.append(alive[here] + begin)
@@ -258,24 +263,24 @@ def forest(band: int, sets: list[dict], others: list[dict] | None) -> list[tuple
     links = []
     for i, j in zip(a[order].tolist(), b[order].tolist(), strict=True):
         x, y = top(int(root_a[i])), top(int(root_b[j]))
-        if x != y and alike(np.frombuffer(held_a[i], np.uint64), np.frombuffer(held_b[j], np.uint64)):
+        if x != y and rule.alike(np.frombuffer(held_a[i], np.uint64), np.frombuffer(held_b[j], np.uint64)):
             parent[max(x, y)] = min(x, y)
             links.append((int(node_a[i]), int(node_b[j])))
     return links
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(batch.num_rows):
-            row = batch.slice(at, 1).to_pylist()[0]
-            links = forest(row["key"] % BANDS, row["held"], row["other"])
-            a, b = zip(*links, strict=True) if links else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _cross_links(mixed: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """Links that connect components which share a bucket."""
 
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                links = forest(rule, row["key"] % BANDS, row["held"], row["other"])
+                a, b = zip(*links, strict=True) if links else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-def _cross_links(mixed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links that connect components which share a bucket."""
-    sets = _sets(mixed.select("node").distinct(), nodes, docs, "mixed-sets")
+    sets = _sets(mixed.select("node").distinct(), nodes, docs, rule, "mixed-sets")
     full = sets.join(nodes.select("node", "signature"), "node")
     held, _ = written(
         mixed.withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("parts"))).join(full, "node")
@@ -286,36 +291,55 @@ def _cross_links(mixed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFra
     spread = held.where("part < parts - 1").select("key", "held", F.explode(F.expr("sequence(part + 1, parts - 1)")).alias("at"))
     others = held.where("part > 0").select("key", F.col("part").alias("at"), F.col("held").alias("other"))
     paired = spread.join(others, ["key", "at"]).select("key", "held", "other")
-    return written(alone.unionByName(paired).mapInArrow(_across, "a long, b long"), "cross-links")[0]
+    return written(alone.unionByName(paired).mapInArrow(across, "a long, b long"), "cross-links")[0]
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: ``id``, ``n_shingles``, ``component_id``, ``kept``.
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rule: Rule = Rule(),
+) -> DataFrame:
+    """One row per document: ``id``, ``n_shingles``, ``component_id``, ``kept``, ``root`` and ``mark``.
 
-    Two documents are linked when the sets of their three-word shingles have a Jaccard similarity of at least 0.85;
+    Two documents are linked when the sets of their word shingles have the Jaccard similarity that ``rule`` asks for;
     words are split and lowered as ASCII. ``component_id`` is the smallest id in the connected component, and the row
     of that id is ``kept``. Texts without words (null too) are linked with nothing. Documents with equal sets are one
     node, so copies cost nothing. Null ids never name a component unless all of its ids are null; repeated rows are all
-    given. Columns other than these two do not matter.
+    given. ``root`` names the component even where ids are null or stand for several texts (null for texts without
+    words), ``mark`` is that of the raw text. Columns other than these two do not matter.
     """
     named = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
-    rows, _ = written(sketches(named.withColumn("mark", text_mark(F.col("text")))), "sketches")
+    rows, _ = written(sketches(named.withColumn("mark", text_mark(F.col("text"))), rule), "sketches")
     distinct = rows.where("same IS NOT NULL").groupBy("same").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("best"), F.first("signature").alias("signature"),
-        F.first("n").alias("n"),
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("best"),
+        F.first("signature").alias("signature"), F.first("n").alias("n"),
     )
     nodes, _ = written(
         distinct.select("same", "best.id", "best.mark", "signature", "n", F.monotonically_increasing_id().alias("node")), "nodes"
     )
-    shared, _ = written(buckets(nodes), "buckets")
+    shared, shared_path = written(buckets(nodes), "buckets")
     starts = shared.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    first = _verified(_likely_pairs(starts, nodes), nodes, named)
+    first = _verified(_likely_pairs(starts, nodes, rule), nodes, named, rule)
     mixed = _mixed(shared.join(nodes.select("node", "n"), "node"), components(first))
-    more = _cross_links(mixed, nodes, named)
-    found = components(first.unionByName(more))
+    drop(docs.sparkSession, shared_path)
+    found = components(first.unionByName(_cross_links(mixed, nodes, named, rule)))
     labelled = nodes.join(found, "node", "left").select("same", "id", F.coalesce("root", "node").alias("root"))
     least = labelled.groupBy("root").agg(F.min("id").alias("component_id"))
-    names = labelled.join(least, "root").select("same", "component_id", F.lit(True).alias("linked"))
-    return rows.select("id", "same", "n").join(names, "same", "left").select(
-        "id", F.col("n").alias("n_shingles"), F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
-    ).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
+    names = labelled.join(least, "root").select("same", "component_id", "root")
+    component = F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    return rows.select("id", "same", "n", "mark").join(names, "same", "left").select(
+        "id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.col("id").eqNullSafe(component).alias("kept"), "root", "mark",
+    )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rule: Rule = Rule(),
+) -> DataFrame:
+    """The rows that stay, with all their columns: of each component the one with the smallest id, then mark.
+
+    Null ids come last, so a component without ids keeps one row too. Every text without words stays.
+    """
+    found = near_duplicates(docs, id_column, text_column, rule)
+    best = found.where("root IS NOT NULL").groupBy("root").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("best")
+    ).select("best.id", "best.mark")
+    return stay(docs, best.unionByName(found.where("root IS NULL").select("id", "mark")), id_column, text_column)

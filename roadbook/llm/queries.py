@@ -105,7 +105,9 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    rule = minhash.Rule(shingle=3, percent=85)
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), rule=rule)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,15 +7,18 @@ import pytest
 
 from roadbook.llm import minhash, queries
 
+RULE = minhash.Rule(3, 85)
 
-def _set(text):
+
+def _set(text, shingle=3):
     words = (text or "").encode().lower().split()
-    return {tuple(words[i : i + 3]) for i in range(len(words) - 2)} if len(words) > 2 else ({tuple(words)} if words else set())
+    runs = {tuple(words[i : i + shingle]) for i in range(len(words) - shingle + 1)}
+    return runs or ({tuple(words)} if words else set())
 
 
-def _brute(rows):
+def _brute(rows, rule=RULE):
     """Sorted (id, size, component, kept), each pair of sets compared."""
-    sets = [_set(t) for _, t in rows]
+    sets = [_set(t, rule.shingle) for _, t in rows]
     parent = list(range(len(rows)))
 
     def root(k):
@@ -26,7 +29,7 @@ def _brute(rows):
     for a in range(len(rows)):
         for b in range(a):
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 85 * len(sets[a] | sets[b]):
+            if both and 100 * both >= rule.percent * len(sets[a] | sets[b]):
                 parent[root(a)] = root(b)
     least = {}
     for k, (i, _) in enumerate(rows):
@@ -54,7 +57,7 @@ def test_query_is_brute_force(spark, sf_dir):
 
 def test_odd_rows(odd_docs):
     docs = odd_docs.selectExpr("*", "'clash' AS node", "1 AS same", "2 AS signature", "3 AS key", "4 AS mark")
-    assert _found(minhash.near_duplicates(docs)) == _brute([(r.doc_id, r.text) for r in odd_docs.collect()])
+    assert _found(minhash.near_duplicates(docs, rule=RULE)) == _brute([(r.doc_id, r.text) for r in odd_docs.collect()])
 
 
 def test_near_copies_at_the_limit(make_docs):
@@ -64,7 +67,19 @@ def test_near_copies_at_the_limit(make_docs):
         base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([4, 30, 120, 600]))]
         rows += [(100 * g + k, _near(rng, base, rng.choice([0, 0, 1, 1, 2, 4, 8, 12]))) for k in range(6)]
     rng.shuffle(rows)
-    assert _found(minhash.near_duplicates(make_docs(rows))) == _brute(rows)
+    assert _found(minhash.near_duplicates(make_docs(rows), rule=RULE)) == _brute(rows)
+    assert _found(minhash.near_duplicates(make_docs(rows))) == _brute(rows, minhash.Rule())
+
+
+def test_rows_that_stay(make_docs):
+    """Of each component the least id, with all columns; texts without words all stay, repeated rows count as one."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, text), (2, text + " end"), (2, "other words that stand alone here"), (None, text), (5, None), (6, ""), (6, ""), (None, "q r s t u v")]
+    stayed = minhash.drop_near_duplicates(make_docs(rows, "root mark kept"))
+    assert sorted((str(r.doc_id), (r.text or "")[:5]) for r in stayed.collect()) == [
+        ("2", "other"), ("2", "w0 w1"), ("5", ""), ("6", ""), ("None", "q r s")
+    ]
+    assert stayed.columns[-3:] == ["root", "mark", "kept"]
 
 
 def test_crowded_buckets_are_compared_in_blocks(make_docs, monkeypatch):
@@ -75,19 +90,19 @@ def test_crowded_buckets_are_compared_in_blocks(make_docs, monkeypatch):
     for g in range(25):
         version = _near(rng, base, 8).split()
         rows += [(10 * g + k, _near(rng, version, 1)) for k in range(3)]
-    assert _found(minhash.near_duplicates(make_docs(rows))) == _brute(rows)
+    assert _found(minhash.near_duplicates(make_docs(rows), rule=RULE)) == _brute(rows)
 
 
 def test_large_group_of_copies_and_near_copies(make_docs):
     rng = random.Random(2)
     base = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join(base)) for i in range(300)] + [(1000 + i, _near(rng, base, 1)) for i in range(200)]
-    found = minhash.near_duplicates(make_docs(rows)).collect()
+    found = minhash.near_duplicates(make_docs(rows), rule=RULE).collect()
     assert {r.component_id for r in found} == {0} and [r.id for r in found if r.kept] == [0]
 
 
 def test_no_rows(no_docs, make_docs):
-    assert minhash.near_duplicates(no_docs).count() == 0
+    assert minhash.near_duplicates(no_docs, rule=RULE).count() == 0
     assert _found(minhash.near_duplicates(make_docs([(1, None), (2, " "), (1, None)]))) == _brute([(1, None), (2, " "), (1, None)])
 
 
@@ -106,7 +121,7 @@ def test_signatures_agree_as_sets_do():
 def test_pruning_keeps_to_the_miss_probability(compared):
     """The posterior by numerical integration: the limit is the fewest agreements that are likely enough."""
     s = np.linspace(0, 1, 200_001)[1:-1]
-    needed = minhash.least_matches(compared)
+    needed = minhash.least_matches(compared, 0.85)
     for m, enough in ((needed, True), (needed - 1, False)):
         log = m * np.log(s) + (compared - m) * np.log1p(-s)
         weight = np.exp(log - log.max())

@@ -5,7 +5,6 @@ import re
 
 import public_tokenizers
 from tokenizers import Tokenizer
-from xxhash import xxh64_intdigest
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -13,11 +12,9 @@ from checks.compare import differences, duck
 from roadbook.llm import decontaminate, langid, queries
 
 
-def _print(text):
+def _shingles(text):
     words = (text or "").encode().lower().split()
-    runs = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) > 2 else [b" ".join(words)] * bool(words)
-    hashes = [xxh64_intdigest(run, 42) for run in runs]
-    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
 
 
 def test_rows_are_those_of_brute_force(spark, sf_dir):
@@ -30,7 +27,7 @@ def test_rows_are_those_of_brute_force(spark, sf_dir):
         if plain not in seen:
             seen.add(plain)
             unique.append((i, text))
-    prints, parent = [_print(t) for _, t in unique], list(range(len(unique)))
+    sets, parent = [_shingles(t) for _, t in unique], list(range(len(unique)))
 
     def root(k):
         while parent[k] != k:
@@ -39,7 +36,8 @@ def test_rows_are_those_of_brute_force(spark, sf_dir):
 
     for a in range(len(unique)):
         for b in range(a):
-            if (prints[a] ^ prints[b]).bit_count() <= 3 and root(a) != root(b):
+            both = len(sets[a] & sets[b])
+            if both and 5 * both >= 4 * len(sets[a] | sets[b]) and root(a) != root(b):
                 low, high = sorted((root(a), root(b)))
                 parent[high] = low
     near = [row for k, row in enumerate(unique) if root(k) == k]
@@ -66,6 +64,6 @@ def test_stages_keep_the_columns(spark, make_docs, no_docs, tmp_path):
 
 def test_registry(spark, sf_dir):
     names = [n for n in entry.queries() if re.match(r"op\d+_|pipeline$", n)]
-    assert sorted(int(re.findall(r"\d+", n)[0]) for n in names if n != "pipeline") == list(range(1, 11)) and "pipeline" in names
+    assert sorted(int(re.findall(r"\d+", n)[0]) for n in names if n != "pipeline") == list(range(1, 14)) and "pipeline" in names
     found = queries.queries()["op4_exact_dedup"](spark, sf_dir).toArrow()
     assert differences(found, duck(sf_dir).sql(entry.oracle_sql()["op4_exact_dedup"]).to_arrow_table()) == []
