@@ -19,7 +19,7 @@ from roadbook import schemas
 from roadbook.functions.expressions import EPOCH_START
 from roadbook.operators import dimensions, marts, upserts
 from roadbook.operators.conform import align, drop_null_keys
-from roadbook.sources import storage, tables
+from roadbook.sources import keyindex, storage, tables
 
 # identity columns a stored fact row must have
 IDENTITY = {
@@ -41,6 +41,9 @@ def load_fact(
     The keys of a load are noted in a folder of its own before the fact changes, and stay noted
     until :func:`refresh_marts` has dealt with them. A run that dies in between loses none.
 
+    Known ids are found through the fact's key index, which names the days to look into; no other day is read. Ids
+    are entered there before their rows are stored, so facts have to be written through this function.
+
     ``replace``: a known event id is replaced where its row differs, even when its day has
     changed; only the days of such rows are rewritten, and a row stored before as it is changes
     nothing. ``ignore``: known ids are skipped. New rows are appended in either case.
@@ -51,17 +54,18 @@ def load_fact(
     # events have no natural order inside a batch: all columns make the choice reproducible
     order = [F.to_json(c) if _is_array(schema, c) else c for c in schema.names]
     entities = _entities(schema)
-    stored = tables.read_table(spark, root, name)
+    if on_conflict not in ("replace", "ignore"):
+        raise ValueError(f"unknown conflict rule {on_conflict!r}")
+    fresh = tables.materialize(upserts.dedup(keyed, ["event_id"], order), name)
+    stored = stored_like(spark, root, name, fresh)
 
     if on_conflict == "ignore":
-        added = tables.materialize(upserts.new_rows(stored, keyed, ["event_id"], order), name)
+        added = tables.materialize(fresh.join(stored.select("event_id"), "event_id", "left_anti").select(*schema.names), name)
         _note(root, name, added.select(*entities))
+        keyindex.note(spark, root, name, added)
         tables.append_fact(added, path)
         return
-    if on_conflict != "replace":
-        raise ValueError(f"unknown conflict rule {on_conflict!r}")
 
-    fresh = tables.materialize(upserts.dedup(keyed, ["event_id"], order), name)
     known = tables.materialize(stored.join(fresh.select("event_id"), "event_id", "left_semi"), f"{name}-known")
     same = reduce(and_, [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in schema.names])
     paired = fresh.alias("new").join(known.alias("old"), F.col("new.event_id") == F.col("old.event_id"), "left")
@@ -71,6 +75,7 @@ def load_fact(
     changed = differing.where("replaces").select("event_id")
     replaced = known.join(changed, "event_id", "left_semi")
     _note(root, name, differing.select(*entities).unionByName(replaced.select(*entities)))
+    keyindex.note(spark, root, name, differing)
     days = tables.days_of(replaced)
     if days:
         # days that lose a row are rewritten with their new rows; the other new rows are appended
@@ -81,6 +86,12 @@ def load_fact(
     tables.append_fact(rest.select(*schema.names), path)
 
 
+def stored_like(spark: SparkSession, root: str, name: str, ids: DataFrame) -> DataFrame:
+    """The stored rows of the days that may hold an event id of ``ids``."""
+    days = tables.days_of(keyindex.locate(spark, root, name, ids))
+    return _days(tables.read_table(spark, root, name), days)
+
+
 FILES = schemas._table(source="string", length="bigint", modified="bigint")
 
 
