@@ -65,6 +65,21 @@ def stream_alerts(f: Fleet) -> DataFrame:
     return _collect(f, found).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
 
 
+def stream_alerts_live(f: Fleet) -> DataFrame:
+    """Early samples in a batch without rules, so that nothing is found; all again once rules and vehicles are there."""
+    path, root, out, checkpoint = (scratch_path(f.spark, n) for n in ("drop", "warehouse", "out", "ckpt"))
+    job = live.keep_alerts(root, out)
+    _drop(f.early("telemetry"), path)
+    ingest.run_available(_stream(f, path).writeStream.foreachBatch(job), checkpoint)
+    warehouse.seed_thresholds(f.spark, root, f.thresholds)
+    warehouse.build_dimensions(f.spark, root, f.driver_master, f.vehicle_master)
+    _drop(f.telemetry, path, overwrite=False)
+    ingest.run_available(_stream(f, path).writeStream.foreachBatch(job), checkpoint)
+    alerts = "entity_id string, entity_type string, metric_name string, metric_value double, severity string, description string"
+    found = tables.read_versions(f.spark, out, f"{alerts}, event_id string, event_timestamp timestamp")
+    return found.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+
+
 def stream_refresh(f: Fleet) -> DataFrame:
     """Early facts in the first drop, late and new ones in the second; final vehicle mart."""
     path, root, checkpoint = (scratch_path(f.spark, n) for n in ("drop", "warehouse", "ckpt"))
@@ -124,6 +139,15 @@ def stream_quarantine(f: Fleet) -> DataFrame:
     ).withColumn("quarantined", F.col("quarantined").cast("boolean"))
 
 
+_STREAM_ALERTS = sql("""SELECT tel.vehicle_id AS entity_id, 'vehicle' AS entity_type, metric_name, round(v, 6) AS metric_value,
+               CASE WHEN comparison_op = '>' AND v >= critical_threshold OR comparison_op = '<' AND v <= critical_threshold
+                    THEN 'CRITICAL' ELSE 'WARNING' END AS severity, description, event_id, event_timestamp
+        FROM (SELECT *, 'engine_temp_c' AS metric_name, engine_temp_c AS v FROM tel
+              UNION ALL SELECT *, 'battery_voltage', battery_v FROM tel) tel
+        JOIN veh ON veh.vehicle_id = tel.vehicle_id AND status = 'ACTIVE' JOIN thr USING (metric_name)
+        WHERE comparison_op = '>' AND v >= warning_threshold OR comparison_op = '<' AND v <= warning_threshold""", "tel", "veh", "thr")
+
+
 QUERIES = {
     "stream_dedup": (
         stream_dedup,
@@ -135,16 +159,8 @@ QUERIES = {
                       round(avg_fuel_percent, 6) AS avg_fuel_percent, round(avg_engine_temp_c, 6) AS avg_engine_temp_c,
                       round(avg_battery_voltage, 6) AS avg_battery_voltage, speeding_events FROM vm""", "vm"),
     ),
-    "stream_alerts": (
-        stream_alerts,
-        sql("""SELECT tel.vehicle_id AS entity_id, 'vehicle' AS entity_type, metric_name, round(v, 6) AS metric_value,
-                      CASE WHEN comparison_op = '>' AND v >= critical_threshold OR comparison_op = '<' AND v <= critical_threshold
-                           THEN 'CRITICAL' ELSE 'WARNING' END AS severity, description, event_id, event_timestamp
-               FROM (SELECT *, 'engine_temp_c' AS metric_name, engine_temp_c AS v FROM tel
-                     UNION ALL SELECT *, 'battery_voltage', battery_v FROM tel) tel
-               JOIN veh ON veh.vehicle_id = tel.vehicle_id AND status = 'ACTIVE' JOIN thr USING (metric_name)
-               WHERE comparison_op = '>' AND v >= warning_threshold OR comparison_op = '<' AND v <= warning_threshold""", "tel", "veh", "thr"),
-    ),
+    "stream_alerts": (stream_alerts, _STREAM_ALERTS),
+    "stream_alerts_live": (stream_alerts_live, _STREAM_ALERTS),
     "stream_refresh": (stream_refresh, sql(f"SELECT {rounded(VEHICLE_MART)} FROM vm", "vm")),
     "stream_refresh_driver_mart": (stream_refresh_driver_mart, sql(f"SELECT {rounded(DRIVER_MART)} FROM dm", "dm")),
     "stream_harsh_brake": (

@@ -21,7 +21,7 @@ FILES = schemas._table(source="string", length="bigint", modified="bigint")
 
 
 def stage(spark: SparkSession, domain: str, lake: str, out: str, mode: str = "strict") -> list[str]:
-    """Validate and project the files of one domain that were not staged before as they are now.
+    """Validate and project the files of one domain, in folders of any depth, that were not staged before as they are now.
 
     Each file has a partition of its own, which a changed file replaces. ``strict`` fails at the
     first bad record and publishes nothing; ``quarantine`` keeps bad records with their text and
@@ -29,13 +29,13 @@ def stage(spark: SparkSession, domain: str, lake: str, out: str, mode: str = "st
     together; trips of a quarantined day are not staged. Returns the staged sources.
     """
     raw_schema, check, columns, _ = DOMAINS[domain]
-    listed = raw.list_raw(spark, tables.table_path(lake, domain))
-    found = {_source(path): (path, *state) for path, *state in listed}
+    folder = tables.table_path(lake, domain)
+    found = {_source(name): (tables.table_path(folder, name), *state) for name, *state in raw.list_raw(spark, folder)}
     known = set(staged_files(spark, out, domain))
     new = {s: f for s, f in found.items() if (s, *f[1:]) not in known}
     if not new:
         return []
-    checked = check(raw.read_files(spark, [path for path, *_ in new.values()], raw_schema))
+    checked = check(raw.read_files(spark, [path for path, *_ in new.values()], raw_schema, below=folder))
     parts = [(domain, checked, columns())]
     if domain == "finance":
         # days and trips come from one parse, and a bad trip stops the days as well
@@ -55,9 +55,9 @@ def _enforced(checked: DataFrame, mode: str) -> DataFrame:
     return staging.enforce(checked, "strict") if mode == "strict" else checked
 
 
-def _source(path: str) -> str:
-    """A short name for a file of the domain's folder, the key of its partition."""
-    return hashlib.md5(path.rsplit("/", 1)[-1].encode()).hexdigest()
+def _source(name: str) -> str:
+    """A short name for a file, by its path from the domain's folder on: the key of its partition."""
+    return hashlib.md5(name.encode()).hexdigest()
 
 
 def _publish(spark: SparkSession, rows: DataFrame, columns: list[Column], path: str, sources: list[str]) -> None:

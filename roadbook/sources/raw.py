@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -35,25 +37,37 @@ def parse_lines(lines: DataFrame, schema: T.StructType, line: str = "value") ->
 
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Every line of every file below ``path``; no file at all is an error."""
+    """Every line of every file below ``path``, in folders of any depth; no file at all is an error."""
     if not storage.has_input(spark, path):
         raise FileNotFoundError(f"no raw files at {path}")
     return read_files(spark, [path], schema)
 
 
-def read_files(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """Every line of the given files, with the file it comes from."""
-    lines = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_name").alias("file_name")
+def read_files(spark: SparkSession, paths: list[str], schema: T.StructType, below: str | None = None) -> DataFrame:
+    """Every line of the given files or folders, with the file it comes from.
+
+    ``file_name`` is the bare name or, with ``below``, the path from that folder on.
+    """
+    name = F.col("_metadata.file_name")
+    if below is not None:
+        base = storage.raw_path(spark, below) + "/"
+        path = F.col("_metadata.file_path")
+        # addresses are percent-encoded, but decoding takes a plus for a blank
+        encoded = F.replace(F.substring(path, F.instr(path, base) + len(base), F.length(path)), F.lit("+"), F.lit("%2B"))
+        name = F.url_decode(encoded)
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths).select(
+        "value", F.col("_metadata.file_path").alias("source_file"), name.alias("file_name")
     )
     return parse_lines(lines, schema)
 
 
 def list_raw(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
-    """Path, length and time of change of the files in a raw folder; none at all is an error."""
-    if not storage.has_input(spark, path):
+    """Path from the folder on, length and time of change of all files below a raw folder; none at all is an error."""
+    found = storage.tree(spark, path) if storage.has_input(spark, path) else []
+    if not found:
         raise FileNotFoundError(f"no raw files at {path}")
-    return storage.files(spark, path)
+    base = unquote(storage.raw_path(spark, path)) + "/"
+    return [(name[name.index(base) + len(base) :], *state) for name, *state in found]
 
 
 def write_raw(df: DataFrame, path: str, overwrite: bool = False) -> None:

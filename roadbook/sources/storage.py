@@ -42,8 +42,32 @@ def has_input(spark: SparkSession, path: str) -> bool:
 def files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     """Path, length and time of change of each visible file directly in a folder (or of a file)."""
     system, target = _handle(spark, path)
-    return sorted(
-        (status.getPath().toString(), status.getLen(), status.getModificationTime())
-        for status in system.listStatus(target)
-        if status.isFile() and status.getPath().getName()[0] not in "._"
-    )
+    return sorted(_state(status) for status in system.listStatus(target) if status.isFile() and _visible(status))
+
+
+def tree(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Like :func:`files`, of the folder and of all visible folders below it."""
+    system, target = _handle(spark, path)
+    found, folders = [], [target]
+    while folders:
+        for status in system.listStatus(folders.pop()):
+            if _visible(status):
+                if status.isDirectory():
+                    folders.append(status.getPath())
+                else:
+                    found.append(_state(status))
+    return sorted(found)
+
+
+def raw_path(spark: SparkSession, path: str) -> str:
+    """The absolute path of a folder as it stands, percent-encoded, in the addresses of its files."""
+    system, target = _handle(spark, path)
+    return system.makeQualified(target).toUri().getRawPath().rstrip("/")
+
+
+def _state(status) -> tuple[str, int, int]:
+    return status.getPath().toString(), status.getLen(), status.getModificationTime()
+
+
+def _visible(status) -> bool:
+    return status.getPath().getName()[0] not in "._"

@@ -64,3 +64,18 @@ def stream_alerts(df: DataFrame, thresholds: DataFrame, dim_vehicle: DataFrame)
     return evaluate_thresholds(long, thresholds, inclusive=True, keep=keys[1:]).select(
         *ALERT_COLUMNS, *keys[1:]
     )
+
+
+def keep_alerts(root: str, out: str) -> Callable[[DataFrame, int], None]:
+    """Alerts of each batch against the limits and the vehicles that are published when it runs.
+
+    A stream that joins a table keeps to the version it has started with, so here the tables are looked up by batch. A
+    repeated batch replaces its own alerts, judged by what holds then. Read them with ``tables.read_versions``.
+    """
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rules, vehicles = (tables.read_current(spark, root, name) for name in ("alert_thresholds", "dim_vehicle"))
+        tables.replace_table(stream_alerts(batch, rules, vehicles), out, version=batch_id + 1)
+
+    return on_batch

@@ -15,7 +15,7 @@ from roadbook.operators import alerts, marts, upserts
 from roadbook.operators.conform import align
 from roadbook.plans import daily, staging, warehouse
 from roadbook.sources import tables
-from roadbook.streaming import stateful
+from roadbook.streaming import live, stateful
 
 AT = dt.datetime(2026, 2, 9, 6)
 FLAGGED = "event_id string, vehicle_id string, prev_speed_kph double, harsh_brake boolean"
@@ -309,3 +309,52 @@ def test_no_cross_joins_or_global_windows(spark, sf_dir, key):
 
 def test_batches_align_by_name(spark):
     assert align(samples(spark, ("a", "v", 1, 1.0)), schemas.FACT_VEHICLE_TELEMETRY).count() == 1
+
+
+def test_files_in_folders_are_staged_once(spark, tmp_path):
+    """Files of one name in several folders are files of their own, and names with blanks and signs are told apart."""
+    lake, out = tmp_path / "a lake+1", str(tmp_path / "staged")
+    for day, folder in ((1, "date=2026-02-01"), (2, "date=2026-02-02/late"), (3, "."), (4, "x y+z%41")):
+        write(lake / "vehicles" / folder / "drop.jsonl", day_records(day)["vehicles"])
+    write(lake / "vehicles" / "_hidden" / "drop.jsonl", day_records(9)["vehicles"])
+    assert len(staging.stage(spark, "vehicles", str(lake), out)) == 4
+    staged = staging.read_good(spark, out, "vehicles")
+    wanted = sorted(f"evt{day}-{i}" for day in range(1, 5) for i in range(3))
+    assert sorted(r.event_id for r in staged.collect()) == wanted
+    assert staging.stage(spark, "vehicles", str(lake), out) == []
+    # a changed file replaces its own rows only
+    write(lake / "vehicles" / "date=2026-02-01" / "drop.jsonl", day_records(1)["vehicles"][:1])
+    assert len(staging.stage(spark, "vehicles", str(lake), out)) == 1
+    left = sorted(r.event_id for r in staging.read_good(spark, out, "vehicles").collect())
+    assert left == [e for e in wanted if e not in ("evt1-1", "evt1-2")]
+
+
+def test_live_alerts_follow_the_limits(spark, tmp_path):
+    """A limit that changes between two batches of a running job holds from the next batch on."""
+    root, out = str(tmp_path / "wh"), str(tmp_path / "alerts")
+    tables.replace_table(
+        align(spark.createDataFrame([("BUS_1", "ACTIVE")], "vehicle_id string, status string"), schemas.DIM_VEHICLE),
+        tables.table_path(root, "dim_vehicle"),
+    )
+    samples = spark.createDataFrame(
+        [("e1", "BUS_1", dt.datetime(2026, 2, 1), 100.0, 13.0)],
+        "event_id string, vehicle_id string, event_timestamp timestamp, engine_temp_c double, battery_v double",
+    )
+
+    def limit(warning, critical):
+        rules = [("engine_temp_c", warning, critical, ">", "hot", True)]
+        frame = spark.createDataFrame(
+            rules, "metric_name string, warning_threshold double, critical_threshold double, comparison_op string, description string, is_active boolean"
+        )
+        warehouse.seed_thresholds(spark, root, align(frame, schemas.ALERT_THRESHOLDS))
+
+    job = live.keep_alerts(root, out)
+    for batch, (warning, critical) in enumerate([(110.0, 120.0), (95.0, 120.0), (80.0, 90.0)]):
+        limit(warning, critical)
+        job(samples, batch)
+    job(samples, 2)  # a repeated batch
+    found = [
+        [r.severity for r in tables.read_versions(spark, out, "severity string").collect()],
+        sorted(r.severity for r in spark.read.parquet(f"{out}/version=2").collect()),
+    ]
+    assert sorted(found[0]) == ["CRITICAL", "WARNING"] and found[1] == ["WARNING"]
