@@ -37,9 +37,9 @@ def latest_day(df: DataFrame, date_col: str = "date_key") -> Column:
     return df.select(F.max(date_col).alias("latest_day")).scalar()
 
 
-def latest(df: DataFrame, date_col: str = "date_key") -> DataFrame:
-    """Rows of the newest day."""
-    return df.where(F.col(date_col) == latest_day(df, date_col))
+def latest(df: DataFrame, date_col: str = "date_key", day: dt.date | None = None) -> DataFrame:
+    """Rows of the newest day; where that is known already, ``day`` spares looking for it and prunes while planning."""
+    return df.where(F.col(date_col) == (latest_day(df, date_col) if day is None else F.lit(day)))
 
 
 def trailing(df: DataFrame, days: int, date_col: str = "date_key") -> DataFrame:

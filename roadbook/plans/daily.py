@@ -48,12 +48,13 @@ def run_day(
 
 def run_alerts(spark: SparkSession, root: str, alert_time: dt.datetime) -> DataFrame:
     """Evaluate the scheduled alerts on the stored marts and return the rows stored for this time."""
+    marts = ["fact_driver_daily_metrics", "fact_vehicle_daily_metrics"]
     found = alerts.all_alerts(
-        tables.read_table(spark, root, "fact_driver_daily_metrics"),
-        tables.read_table(spark, root, "fact_vehicle_daily_metrics"),
+        *[tables.read_table(spark, root, mart) for mart in marts],
         tables.read_current(spark, root, "dim_driver"),
         tables.read_current(spark, root, "alert_thresholds"),
         alert_time,
+        *[tables.newest_day(spark, root, mart) for mart in marts],
     )
     tables.write_alerts(found, tables.table_path(root, "alerts"), alert_time)
     stored = tables.read_table(spark, root, "alerts")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -73,6 +74,13 @@ def days_of(df: DataFrame, partition: str = "date_key") -> list[dt.date]:
     return sorted(row[0] for row in rows)
 
 
+def newest_day(spark: SparkSession, root: str, name: str, partition: str = "date_key") -> dt.date | None:
+    """The newest day of a stored table by the names of its partitions, without a job; emptied days have none."""
+    names = storage.children(spark, table_path(root, name))
+    days = [n.split("=")[1] for n in names if re.fullmatch(partition + r"=\d{4}-\d\d-\d\d", n)]
+    return dt.date.fromisoformat(max(days)) if days else None
+
+
 def drop_days(spark: SparkSession, path: str, days: list[dt.date], partition: str = "date_key") -> None:
     """Remove day partitions that an upsert has emptied; overwriting cannot express that."""
     for day in days:

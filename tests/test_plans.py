@@ -358,3 +358,26 @@ def test_live_alerts_follow_the_limits(spark, tmp_path):
         sorted(r.severity for r in spark.read.parquet(f"{out}/version=2").collect()),
     ]
     assert sorted(found[0]) == ["CRITICAL", "WARNING"] and found[1] == ["WARNING"]
+
+
+def test_alerts_of_stored_marts_read_the_newest_day_by_name(spark, tmp_path, masters):
+    lake, out, root = tmp_path / "lake", str(tmp_path / "staged"), str(tmp_path / "wh")
+    for day in (6, 7, 8):
+        drop(lake, day)
+    daily.run_day(spark, str(lake), out, root, *masters, AT)
+    names = ["fact_driver_daily_metrics", "fact_vehicle_daily_metrics"]
+    days = [tables.newest_day(spark, root, n) for n in names]
+    assert days == [dt.date(2026, 2, 8)] * 2 and tables.newest_day(spark, root, "fact_daily_nothing") is None
+    marts_ = [tables.read_table(spark, root, n) for n in names]
+    fixed = [tables.read_current(spark, root, n) for n in ("dim_driver", "alert_thresholds")]
+    plain, named = alerts.all_alerts(*marts_, *fixed, AT), alerts.all_alerts(*marts_, *fixed, AT, *days)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, named.collect())) != []
+
+    def scans(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return len(re.findall(r"Relation [^\n]*avg_(?:fatigue_index|engine_temp_c)", plan))
+
+    # fatigue, fraud and vehicles read the newest day, the lag of the drivers reads all
+    assert scans(named) == 4 < scans(plain)
+    # an evaluation before anything is stored finds nothing
+    assert daily.run_alerts(spark, str(tmp_path / "empty"), AT).count() == 0
