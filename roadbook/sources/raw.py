@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,29 +12,39 @@ from pyspark.sql import types as T
 from roadbook.sources import storage
 
 
+#: Column that takes the text of a line that does not fit its schema.
+MISFIT = "_misfit"
+
+
 def parse_lines(lines: DataFrame, schema: T.StructType, line: str = "value") -> DataFrame:
     """Typed columns next to the raw text.
 
-    ``present_keys`` lists the keys the object really carries (a key with a JSON null counts,
-    an unparsable line gives null) and ``bad_types`` the keys whose value is of another type than
-    their column, which a parsed column alone cannot tell.
+    ``present_keys`` lists the columns whose key the object really carries (a key with a JSON null
+    counts, an unparsable line gives null) and ``bad_types`` the columns whose key has a value of
+    another type, which a parsed column alone cannot tell.
+
+    A line is parsed once. Its keys are listed only if a column is null, and its values are read as
+    text only if the parser says that the line does not fit.
     """
-    # A generated column is computed once per line. Plain columns would be copied into every
+    with_misfit = T.StructType([*schema.fields, T.StructField(MISFIT, T.StringType())])
+    parsed = F.from_json(line, with_misfit, {"columnNameOfCorruptRecord": MISFIT})
+    # Generated columns are computed once per line. Plain columns would be copied into every
     # later filter and check, and each copy would parse the text again.
+    typed = lines.select("*", F.inline(F.array(F.struct(parsed.alias("parsed")))))
+    names = F.lit(schema.names)
+    complete = reduce(and_, [F.col(f"parsed.{name}").isNotNull() for name in schema.names])
+    keys = F.when(complete, names).otherwise(F.array_intersect(names, F.json_object_keys(line)))
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    record = F.struct(
-        F.json_object_keys(line).alias("present_keys"), F.from_json(line, schema).alias("parsed"),
-        F.from_json(line, as_text).alias("texts"),
-    )
+    texts = F.when(F.col(f"parsed.{MISFIT}").isNotNull(), F.from_json(line, as_text))
     # a value that is there but is no value of its column's type
-    bad_types = F.array_compact(
-        F.array(*[
-            F.when(F.col(f"texts.{f.name}").isNotNull() & F.col(f"parsed.{f.name}").isNull(), F.lit(f.name))
-            for f in schema if f.dataType != T.StringType()
-        ])
-    ).cast("array<string>")
-    return lines.select("*", F.inline(F.array(record))).select(
-        *lines.columns, "present_keys", bad_types.alias("bad_types"), "parsed.*"
+    bad_types = [
+        F.when(F.col(f"texts.{f.name}").isNotNull() & F.col(f"parsed.{f.name}").isNull(), F.lit(f.name))
+        for f in schema if f.dataType != T.StringType()
+    ]
+    record = F.struct(keys.alias("present_keys"), texts.alias("texts"))
+    return typed.select("*", F.inline(F.array(record))).select(
+        *lines.columns, "present_keys", F.array_compact(F.array(*bad_types)).cast("array<string>").alias("bad_types"),
+        *[F.col(f"parsed.{name}") for name in schema.names],
     )
 
 

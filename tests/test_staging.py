@@ -125,3 +125,26 @@ def test_align_and_ensure_columns(spark):
     assert conform.ensure_columns(df, schemas.DIM_DRIVER).columns == [
         "extra", "driver_id", "status", "first_seen_at", "last_seen_at",
     ]
+
+
+def test_lines_are_parsed_once_and_misfits_named(spark):
+    full = {
+        "event_id": "h", "driver_id": "d", "timestamp": "t", "shift_hours": 1.0, "continuous_driving_hours": 1.0,
+        "fatigue_index": 0.5, "breaks_taken": True, "alerts": [],
+    }
+    names = schemas.RAW_HEALTH.names
+    lines = {
+        json.dumps(full): (names, []),
+        json.dumps({**full, "unknown": 1}): (names, []),
+        json.dumps({**full, "alerts": None}): (names, []),
+        json.dumps({"unknown": 1, "alerts": None}): (["alerts"], []),
+        json.dumps({**full, "shift_hours": "1", "breaks_taken": 1, "alerts": "x"}): (names, ["shift_hours", "breaks_taken", "alerts"]),
+        json.dumps({**full, "driver_id": 7}): (names, []),
+        "{}": ([], []), "{broken": (None, []), "[1]": (None, []), "": (None, []), "null": (None, []),
+    }
+    df = parsed(spark, schemas.RAW_HEALTH, *lines)
+    found = df.select("value", "present_keys", "bad_types").collect()
+    assert {r.value: (r.present_keys, r.bad_types) for r in found} == lines
+    # one parse of every line, and one behind a condition
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2 and "THEN from_json" in plan
