@@ -6,7 +6,7 @@ location and consumed with ``availableNow``; results are read back from the sink
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from checks.binding import Fleet
 from checks.oracle import DRIVER_MART, VEHICLE_MART, rounded, sql
@@ -106,16 +106,25 @@ def stream_refresh_driver_mart(f: Fleet) -> DataFrame:
     return tables.read_table(f.spark, root, "fact_driver_daily_metrics")
 
 
-def stream_harsh_brake(f: Fleet) -> DataFrame:
-    """Two drops in time order; the flags equal the batch result."""
+def _harsh_brake(f: Fleet, parts: list[Column], delay: str) -> DataFrame:
     path, out, state, checkpoint = (scratch_path(f.spark, n) for n in ("drop", "out", "state", "ckpt"))
-    cut = F.col("date_key") <= F.lit("2024-01-15").cast("date")
-    for part in (cut, ~cut):
+    for part in parts:
         _drop(f.telemetry.where(part), path, overwrite=False)
-        job = stateful.stream_harsh_brake(out, state)
+        job = stateful.stream_harsh_brake(out, state, delay)
         ingest.run_available(_stream(f, path).writeStream.foreachBatch(job), checkpoint)
-    flags = "event_id string, vehicle_id string, prev_speed_kph double, harsh_brake boolean"
-    return tables.read_versions(f.spark, out, flags)
+    return stateful.read_harsh_brake(f.spark, out).select("event_id", "vehicle_id", "prev_speed_kph", "harsh_brake")
+
+
+def stream_harsh_brake(f: Fleet) -> DataFrame:
+    """Two drops in time order; the flags equal the batch result."""
+    cut = F.col("date_key") <= F.lit("2024-01-15").cast("date")
+    return _harsh_brake(f, [cut, ~cut], "1 hour")
+
+
+def stream_harsh_brake_late(f: Fleet) -> DataFrame:
+    """Two drops that each hold samples between those of the other; the flags equal the batch result."""
+    early = F.xxhash64("event_id") % 2 == 0
+    return _harsh_brake(f, [early, ~early], "60 days")
 
 
 def stream_replay_buffer(f: Fleet) -> DataFrame:
@@ -125,7 +134,7 @@ def stream_replay_buffer(f: Fleet) -> DataFrame:
         _drop(f.telemetry.where(part), path, overwrite=False)
         job = stateful.stream_replay_buffer(state)
         ingest.run_available(_stream(f, path).writeStream.foreachBatch(job), checkpoint)
-    return tables.read_version(f.spark, state, stateful.BUFFERED)
+    return stateful.read_replay_buffer(f.spark, state)
 
 
 def stream_quarantine(f: Fleet) -> DataFrame:
@@ -139,6 +148,10 @@ def stream_quarantine(f: Fleet) -> DataFrame:
     ).withColumn("quarantined", F.col("quarantined").cast("boolean"))
 
 
+_HARSH_BRAKE = sql("""SELECT event_id, vehicle_id, round(prev, 6) AS prev_speed_kph,
+               coalesce(prev - speed_kph > greatest(8, prev * 0.25e0), FALSE) AS harsh_brake
+        FROM (SELECT *, lag(speed_kph) OVER (PARTITION BY vehicle_id ORDER BY event_timestamp, event_id) AS prev FROM tel)""", "tel")
+
 _STREAM_ALERTS = sql("""SELECT tel.vehicle_id AS entity_id, 'vehicle' AS entity_type, metric_name, round(v, 6) AS metric_value,
                CASE WHEN comparison_op = '>' AND v >= critical_threshold OR comparison_op = '<' AND v <= critical_threshold
                     THEN 'CRITICAL' ELSE 'WARNING' END AS severity, description, event_id, event_timestamp
@@ -163,12 +176,8 @@ QUERIES = {
     "stream_alerts_live": (stream_alerts_live, _STREAM_ALERTS),
     "stream_refresh": (stream_refresh, sql(f"SELECT {rounded(VEHICLE_MART)} FROM vm", "vm")),
     "stream_refresh_driver_mart": (stream_refresh_driver_mart, sql(f"SELECT {rounded(DRIVER_MART)} FROM dm", "dm")),
-    "stream_harsh_brake": (
-        stream_harsh_brake,
-        sql("""SELECT event_id, vehicle_id, round(prev, 6) AS prev_speed_kph,
-                      coalesce(prev - speed_kph > greatest(8, prev * 0.25e0), FALSE) AS harsh_brake
-               FROM (SELECT *, lag(speed_kph) OVER (PARTITION BY vehicle_id ORDER BY event_timestamp, event_id) AS prev FROM tel)""", "tel"),
-    ),
+    "stream_harsh_brake": (stream_harsh_brake, _HARSH_BRAKE),
+    "stream_harsh_brake_late": (stream_harsh_brake_late, _HARSH_BRAKE),
     "stream_replay_buffer": (
         stream_replay_buffer,
         sql("""SELECT vehicle_id, event_timestamp, event_id, round(speed_kph, 6) AS speed_kph

@@ -114,7 +114,7 @@ def read_version(spark: SparkSession, path: str, schema: T.StructType, below: in
 
 def read_versions(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The rows of all committed versions, for tables to which each batch adds a version."""
-    committed = [n for n in _numbers(spark, path) if _is_committed(spark, path, n)]
+    committed = committed_versions(spark, path)
     if not committed:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(*[f"{path}/version={n}" for n in committed])
@@ -130,6 +130,11 @@ def _numbers(spark: SparkSession, path: str) -> list[int]:
     return sorted((int(n.split("=")[1]) for n in names if n.startswith("version=")), reverse=True)
 
 
+def committed_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the versions whose job has committed, newest first."""
+    return [n for n in _numbers(spark, path) if _is_committed(spark, path, n)]
+
+
 def _is_committed(spark: SparkSession, path: str, number: int) -> bool:
     return storage.exists(spark, f"{path}/version={number}/_SUCCESS")
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 import re
 
 import pytest
@@ -18,7 +19,6 @@ from roadbook.sources import tables
 from roadbook.streaming import live, stateful
 
 AT = dt.datetime(2026, 2, 9, 6)
-FLAGGED = "event_id string, vehicle_id string, prev_speed_kph double, harsh_brake boolean"
 
 
 def write(path, records):
@@ -211,17 +211,48 @@ def samples(spark, *rows):
     return spark.createDataFrame(full, schemas.FACT_VEHICLE_TELEMETRY)
 
 
-def test_harsh_brake_batches_late_rows_and_replay(spark, tmp_path):
+def verdicts(spark, out):
+    return {r.event_id: (r.prev_speed_kph, r.harsh_brake) for r in stateful.read_harsh_brake(spark, out).collect()}
+
+
+def test_harsh_brake_batches_judge_late_rows_and_replay(spark, tmp_path):
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
-    job = stateful.stream_harsh_brake(out, state)
+    job = stateful.stream_harsh_brake(out, state, "4 minutes")
     job(samples(spark, ("a", "v", 1, 80.0), ("b", "v", 5, 70.0)), 0)
-    second = samples(spark, ("c", "v", 6, 20.0), ("late", "v", 3, 10.0), ("x", "w", 1, 5.0))
+    second = samples(spark, ("c", "v", 6, 20.0), ("late", "v", 3, 90.0), ("x", "w", 1, 5.0))
     job(second, 1)
     job(second, 1)  # the batch runs again after a failure
-    got = {r.event_id: (r.prev_speed_kph, r.harsh_brake) for r in tables.read_versions(spark, out, FLAGGED).collect()}
-    assert got == {"a": (None, False), "b": (80.0, False), "c": (70.0, True), "late": (None, None), "x": (None, False)}
-    assert tables.read_versions(spark, out, FLAGGED).count() == 5
-    assert len(list((tmp_path / "state").iterdir())) == 2
+    want = {"a": (None, False), "late": (80.0, False), "b": (90.0, False), "c": (70.0, True), "x": (None, False)}
+    assert verdicts(spark, out) == want
+    # b has its first and its new verdict
+    assert tables.read_versions(spark, out, stateful.VERDICT).count() == 6
+    # the vehicle is open from minute 2: minute 1 is too late, a repeat of a kept or of an older sample changes nothing
+    job(samples(spark, ("older", "v", 1, 10.0), ("a", "v", 1, 80.0), ("c", "v", 6, 20.0), ("d", "v", 2, 60.0)), 2)
+    want |= {"older": (None, None), "d": (80.0, False), "late": (60.0, False)}
+    assert verdicts(spark, out) == want
+
+
+def test_harsh_brake_in_any_order_is_the_batch_result(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(f"e{i}", f"v{rng.randrange(3)}", rng.randrange(60), float(rng.randrange(100))) for i in range(120)]
+    whole = alerts.harsh_brake(samples(spark, *rows)).collect()
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    job = stateful.stream_harsh_brake(out, state, "1 hour")
+    for i in range(4):
+        job(samples(spark, *rows[i * 30 : i * 30 + 30]), i)
+    assert verdicts(spark, out) == {r.event_id: (r.prev_speed_kph, r.harsh_brake) for r in whole}
+
+
+def test_batches_write_the_buckets_of_their_vehicles_only(spark, tmp_path):
+    state = tmp_path / "state"
+    job = stateful.stream_replay_buffer(str(state), n=2)
+    job(samples(spark, *[(f"e{i}", f"v{i}", 1, 1.0) for i in range(200)]), 0)
+    for i in range(1, 5):
+        job(samples(spark, (f"n{i}", "v7", i + 1, 1.0)), i)
+    held = {p.parent.name: len(list(p.parent.glob("bucket=*"))) for p in state.glob("version=*/bucket=*")}
+    assert held["version=1"] > 50 and held["version=4"] == held["version=5"] == 1 and len(held) == 3
+    got = {r.event_id for r in stateful.read_replay_buffer(spark, str(state)).collect()}
+    assert got == {f"e{i}" for i in range(200) if i != 7} | {"n3", "n4"}
 
 
 def test_replay_buffer_state(spark, tmp_path):
@@ -230,7 +261,7 @@ def test_replay_buffer_state(spark, tmp_path):
     job(samples(spark, ("a", "v", 1, 1.0), ("b", "v", 2, 1.0)), 0)
     job(samples(spark, ("c", "v", 3, 1.0)), 1)
     job(samples(spark, ("c", "v", 3, 1.0)), 1)
-    assert {r.event_id for r in tables.read_version(spark, state, stateful.BUFFERED).collect()} == {"b", "c"}
+    assert {r.event_id for r in stateful.read_replay_buffer(spark, state).collect()} == {"b", "c"}
 
 
 def test_stream_refresh_in_any_day_order(spark, tmp_path):
