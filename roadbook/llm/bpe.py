@@ -27,8 +27,11 @@ DEPENDENT = re.compile(r" \s|[^\S ] ")
 OTHER_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
 #: Marks that are a word of their own behind letters and before a space.
 MARKS = frozenset(".,;:!?")
-#: Chunks, words and ends of prefixes that a worker remembers; only speed depends on them.
-KNOWN_CHUNKS, KNOWN_WORDS, KNOWN_ENDINGS = 200_000, 150_000, 100_000
+#: Bytes of chunks and of words that a worker remembers (about, and twice: young and old), characters of the
+#: longest, and ends of prefixes; only speed depends on them.
+KNOWN_CHUNKS, KNOWN_WORDS, KNOWN_CHARS, KNOWN_ENDINGS = 64 << 20, 48 << 20, 64, 100_000
+#: What an entry takes besides, for each character of its key, and for each token.
+ENTRY_BYTES, CHAR_BYTES, TOKEN_BYTES = 200, 4, 40
 
 
 def _byte_characters() -> dict[str, int]:
@@ -181,26 +184,35 @@ def _shared(a: bytes, b: bytes) -> int:
 
 
 class Recent:
-    """Remembers what was made for keys. When it is full, what was not used since it was last full goes."""
+    """Remembers what was made for keys, but for long ones. When it is full, what was not used since it was last full goes."""
 
     def __init__(self, limit: int, make: Callable[[list], Iterable]):
         self.limit, self.make = limit, make
         self.young: dict = {}
         self.old: dict = {}
+        self.held = 0
 
     def recall(self, keys: list) -> list:
         """What belongs to each key, made where it is not remembered."""
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {}
+        if self.held > self.limit:
+            self.old, self.young, self.held = self.young, {}, 0
         found = list(map(self.young.get, keys))
         if None not in found:
             return found
         missing = list({key for key, value in zip(keys, found, strict=True) if value is None})
         kept = list(map(self.old.get, missing))
         new = [key for key, value in zip(missing, kept, strict=True) if value is None]
-        self.young.update((key, value) for key, value in zip(missing, kept, strict=True) if value is not None)
-        self.young.update(zip(new, self.make(new), strict=True))
-        return list(map(self.young.__getitem__, keys))
+        young = self.young
+        young.update((key, value) for key, value in zip(missing, kept, strict=True) if value is not None)
+        young.update(zip(new, self.make(new), strict=True))
+        found = list(map(young.__getitem__, keys))
+        long = [key for key in new if len(key) > KNOWN_CHARS]
+        held = [key for key in missing if len(key) <= KNOWN_CHARS] if long else missing
+        self.held += ENTRY_BYTES * len(held) + CHAR_BYTES * sum(map(len, held))
+        self.held += TOKEN_BYTES * sum(len(young[key]) for key in held)
+        for key in long:
+            del young[key]
+        return found
 
 
 class Codec:

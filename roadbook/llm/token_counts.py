@@ -3,11 +3,16 @@
 A batch of distinct pre-tokens is held as one flat array of symbols with the place where each begins. In
 every round each pre-token merges its best pair, all pre-tokens at once, until no pair is left that the
 model knows; what survives is counted.
+
+A long pre-token is first cut where no piece holds both characters side by side, as no merge reaches over
+such a place. A part that is still long would take a round over all of it for most of its merges; it goes
+through a heap of pairs instead, in the same order.
 """
 
 from __future__ import annotations
 
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +23,11 @@ from roadbook.llm.frames import append_columns
 
 #: Fixed value: what stands for a space in the pieces of such models.
 SPACE = "▁"
-#: Distinct pre-tokens remembered by a worker, and characters merged at once; only speed depends on them.
-KNOWN_WORDS, BATCH_CHARS = 500_000, 1 << 20
+#: Bytes of pre-tokens remembered by a worker (about), characters of the longest remembered, characters merged
+#: at once, and of a pre-token that is cut and of a part that is merged by itself; only speed depends on them.
+KNOWN_BYTES, KNOWN_CHARS, BATCH_CHARS, LONG = 96 << 20, 64, 1 << 20, 96
+#: What an entry takes besides its characters, of up to four bytes each.
+ENTRY_BYTES, CHAR_BYTES = 150, 4
 NONE = np.iinfo(np.int32).max
 
 
@@ -53,6 +61,8 @@ class Pieces:
                 a, b = number.get(piece[:cut]), number.get(piece[cut:])
                 if a is not None and b is not None:
                     pairs[a * self.size + b] = n
+        self.pairs = pairs
+        self.beside = np.array(sorted({ord(a) << 21 | ord(b) for piece in number for a, b in zip(piece, piece[1:])}), np.int64)
         keys = np.array(sorted(pairs), np.int64)
         self.keys, self.made = keys, np.array([pairs[k] for k in keys], np.int32)
         self.rank = ranks.astype(np.int32)
@@ -80,8 +90,63 @@ class Pieces:
         codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         return self.symbol[codes], np.fromiter(map(len, words), np.int64, len(words))
 
+    def parts(self, word: str) -> list[str]:
+        """A pre-token cut between characters that no piece has side by side."""
+        codes = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.int64)
+        both = codes[:-1] << 21 | codes[1:]
+        cut = np.flatnonzero(~np.isin(both, self.beside, kind="sort")) + 1
+        ends = [*cut.tolist(), len(word)]
+        return [word[a:b] for a, b in zip([0, *ends], ends)]
+
     def count(self, words: list[str]) -> np.ndarray:
         """Tokens of each pre-token (none of them empty)."""
+        if max(map(len, words), default=0) <= LONG:
+            return self._rounds(words)
+        cut = [self.parts(w) if len(w) > LONG else [w] for w in words]
+        owner = np.repeat(np.arange(len(words)), list(map(len, cut)))
+        parts = [part for pieces in cut for part in pieces]
+        tokens = np.zeros(len(parts), np.int64)
+        short = [k for k, part in enumerate(parts) if len(part) <= LONG]
+        if short:
+            tokens[short] = self._rounds([parts[k] for k in short])
+        for k, part in enumerate(parts):
+            if len(part) > LONG:
+                tokens[k] = self._heap(part)
+        return np.bincount(owner, tokens, len(words)).astype(np.int64)
+
+    def _heap(self, part: str) -> int:
+        """Tokens of one long part: the pair of best rank merges first, of equal ones the leftmost."""
+        symbol, _ = self.symbols([part])
+        n, size, pairs, ranks = len(symbol), self.size, self.pairs, self.rank.tolist()
+        rank, _ = self.pair(symbol[:-1], symbol[1:])
+        at = np.flatnonzero(rank != NONE)
+        heap = (rank[at].astype(np.int64) * n + at).tolist()
+        heapify(heap)
+        row, after, before = symbol.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        left = sum(max(1, -s) for s in row)
+        gone = -1  # like a character that no piece has, it merges with nothing
+        while heap:
+            best, i = divmod(heappop(heap), n)
+            j = after[i]
+            if row[i] < 0 or j == n or row[j] < 0:
+                continue
+            made = pairs.get(row[i] * size + row[j])
+            if made is None or ranks[made] != best:
+                continue
+            row[i], row[j] = made, gone
+            left -= 1
+            j = after[i] = after[j]
+            if j < n:
+                before[j] = i
+                if row[j] >= 0 and (new := pairs.get(made * size + row[j])) is not None:
+                    heappush(heap, ranks[new] * n + i)
+            j = before[i]
+            if j >= 0 and row[j] >= 0 and (new := pairs.get(row[j] * size + made)) is not None:
+                heappush(heap, ranks[new] * n + j)
+        return left
+
+    def _rounds(self, words: list[str]) -> np.ndarray:
+        """The same, merging all pre-tokens in step."""
         symbol, length = self.symbols(words)
         total = np.zeros(len(words), np.int64)
         word = np.repeat(np.arange(len(words)), length)
@@ -140,7 +205,7 @@ class Counter:
     """Counts tokens of whole texts; keeps the counts of pre-tokens it has met."""
 
     def __init__(self, path: str):
-        self.pieces, self.known = Pieces(path), {}
+        self.pieces, self.known, self.held = Pieces(path), {}, 0
 
     @staticmethod
     def pre_tokens(text: str) -> list[str]:
@@ -163,8 +228,9 @@ class Counter:
         return out
 
     def count(self, texts: list[str | None]) -> list[int]:
-        if len(self.known) > KNOWN_WORDS:
+        if self.held > KNOWN_BYTES:
             self.known.clear()
+            self.held = 0
         cut = [self.pre_tokens(text) if text else [] for text in texts]
         known = self.known
         new = [w for w in set().union(*cut) if w not in known]
@@ -176,7 +242,14 @@ class Counter:
                 part = new[begin:end]
                 known.update(zip(part, self.pieces.count([SPACE + w for w in part]).tolist(), strict=True))
                 begin, size = end, 0
-        return [sum(map(known.__getitem__, words)) for words in cut]
+        counts = [sum(map(known.__getitem__, words)) for words in cut]
+        for w in reversed(new):
+            if len(w) <= KNOWN_CHARS:
+                break
+            del known[w]
+        kept = [len(w) for w in new if len(w) <= KNOWN_CHARS]
+        self.held += ENTRY_BYTES * len(kept) + CHAR_BYTES * sum(kept)
+        return counts
 
 
 @lru_cache(maxsize=2)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -64,6 +65,37 @@ def test_memory_may_be_forgotten_at_any_time():
         assert found == _library([text])[0] and end == [len(found)]
 
 
+def test_long_words():
+    chance = random.Random(2)
+    letters, signs = "abcdefghijklmnopqrstuvwxyz", "ABCxyz019+/é日\n"
+    words = ["".join(chance.choices(al, k=n)) for al in (letters, signs, "etao", "ab") for n in (97, 98, 500, 20_000)]
+    words += ["international" * 3000, "x y" + "q" * 400, "日本語" * 1000, " ".join(["straße" * 40, "aß" * 99]), '{"a":[1,2]},' * 900]
+    assert token_counts.counter(PIECES).count(words) == [len(x) for x in MODEL.encode(words)]
+    counts = [token_counts.Pieces(PIECES)._heap("▁" + w) for w in words[:3]]
+    assert counts == [len(x) for x in MODEL.encode(words[:3])]
+
+
+def test_a_very_long_word_takes_seconds():
+    word = "".join(random.Random(3).choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    begin = time.perf_counter()
+    assert token_counts.counter(PIECES).count([word]) == [len(MODEL.encode(word))]
+    assert time.perf_counter() - begin < 20
+
+
+def test_memory_is_bounded_by_bytes(monkeypatch):
+    coder, counter = bpe.Codec(BYTES), token_counts.Counter(PIECES)
+    coder.chunks.limit = coder.known.limit = 1 << 20
+    monkeypatch.setattr(token_counts, "KNOWN_BYTES", 1 << 20)
+    chance = random.Random(4)
+    for _ in range(40):
+        texts = ["".join(chance.choices("日本語中国人大小上下一二三", k=chance.choice([20, 60, 2000]))) for _ in range(60)]
+        assert counter.count(texts) == [len(x) for x in MODEL.encode(texts)]
+        coder.encode(texts)
+        for known in (coder.chunks.young, coder.chunks.old, coder.known.young, coder.known.old, counter.known):
+            assert all(len(key) <= 64 * 4 for key in known) and sum(map(len, known)) < 1 << 20
+    assert all(len(key) <= token_counts.KNOWN_CHARS for key in counter.known)
+
+
 def test_documents(odd_docs):
     expected = {(r.doc_id, r.text) for r in odd_docs.collect()}
     rows = bpe.round_trip(odd_docs, BYTES).collect()
