@@ -2,7 +2,8 @@
 
 Text blocks pass points to the elements around them: some for being there, one per comma, some for length,
 less what links make of the block. The element with most points holds the article; its scored siblings count
-as well. Menus, notices, forms and the like are left out wherever they stand.
+as well. Menus, notices, forms and the like are left out wherever they stand, but a form or a part named like
+one of these that holds most of the page's points is a wrapper of the article, of which only the controls go.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ SIBLINGS = {
 P_SCOPE = frozenset("html body article section div table td th li button blockquote aside nav main form".split())
 #: Elements whose content is no part of an article.
 DROPPED = frozenset(
-    "head script style title iframe noembed noframes noscript xmp template svg math nav aside footer form fieldset button"
-    " select textarea dialog menu object audio video canvas search".split()
+    "head script style title iframe noembed noframes noscript xmp template svg annotation annotation-xml nav aside footer"
+    " fieldset button select textarea dialog menu object audio video canvas search".split()
 )
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split()
@@ -47,6 +48,12 @@ DROPPED_NAMES = frozenset(
     " recommendations share sharing social comment comments commentlist respond replies reply disqus discussion footer"
     " masthead toolbar topbar pager pagination login search skip hidden alert alerts rail".split()
 )
+#: Of these, words of parts that are never a wrapper of the article.
+NEVER_WRAPPERS = frozenset(
+    "cookie cookies consent gdpr popup hidden comment comments commentlist respond replies reply disqus discussion".split()
+)
+#: Share of a page's points that a form or a part named like the above holds if it is a wrapper of the article.
+WRAPPER_SHARE = 0.6
 DROPPED_ENDINGS, DROPPED_BEGINNINGS = ("nav", "navbar", "menu"), ("advert", "sidebar", "cookie", "footer", "breadcrumb", "newsletter")
 #: Words that turn a name into a remark on the page, as in no-sidebar; and those of a header that belongs to the article.
 REMARKS = frozenset("no not has with without is".split())
@@ -58,22 +65,30 @@ BASE_POINTS, LENGTH_UNIT, LENGTH_POINTS = 1.0, 100, 3.0
 #: all points that an element marked as article or main needs.
 SECOND_SHARE, SIBLING_SHARE, ARTICLE_SHARE = 0.5, 0.2, 1 / 3
 SCORED = frozenset("p pre td blockquote".split())
-
-_TOKEN = re.compile(
-    r"<!--(?:>|->|.*?--!?>|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*+>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
-    re.DOTALL,
-)
+CONTAINERS = frozenset("div section article main body html center td form".split())
+
+_COMMENT = r"<!--(?:>|->|.*?--!?>|.*\Z)"
+_CDATA, _OTHER = r"|<!\[CDATA\[.*?\]\]>", r"|<[!?][^>]*+>"
+_QUOTED = r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+_PLAIN = r"|<(?P<slash>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>[^>]*+)>"
+#: Tokens by whether a CDATA part can end, and whether quotes can. Where they cannot, looking for their end from each
+#: place on would read the rest of the page again and again.
+_TOKENS = {
+    (cdata, quoted): re.compile(_COMMENT + _CDATA * cdata + _OTHER + _QUOTED * quoted + _PLAIN, re.DOTALL)
+    for cdata in (False, True) for quoted in (False, True)
+}
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?+")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "dropped", "points", "total", "link")
+    __slots__ = ("tag", "parent", "dropped", "wrapper", "held", "marked", "points", "total", "link")
 
-    def __init__(self, tag: str, parent: Element | None, dropped: bool):
+    def __init__(self, tag: str, parent: Element | None, dropped: bool, wrapper: bool = False):
         self.tag, self.parent, self.dropped, self.points, self.total = tag, parent, dropped, 0.0, 0.0
+        # the innermost part around that may be a wrapper; points in such a part, and those in an article of the page
+        self.wrapper: Element | None = self if wrapper else parent and parent.wrapper
+        self.held = self.marked = 0.0
         self.link = tag == "a" or (parent is not None and parent.link)
 
 
@@ -86,35 +101,45 @@ class Block:
         self.element, self.text, self.linked = element, text, linked
 
 
-def _is_dropped(tag: str, attributes: str, parent: Element | None) -> bool:
+STAYS, MAY_WRAP, GOES = range(3)
+
+
+def _fate(tag: str, attributes: str, parent: Element | None) -> int:
+    """Whether an element stays, goes, or goes unless it turns out to be a wrapper of the article."""
     if tag in DROPPED:
-        return True
+        return GOES
+    if tag == "label" and _within(parent, ("form",)):
+        return GOES
     if tag == "header":  # a heading of the article itself stays
-        return not _within(parent, ("article", "main"))
+        return STAYS if _within(parent, ("article", "main")) else GOES
+    fate = MAY_WRAP if tag == "form" else STAYS
     if not attributes or tag in KEPT_NAMES or "=" not in attributes and "hidden" not in attributes:
-        return False
+        return fate
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next(filter(None, values), "")
         if name in ("class", "id"):
-            if any(_names_dropped(token, parent) for token in value.split()):
-                return True
+            fate = max(fate, *(_fate_of_name(token, parent) for token in value.split()), STAYS)
         elif name == "role" and value.strip().lower() in DROPPED_ROLES:
-            return True
+            return GOES
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return GOES
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-            return True
-    return False
+            return GOES
+    return GOES if fate == MAY_WRAP and tag not in BLOCK else fate
 
 
-def _names_dropped(token: str, parent: Element | None) -> bool:
-    """Whether a class or id names a part that is no part of an article."""
+def _fate_of_name(token: str, parent: Element | None) -> int:
+    """The same by a class or id, which may name a part that is no part of an article."""
     parts = [part.lower() for part in _NAME.findall(token)]
     if not parts or parts[0] in REMARKS:
-        return False
+        return STAYS
+    if NEVER_WRAPPERS.intersection(parts):
+        return GOES
     if any(p in DROPPED_NAMES or p.endswith(DROPPED_ENDINGS) or p.startswith(DROPPED_BEGINNINGS) for p in parts):
-        return True
-    return "header" in parts and not OWN_HEADERS.intersection(parts) and not _within(parent, ("article", "main"))
+        return MAY_WRAP
+    if "header" in parts and not OWN_HEADERS.intersection(parts) and not _within(parent, ("article", "main")):
+        return MAY_WRAP
+    return STAYS
 
 
 def _within(element: Element | None, tags: tuple[str, ...]) -> Element | None:
@@ -182,7 +207,8 @@ class _Page:
         if tag == "body":
             self.close({"head"}, frozenset())
         parent = self.open[-1]
-        element = Element(tag, parent, parent.dropped or _is_dropped(tag, attributes, parent))
+        fate = _fate(tag, attributes, parent)
+        element = Element(tag, parent, parent.dropped or fate == GOES, fate == MAY_WRAP)
         self.open.append(element)
         self.elements.append(element)
 
@@ -194,22 +220,28 @@ class _Page:
 
 
 def _parse(source: str) -> _Page:
-    page, at = _Page(), 0
+    page, at, quoted = _Page(), 0, True
+    last, last_cdata = source.rfind(">"), source.rfind("]]>")
     while True:
-        found = _TOKEN.search(source, at)
+        # behind the last ">" only a comment can begin, which then takes the rest
+        found = _TOKENS[at <= last_cdata, quoted].search(source, at) if at <= last else None
         if not found:
-            page.text(source[at:])
+            rest, _, _ = source[at:].partition("<!--")
+            page.text(rest)
             break
         page.text(source[at : found.start()])
         at = found.end()
-        name = found[2] or found[5]
-        if not name:
+        if quoted and (name := found[2]):
+            slash, attributes = found[1], found[3]
+        elif name := found["name"]:
+            # quotes that never close: from here on a tag ends at the first ">"
+            slash, attributes, quoted = found["slash"], found["rest"], False
+        else:
             continue
         name = name.lower()
-        if found[1] or found[4]:
+        if slash:
             page.end(name)
             continue
-        attributes = found[3] or found[6] or ""
         page.start(name, attributes)
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(source, at)
@@ -226,13 +258,14 @@ def main_text(source: str | None) -> str:
     if not source:
         return ""
     page, total = _parse(source), 0.0
-    for block in page.blocks:
+    points_of = list(map(_points, page.blocks))
+    _drop_all_but_wrappers(page, points_of)
+    blocks = [(block, points) for block, points in zip(page.blocks, points_of, strict=True) if not block.element.dropped]
+    for block, points in blocks:
         element = block.element
         direct = element.tag not in SCORED
-        if direct and element.tag not in ("div", "section", "article", "main", "body", "html", "center", "td"):
+        if direct and element.tag not in CONTAINERS:
             continue
-        share = 1 - min(1.0, block.linked / len(block.text))
-        points = (BASE_POINTS + block.text.count(",") + min(len(block.text) / LENGTH_UNIT, LENGTH_POINTS)) * share
         total += points
         if named := _within(element, ("article", "main")):
             named.total += points
@@ -252,8 +285,37 @@ def main_text(source: str | None) -> str:
     if holder is None and best.parent is not None:
         limit = SIBLING_SHARE * best.points
         kept |= {id(e) for e in page.elements if e.parent is best.parent and not e.dropped and e.points >= limit}
-        kept |= {id(b.element) for b in page.blocks if b.element.parent is best.parent and _is_prose(b)}
-    return "\n\n".join(b.text for b in page.blocks if _inside(b.element, kept))
+        kept |= {id(b.element) for b, _ in blocks if b.element.parent is best.parent and _is_prose(b)}
+    return "\n\n".join(b.text for b, _ in blocks if _inside(b.element, kept))
+
+
+def _points(block: Block) -> float:
+    """For being there, for commas and for length, less the share of links."""
+    share = 1 - min(1.0, block.linked / len(block.text))
+    return (BASE_POINTS + block.text.count(",") + min(len(block.text) / LENGTH_UNIT, LENGTH_POINTS)) * share
+
+
+def _drop_all_but_wrappers(page: _Page, points_of: list[float]) -> None:
+    """Marks what is in a form or a part named like a sidebar, unless most points and marked articles are in it.
+
+    Where such parts stand in one another each is judged by itself.
+    """
+    parts = [e for e in page.elements if e.wrapper is e and not e.dropped]
+    if not parts:
+        return
+    total = marked = 0.0
+    for block, points in zip(page.blocks, points_of, strict=True):
+        own = points if _within(block.element, ("article", "main")) else 0.0
+        total, marked = total + points, marked + own
+        if part := block.element.wrapper:
+            part.held, part.marked = part.held + points, part.marked + own
+    for part in reversed(parts):  # inner ones come behind outer ones
+        if part.parent is not None and (outer := part.parent.wrapper):
+            outer.held, outer.marked = outer.held + part.held, outer.marked + part.marked
+    for part in parts:
+        part.dropped = part.held < WRAPPER_SHARE * total or 2 * part.marked < marked or not part.held
+    for element in page.elements:
+        element.dropped = element.dropped or (element.parent is not None and element.parent.dropped)
 
 
 def _is_prose(block: Block) -> bool:
@@ -278,7 +340,8 @@ _EXTRACTED = T.StructType([T.StructField("main_text", T.StringType(), False), T.
 def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
     """Rows with ``main_text`` and ``n_chars`` (its code points), from the whole page.
 
-    A null or empty page has an empty text, as has one without any block outside the dropped parts. Equal
+    A null or empty page has an empty text, as has one without any block outside the dropped parts. Formulas
+    keep their text. Tags whose quotes never close end at their first ">". Equal
     scores go to the element that begins first. Repeated rows are each extracted; input columns of these
     names are replaced.
     """

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import random
+import time
 
 import pytest
 
@@ -208,6 +209,51 @@ def test_odd_pages(source, wanted):
     assert html.main_text(source) == wanted
 
 
+WRAPPERS = [
+    "<article>{}</article>", '<div class="content">{}</div>', '<form action="/"><input name="q"><label>Mail</label>{}<button>Send, now</button></form>',
+    '<div class="content-sidebar-wrap">{}</div>', '<div class="share-article"><div>{}</div></div>', '<form><div id="promo-body">{}</div></form>',
+    '<div class="widget">{}</div>', "<main><form>{}</form></main>",
+]
+AROUND = [
+    '<nav><a href="/">Home</a></nav>', '<div class="sidebar"><p>Side, side.</p></div>', "<form><p>Name, mail</p><input></form>",
+    '<div class="cookie-bar"><p>We use cookies, yes.</p></div>', '<section id="comments"><p>So, so, so much, indeed, he said. {}</p></section>',
+    "<aside><p>See, also</p></aside>", '<div class="ad">Buy, buy</div>', "<footer>Foot, er</footer>", "<script>a('<p>x</p>')</script>",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_articles_in_wrappers(wrapper):
+    """Pages put together from parts, of which the article is known."""
+    chance = random.Random(wrapper)
+    words = "engine, road fuel, driver brake route winter, the of and long".split(" ")
+    for _ in range(40):
+        blocks = [" ".join(chance.choices(words, k=chance.randint(15, 60))) + "." for _ in range(chance.randint(4, 9))]
+        inner = "".join(f"<p>{b}</p>" + chance.choice(["", "", '<div class="ad">Buy, buy</div>', "<button>Go</button>"]) for b in blocks)
+        before, after = (chance.sample(AROUND, k=chance.randint(0, 4)) for _ in range(2))
+        page = "".join(before).format("") + wrapper.format(inner) + "".join(after).format("Long, longer. " * 10)
+        assert html.main_text(f"<body>{page}</body>") == "\n\n".join(blocks)
+
+
+def test_long_comments_are_no_wrapper():
+    page = '<body><div><p>A short, plain article.</p></div><div id="comments"><p>' + "much, more, " * 200 + "</p></div></body>"
+    assert html.main_text(page) == "A short, plain article."
+    page = '<body><article><p>A short, plain article.</p></article><div class="sidebar"><p>' + "much, more, " * 200 + "</p></div></body>"
+    assert html.main_text(page) == "A short, plain article."
+
+
+def test_formulas_stay():
+    formula = "<math><mi>x</mi><mo>+</mo><mn>1</mn><annotation>x^1</annotation></math>"
+    assert html.main_text(f"<body><p>Let {formula} be a number.</p></body>") == "Let x+1 be a number."
+
+
+@pytest.mark.parametrize("piece", ["<a href='x", "<a '>", "<a \"'>", "<![CDATA[x>", "<a", "<!--x", "<p 'x\">", "</a '"])
+@pytest.mark.parametrize("end", ["", ">", "'>", "]]><p>x"])
+def test_tags_that_never_close_take_no_longer(piece, end):
+    begin = time.perf_counter()
+    html.main_text(piece * (1_000_000 // len(piece)) + end)
+    assert time.perf_counter() - begin < 10
+
+
 def test_main_text_of_the_table(spark, sf_dir):
     rows = queries.queries()["op9_main_text"](spark, sf_dir).collect()
     assert len(rows) == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
