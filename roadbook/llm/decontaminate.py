@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from roadbook.llm.frames import blocks, filter_rows, written
 
-#: Length of a q-gram, and edits allowed per character of a passage.
-Q, EDIT_SHARE = 8, 0.1
+#: Length of a q-gram, edits allowed per character of a passage, and characters of the shortest that is searched for.
+Q, EDIT_SHARE, SHORTEST = 8, 0.1, 8
+#: Length of the q-grams of passages too short to share one of the former with each place within their edits.
+SHORT_Q = 4
 #: Characters of passages that are sent to the workers at once; larger sets are searched block by block.
 BLOCK_ITEM_CHARS = 4_000_000
 #: Characters of documents searched at once, and pairs of passage and band aligned at once.
@@ -35,11 +37,11 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
-def _grams(codes: np.ndarray) -> np.ndarray:
+def _grams(codes: np.ndarray, q: int) -> np.ndarray:
     """Hash of the q characters from each place on; q is a power of two, so halves are joined."""
     value, width, base = (codes.astype(np.uint64) + np.uint64(1)) * _BASE, 1, _BASE
     with np.errstate(over="ignore"):
-        while width < Q:
+        while width < q:
             if len(value) <= width:
                 return value[:0]
             value = value[:-width] * base + (value[width:] ^ (value[width:] >> np.uint64(29)))
@@ -53,25 +55,14 @@ class Item:
     text: str
     codes: np.ndarray
     edits: int
-    bound: int  # q-grams that a place must share
 
 
-class Passages:
-    """The q-grams of a block of passages."""
+class Grams:
+    """The q-grams of passages that share one at least with any place within their edits."""
 
-    def __init__(self, rows: list[tuple[object, str | None]]):
-        self.short: dict[str, list[object]] = {}
-        self.items: list[Item] = []
-        for item_id, text in rows:
-            text = plain(text)
-            m = len(text)
-            if m < Q:
-                if m:
-                    self.short.setdefault(text, []).append(item_id)
-                continue
-            edits = min(int(EDIT_SHARE * m), (m - Q) // Q)
-            self.items.append(Item(item_id, text, _codes(text), edits, m - Q + 1 - edits * Q))
-        grams = [_grams(item.codes) for item in self.items]
+    def __init__(self, items: list[Item], q: int):
+        self.items, self.q = items, q
+        grams = [_grams(item.codes, q) for item in self.items]
         every = np.concatenate([np.zeros(0, np.uint64), *grams])
         owner = np.repeat(np.arange(len(grams)), list(map(len, grams))).astype(np.int64)
         place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(g)) for g in grams)])
@@ -82,7 +73,7 @@ class Passages:
         self.flag = np.zeros(1 << _FLAGS, bool)
         self.flag[self._spot(self.grams)] = True
         self.edits = np.array([i.edits for i in self.items], np.int64)
-        self.bound = np.array([i.bound for i in self.items], np.int64)
+        self.bound = np.array([len(i.codes) - q + 1 - i.edits * q for i in self.items], np.int64)
 
     @staticmethod
     def _spot(grams: np.ndarray) -> np.ndarray:
@@ -95,7 +86,7 @@ class Passages:
             return none, none, none
         sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         start = np.cumsum(sizes) - sizes
-        grams = _grams(_codes("\n".join(texts)))  # plain texts have no line ends, nor have passages
+        grams = _grams(_codes("\n".join(texts)), self.q)  # plain texts have no line ends, nor have passages
         at = np.flatnonzero(self.flag[self._spot(grams)])
         spot = np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)
         same = self.grams[spot] == grams[at]
@@ -123,21 +114,45 @@ class Passages:
         cell = begin[good] % span + low - 1
         return row[good], item[good], cell * (self.edits[item[good]] + 1)
 
+
+class Passages:
+    """A block of passages, to be found in texts."""
+
+    def __init__(self, rows: list[tuple[object, str | None]]):
+        self.short: dict[str, list[object]] = {}
+        long, small = [], []
+        for item_id, text in rows:
+            text = plain(text)
+            m = len(text)
+            if m < SHORTEST:
+                if m:
+                    self.short.setdefault(text, []).append(item_id)
+                continue
+            item = Item(item_id, text, _codes(text), int(EDIT_SHARE * m))
+            (long if m - Q + 1 > item.edits * Q else small).append(item)
+        self.groups = [Grams(items, q) for items, q in ((long, Q), (small, SHORT_Q)) if items]
+
     def find(self, texts: list[str | None]) -> list[tuple[int, object, int, int, int, int]]:
         """Hits as (text, item id, begin, end, edits, passage length); offsets are into the plain text."""
         flat = [plain(text) for text in texts]
         hits = [(row, i, 0, len(text), 0, len(text)) for row, text in enumerate(flat) for i in self.short.get(text, [])]
-        row, item, diagonal = self.bands(flat)
+        for group in self.groups:
+            hits.extend(self._aligned(group, flat))
+        return hits
+
+    @staticmethod
+    def _aligned(group: Grams, flat: list[str]) -> Iterator[tuple[int, object, int, int, int, int]]:
+        """The best place of each passage in each text, of the bands that reach its bound."""
+        row, item, diagonal = group.bands(flat)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for begin in range(0, len(row), ALIGN_PAIRS):
             part = slice(begin, begin + ALIGN_PAIRS)
-            pairs = [(flat[r], self.items[i], int(d)) for r, i, d in zip(row[part], item[part], diagonal[part], strict=True)]
+            pairs = [(flat[r], group.items[i], int(d)) for r, i, d in zip(row[part], item[part], diagonal[part], strict=True)]
             for r, i, (edits, start, end) in zip(row[part], item[part], align(pairs), strict=True):
-                if edits <= self.items[i].edits:
+                if edits <= group.items[i].edits:
                     best[r, i] = min(best.get((r, i), (edits, start, end)), (edits, start, end))
         for (r, i), (edits, start, end) in sorted(best.items()):
-            hits.append((int(r), self.items[i].item_id, start, end, edits, len(self.items[i].text)))
-        return hits
+            yield int(r), group.items[i].item_id, start, end, edits, len(group.items[i].text)
 
 
 def _banded(patterns: list[np.ndarray], windows: list[np.ndarray], widths: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -215,7 +230,7 @@ def find_passages(
 
     A passage is found where at most ``EDIT_SHARE`` of its characters have to be edited, case and white space
     aside. ``begin`` and ``end`` are offsets into the text in lower case with single spaces; of several places
-    the one with the fewest edits, then the first, is given. A passage shorter than one q-gram counts only
+    the one with the fewest edits, then the first, is given. A passage shorter than ``SHORTEST`` counts only
     where it is the whole text; null and empty ones never do. Null texts hold none. Repeated rows and
     repeated passages are each given. Documents are read once per block of passages and never shuffled.
     """

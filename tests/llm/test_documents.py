@@ -147,6 +147,20 @@ def test_passages_against_brute_force(spark):
             assert _distance(pattern, decontaminate.plain(text)[f[2] : f[3]]) == wanted
 
 
+def test_passages_of_all_lengths():
+    """Every length from the shortest on, with edits up to and over the allowed ones, against brute force."""
+    chance, letters = random.Random(5), "abcdefgh ij"
+    for size in list(range(decontaminate.SHORTEST, 45)) * 6:
+        pattern = "k" + "".join(chance.choices(letters.replace(" ", ""), k=size - 2)) + "k"
+        allowed, edited = size // 10, list(pattern)
+        for at in chance.sample(range(size), k=chance.randint(0, allowed + 1)):
+            edited[at] = chance.choice(["", "z", edited[at] + "z"])
+        text = decontaminate.plain("".join(chance.choices(letters, k=30)) + "".join(edited) + "".join(chance.choices(letters, k=30)))
+        wanted = _distance(pattern, text)
+        found = decontaminate.Passages([(1, pattern)]).find([text])
+        assert [f[4] for f in found] == ([wanted] if wanted <= allowed else [])
+
+
 def test_passages_of_the_table(spark, sf_dir):
     docs = {r.doc_id: decontaminate.plain(r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     items = {r.item_id: decontaminate.plain(r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
