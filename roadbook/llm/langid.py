@@ -21,8 +21,8 @@ from roadbook.llm.frames import append_columns, blocks, filter_rows, held_out
 
 #: Places for hashed n-grams, longest n-gram, centroids per language.
 PLACES, LONGEST, CENTROIDS = 16384, 3, 4
-#: Texts per language that centroids are fitted on, at most.
-SAMPLE = 400
+#: Texts per language that centroids are fitted on, at most, and groups of tasks in which these are first chosen.
+SAMPLE, SLOTS = 400, 16
 #: A text is rejected below this share of the similarity that all but ``LOW_TAIL`` of a language's sample reach, cut to
 #: texts that fill as many places; the numbers of places are told apart by powers of two.
 REJECT_SHARE, LOW_TAIL, SPANS = 0.5, 0.02, 15
@@ -179,11 +179,14 @@ def _document_counts(rows: DataFrame) -> tuple[np.ndarray, dict[str, int]]:
 def _sample(rows: DataFrame) -> DataFrame:
     """Of each language the ``SAMPLE`` distinct texts with the least hashes, or all if there are fewer.
 
-    Only hashes are ranked, at most ``SAMPLE`` a language and task; a task then gives each chosen text once.
+    Only hashes are ranked, first in ``SLOTS`` groups of tasks, so that a language's last task gets as many from each
+    group at most, however many tasks there are; a task then gives each chosen text once.
     """
     hashed = rows.select("lang", "text", F.xxhash64("text").alias("hash"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
-    least = hashed.select("lang", "hash").distinct().withColumn("rank", rank).where(F.col("rank") <= SAMPLE)
+    least = hashed.select("lang", "hash").distinct().withColumn("slot", F.spark_partition_id() % SLOTS)
+    for keys in (("lang", "slot"), ("lang",)):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("hash"))
+        least = least.withColumn("rank", rank).where(F.col("rank") <= SAMPLE).drop("rank")
     last = {r["lang"]: r["last"] for r in least.groupBy("lang").agg(F.max("hash").alias("last")).collect()}
     limit = F.create_map(*[F.lit(x) for pair in last.items() for x in pair])
 

@@ -95,6 +95,16 @@ def test_counts_do_not_depend_on_neighbours():
     assert found.tolist() == [True, False, False, True, True, True, True]
 
 
+@pytest.mark.parametrize("slots", [1, 3, 16])
+def test_sample_is_that_of_one_ranking(spark, monkeypatch, slots):
+    rows = spark.range(4000).selectExpr("if(id % 3 = 0, 'xx', 'yy') as lang", "concat('text ', id % 1500) as text").repartition(7)
+    monkeypatch.setattr(langid, "SLOTS", slots)
+    found = {(r["lang"], r["hash"]) for r in langid._sample(rows).collect()}
+    every = rows.selectExpr("lang", "xxhash64(text) as hash").distinct().collect()
+    wanted = {(lang, h) for lang in ("xx", "yy") for h in sorted(r["hash"] for r in every if r["lang"] == lang)[: langid.SAMPLE]}
+    assert found == wanted
+
+
 def test_copies_do_not_thin_the_sample(spark, monkeypatch, make_docs):
     monkeypatch.setattr(langid, "SAMPLE", 5)
     texts = [f"wort nummer {'abcdefghij'[k]} und noch eins" for k in range(10)]
