@@ -9,6 +9,10 @@ A bucket of many sets is no group of pairs. First every set is held against the
 near copies to one component. Only buckets that still hold several components are compared further: they are cut
 into blocks of bounded size, and pairs of blocks are tasks that verify what survives on the spot. A pair is tried in
 the first band that its sets share, and only while it would connect something, so a task gives a forest of links.
+
+On request, pairs are also taken from SimHash fingerprints of the sets (:mod:`roadbook.llm.simhash`), found by deletion
+variants of their segments. They are verified on the whole sets like all others, and what they connect is not compared
+again in the buckets; the bands find the copies whose fingerprints differ in more bits.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
+from roadbook.llm import simhash
 from roadbook.llm.components import components
 from roadbook.llm.frames import append_columns, blocks, drop, id_key, stay, text_mark, written
 
@@ -47,6 +52,7 @@ _SKETCH = T.StructType([
     T.StructField("same", T.BinaryType(), True), T.StructField("n", T.LongType(), False),
     T.StructField("signature", T.BinaryType(), True),
 ])
+_PRINT = T.StructField("fingerprint", T.LongType(), False)
 _SET = T.StructType([T.StructField("shingles", T.BinaryType(), False)])
 
 
@@ -121,8 +127,11 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return (keys // np.uint64(BANDS) * np.uint64(BANDS) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
-def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Rows with ``same`` (a 128-bit digest of the shingle set, null if it is empty), its size ``n`` and ``signature``."""
+def sketches(docs: DataFrame, rule: Rule, fingerprints: bool = False) -> DataFrame:
+    """Rows with ``same`` (a 128-bit digest of the shingle set, null if it is empty), its size ``n`` and ``signature``.
+
+    With ``fingerprints`` also the set's ``fingerprint``.
+    """
 
     def compute(texts: list[str | None]) -> list[pa.Array]:
         sets = [rule.shingles(text) for text in texts]
@@ -130,9 +139,11 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
             pa.array([xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+            *([pa.array(simhash.majority_bits(sets), pa.int64())] if fingerprints else []),
         ]
 
-    return append_columns(docs, "text", _SKETCH, compute, keep_source=False)
+    schema = T.StructType([*_SKETCH, _PRINT]) if fingerprints else _SKETCH
+    return append_columns(docs, "text", schema, compute, keep_source=False)
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
@@ -295,7 +306,7 @@ def _cross_links(mixed: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule
 
 
 def near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rule: Rule = Rule(),
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rule: Rule = Rule(), fingerprints: bool = False,
 ) -> DataFrame:
     """One row per document: ``id``, ``n_shingles``, ``component_id``, ``kept``, ``root`` and ``mark``.
 
@@ -304,20 +315,26 @@ def near_duplicates(
     of that id is ``kept``. Texts without words (null too) are linked with nothing. Documents with equal sets are one
     node, so copies cost nothing. Null ids never name a component unless all of its ids are null; repeated rows are all
     given. ``root`` names the component even where ids are null or stand for several texts (null for texts without
-    words), ``mark`` is that of the raw text. Columns other than these two do not matter.
+    words), ``mark`` is that of the raw text. Columns other than these two do not matter. With ``fingerprints`` pairs are
+    taken from SimHash fingerprints as well.
     """
     named = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
-    rows, _ = written(sketches(named.withColumn("mark", text_mark(F.col("text"))), rule), "sketches")
+    rows, _ = written(sketches(named.withColumn("mark", text_mark(F.col("text"))), rule, fingerprints), "sketches")
     distinct = rows.where("same IS NOT NULL").groupBy("same").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("best"),
         F.first("signature").alias("signature"), F.first("n").alias("n"),
+        *([F.first("fingerprint").alias("fingerprint")] if fingerprints else []),
     )
     nodes, _ = written(
-        distinct.select("same", "best.id", "best.mark", "signature", "n", F.monotonically_increasing_id().alias("node")), "nodes"
+        distinct.select(F.monotonically_increasing_id().alias("node"), "best.id", "best.mark", *distinct.drop("best").columns),
+        "nodes",
     )
     shared, shared_path = written(buckets(nodes), "buckets")
     starts = shared.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    first = _verified(_likely_pairs(starts, nodes, rule), nodes, named, rule)
+    likely = _likely_pairs(starts, nodes, rule)
+    if fingerprints:
+        likely = likely.unionByName(simhash.near_pairs(nodes.select("node", "fingerprint")))
+    first = _verified(likely, nodes, named, rule)
     mixed = _mixed(shared.join(nodes.select("node", "n"), "node"), components(first))
     drop(docs.sparkSession, shared_path)
     found = components(first.unionByName(_cross_links(mixed, nodes, named, rule)))
@@ -332,13 +349,13 @@ def near_duplicates(
 
 
 def drop_near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rule: Rule = Rule(),
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rule: Rule = Rule(), fingerprints: bool = False,
 ) -> DataFrame:
     """The rows that stay, with all their columns: of each component the one with the smallest id, then mark.
 
     Null ids come last, so a component without ids keeps one row too. Every text without words stays.
     """
-    found = near_duplicates(docs, id_column, text_column, rule)
+    found = near_duplicates(docs, id_column, text_column, rule, fingerprints)
     best = found.where("root IS NOT NULL").groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("best")
     ).select("best.id", "best.mark")

@@ -46,12 +46,16 @@ def shingle_hashes(text: str | None) -> np.ndarray:
 
 
 def fingerprints(texts: list[str | None]) -> np.ndarray:
-    """The fingerprint of each text as a signed integer: a bit is set if it is in over half of the hashes."""
-    hashes = [shingle_hashes(text) for text in texts]
+    """The fingerprint of each text as a signed integer."""
+    return majority_bits([shingle_hashes(text) for text in texts])
+
+
+def majority_bits(hashes: list[np.ndarray]) -> np.ndarray:
+    """The fingerprint of each list of hashes as a signed integer: a bit is set if it is in over half of them."""
     sizes = np.array([len(h) for h in hashes], np.int64)
     flat = np.concatenate([np.zeros(0, np.uint64), *hashes])
     if not len(flat):
-        return np.zeros(len(texts), np.int64)
+        return np.zeros(len(hashes), np.int64)
     starts = np.cumsum(sizes) - sizes
     filled = np.flatnonzero(sizes)
     chunks = -(-sizes[filled] // LANE_ROWS)
@@ -60,7 +64,7 @@ def fingerprints(texts: list[str | None]) -> np.ndarray:
     lanes = np.add.reduceat(_SPREAD[flat.view(np.uint8)].reshape(-1, 8), begin, axis=0)
     counts = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 64), first, axis=0, dtype=np.int64)
     bits = 2 * counts > sizes[filled, None]
-    out = np.zeros(len(texts), np.int64)
+    out = np.zeros(len(hashes), np.int64)
     out[filled] = np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel()
     return out
 
@@ -234,6 +238,20 @@ def links(distinct: DataFrame) -> DataFrame:
     return found.where("a is not null").select("a", "b").unionByName(spread_links)
 
 
+def near_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` (the lesser node first) of nodes whose fingerprints are equal or linked, as a forest.
+
+    ``nodes`` has ``node`` and ``fingerprint``. Nodes of one fingerprint are paired with its least node, and the least
+    nodes of linked fingerprints with each other.
+    """
+    distinct, _ = written(nodes.groupBy("fingerprint").agg(F.min("node").alias("first")), "distinct")
+    equal = nodes.join(distinct, "fingerprint").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    ends = links(distinct).join(distinct.withColumnsRenamed({"fingerprint": "a", "first": "x"}), "a").join(
+        distinct.withColumnsRenamed({"fingerprint": "b", "first": "y"}), "b"
+    )
+    return equal.unionByName(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: ``id``, ``fingerprint`` (long), ``component_id``, ``mark`` of the raw text.
 

@@ -126,3 +126,16 @@ def test_pruning_keeps_to_the_miss_probability(compared):
         log = m * np.log(s) + (compared - m) * np.log1p(-s)
         weight = np.exp(log - log.max())
         assert (weight[s >= 0.85].sum() / weight.sum() >= minhash.MISS) == enough
+
+
+def test_pairs_come_from_fingerprints_too(spark, make_docs, monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(900)}" for _ in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "end"])), (3, " ".join(words[::-1])), (4, " ".join(words).upper() + " x"), (5, "")]
+    docs, rule = make_docs(rows), minhash.Rule()
+    wanted = _brute(rows, rule)
+    assert _found(minhash.near_duplicates(docs, rule=rule, fingerprints=True)) == wanted == _found(minhash.near_duplicates(docs, rule=rule))
+    # without the bands, the fingerprints alone find what differs in three bits
+    monkeypatch.setattr(minhash, "buckets", lambda nodes: nodes.selectExpr("n AS key", "node", "node AS first").where("key < 0"))
+    assert _found(minhash.near_duplicates(docs, rule=rule, fingerprints=True)) == wanted
+    assert sorted(r.doc_id for r in minhash.drop_near_duplicates(docs, rule=rule, fingerprints=True).collect()) == [1, 3, 5]
