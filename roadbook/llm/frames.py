@@ -13,8 +13,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from roadbook.session import scratch_path
 from roadbook.sources import storage
 
-#: Characters of text that a pass holds at once; one text may be longer and is then held alone.
-BLOCK_CHARS = 1 << 21
+#: Characters of text that a pass holds at once; one text may be longer and is then held alone. A pass has arrays of some
+#: hundred bytes a character, and its worker keeps their memory for the passes after it.
+BLOCK_CHARS = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
