@@ -93,9 +93,8 @@ def stage_trips(f: Fleet) -> DataFrame:
 def quarantine(f: Fleet) -> DataFrame:
     """Records on each side of the split, by domain."""
     def sides(domain: str, df: DataFrame) -> DataFrame:
-        good, bad = staging.enforce(df, "quarantine")
-        tagged = good.select(F.lit("good").alias("side")).unionAll(bad.select(F.lit("bad").alias("side")))
-        return tagged.groupBy("side").agg(F.count("*").alias("records")).withColumn("domain", F.lit(domain))
+        side = F.when(F.col("quarantined"), "bad").otherwise("good")
+        return df.select(*staging.tagged_columns([])).groupBy(side.alias("side")).agg(F.count("*").alias("records")).withColumn("domain", F.lit(domain))
 
     return sides("vehicles", _vehicles(f)).unionByName(sides("health", _health(f))).unionByName(
         sides("finance", _finance(f))

@@ -105,7 +105,8 @@ def enforce(df: DataFrame, mode: str = "strict") -> DataFrame | tuple[DataFrame,
     """Act on ``violations``.
 
     ``strict``: the job that reads the result fails at the first bad record, without an extra
-    pass. ``quarantine``: (good, bad), two filters over the same frame.
+    pass. ``quarantine``: (good, bad), two filters over the same frame; each parses the lines that it
+    is read from, so who needs both sides takes :func:`tagged_columns`.
     """
     clean = F.size("violations") == 0
     if mode == "strict":

@@ -3,6 +3,8 @@ import json
 import pytest
 from pyspark.errors import PySparkException
 
+from checks import staging_queries
+from checks.binding import Fleet
 from roadbook import schemas
 from roadbook.operators import conform, staging
 from roadbook.sources.raw import parse_lines, read_raw, write_raw
@@ -148,3 +150,8 @@ def test_lines_are_parsed_once_and_misfits_named(spark):
     # one parse of every line, and one behind a condition
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 2 and "THEN from_json" in plan
+
+
+def test_both_sides_of_a_split_come_from_one_parse(spark, sf_dir):
+    plan = staging_queries.quarantine(Fleet(spark, sf_dir))._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan text") == 3
