@@ -57,10 +57,13 @@ def load_fact(
     if on_conflict not in ("replace", "ignore"):
         raise ValueError(f"unknown conflict rule {on_conflict!r}")
     fresh = tables.materialize(upserts.dedup(keyed, ["event_id"], order), name)
-    stored = stored_like(spark, root, name, fresh)
+    met = _met_days(spark, root, name, fresh)
+    stored = _days(tables.read_table(spark, root, name), met)
 
     if on_conflict == "ignore":
-        added = tables.materialize(fresh.join(stored.select("event_id"), "event_id", "left_anti").select(*schema.names), name)
+        added = fresh.select(*schema.names)
+        if met:
+            added = tables.materialize(added.join(stored.select("event_id"), "event_id", "left_anti").select(*schema.names), name)
         _note(root, name, added.select(*entities))
         keyindex.note(spark, root, name, added)
         tables.append_fact(added, path)
@@ -88,8 +91,11 @@ def load_fact(
 
 def stored_like(spark: SparkSession, root: str, name: str, ids: DataFrame) -> DataFrame:
     """The stored rows of the days that may hold an event id of ``ids``."""
-    days = tables.days_of(keyindex.locate(spark, root, name, ids))
-    return _days(tables.read_table(spark, root, name), days)
+    return _days(tables.read_table(spark, root, name), _met_days(spark, root, name, ids))
+
+
+def _met_days(spark: SparkSession, root: str, name: str, ids: DataFrame) -> list[dt.date]:
+    return tables.days_of(keyindex.locate(spark, root, name, ids))
 
 
 FILES = schemas._table(source="string", length="bigint", modified="bigint")
@@ -166,12 +172,17 @@ def pending_loads(spark: SparkSession, root: str, name: str) -> list[str]:
 
 def pending(spark: SparkSession, root: str, name: str, loads: list[str] | None = None) -> DataFrame:
     """Entity-days noted by these loads of a fact (all by default)."""
+    return _noted(spark, root, name, loads).distinct()
+
+
+def _noted(spark: SparkSession, root: str, name: str, loads: list[str] | None = None) -> DataFrame:
+    """Like :func:`pending`, each key once a load; enough to list days."""
     fact = schemas.TABLES[name]
     keys = T.StructType([fact[c] for c in _entities(fact)])
     loads = pending_loads(spark, root, name) if loads is None else loads
     if not loads:
         return spark.createDataFrame([], keys)
-    return spark.read.schema(keys).parquet(*[_pending_path(root, name, n) for n in loads]).distinct()
+    return spark.read.schema(keys).parquet(*[_pending_path(root, name, n) for n in loads])
 
 
 def settle(spark: SparkSession, root: str, loads: dict[str, list[str]]) -> None:
@@ -200,12 +211,17 @@ def refresh_marts(spark: SparkSession, root: str, policy: str = "touched_keys")
                 _note(root, name, pending(spark, root, name, own).where(F.col("date_key") <= F.lit(newest)))
         settle(spark, root, loads)
         return
-    noted = {name: tables.materialize(pending(spark, root, name, own), "noted") for name, own in loads.items()}
-    refresh_driver_mart(spark, root, policy, marts.changed_driver_days(*noted.values()))
-    refresh_vehicle_mart(spark, root, policy, marts.changed_vehicle_days(noted["fact_vehicle_telemetry"]))
+    # marts are written by whole days, so of the noted keys only the days count; their number is bounded by the calendar
+    noted = {name: tables.days_of(_noted(spark, root, name, own)) for name, own in loads.items()}
+    refresh_driver_mart(spark, root, policy, _day_rows(spark, sorted(set().union(*noted.values()))))
+    refresh_vehicle_mart(spark, root, policy, _day_rows(spark, noted["fact_vehicle_telemetry"]))
     settle(spark, root, loads)
 
 
+def _day_rows(spark: SparkSession, days: list[dt.date]) -> DataFrame:
+    return spark.createDataFrame([(day,) for day in days], "date_key date")
+
+
 def refresh_driver_mart(
     spark: SparkSession, root: str, policy: str = "high_watermark", touched: DataFrame | None = None
 ) -> None:
@@ -235,7 +251,7 @@ def refresh_activity(spark: SparkSession, root: str, name: str) -> None:
     Dimensions are built from these few rows instead of the complete fact. Days are computed whole
     from the fact, so a repeated or broken run does no harm; settling comes after it.
     """
-    days, path = tables.days_of(pending(spark, root, name)), _activity_path(root, name)
+    days, path = tables.days_of(_noted(spark, root, name)), _activity_path(root, name)
     if not days:
         return
     entity = ENTITY[name]

@@ -57,7 +57,7 @@ def _opened(spark: SparkSession, path: str, buckets: int) -> Iterator[str]:
 
 def _insert(entries: DataFrame, table: str, buckets: int) -> None:
     """One file a bucket at most: rows are dealt as the table deals them."""
-    entries.select(KEY, "date_key").distinct().repartition(buckets, KEY).write.insertInto(table)
+    entries.select(KEY, "date_key").repartition(buckets, KEY).distinct().write.insertInto(table)
 
 
 def _current(spark: SparkSession, root: str, name: str) -> tuple[int, int]:

@@ -126,3 +126,15 @@ def test_many_loads_are_merged(spark, tmp_path, monkeypatch):
     assert len(versions) == 1 and versions[0][0] > 1
     assert indexed(spark, root) == sorted((e, d) for e, d, _ in rows) and stored(spark, root) == sorted(rows)
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("key_index_")]
+
+
+def test_new_rows_are_stored_without_another_copy(spark, tmp_path, monkeypatch):
+    labels, keep = [], tables.materialize
+    monkeypatch.setattr(tables, "materialize", lambda df, label: labels.append(label) or keep(df, label))
+    warehouse.load_fact(spark, str(tmp_path), NAME, finance(spark, ("e1", "2026-01-01", 1.0)), "ignore")
+    assert labels == [NAME, f"{NAME}-located"]
+    warehouse.load_fact(spark, str(tmp_path), NAME, finance(spark, ("e1", "2026-01-01", 2.0), ("e2", "2026-01-01", 3.0)), "ignore")
+    assert stored(spark, str(tmp_path)) == [("e1", "2026-01-01", 1.0), ("e2", "2026-01-01", 3.0)]
+    labels.clear()
+    warehouse.refresh_marts(spark, str(tmp_path))
+    assert labels == [] and not warehouse.pending_loads(spark, str(tmp_path), NAME)
