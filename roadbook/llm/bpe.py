@@ -8,10 +8,10 @@ whose own last token stays apart from it. Prefixes that words share are so encod
 from __future__ import annotations
 
 import json
-import re
+from array import array
 from collections.abc import Callable, Iterable
 from functools import lru_cache
-from itertools import accumulate, chain, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -20,18 +20,17 @@ from pyspark.sql import DataFrame, types as T
 
 from roadbook.llm.frames import append_columns
 
-#: Fixed value: how byte-level vocabularies cut text before any merge.
+#: Fixed value: how byte-level vocabularies cut text before any merge. :func:`word_starts` does the same for whole blocks.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: White space that meets a space, and white space besides spaces and line ends.
-DEPENDENT = re.compile(r" \s|[^\S ] ")
-OTHER_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
-#: Marks that are a word of their own behind letters and before a space.
-MARKS = frozenset(".,;:!?")
-#: Bytes of chunks and of words that a worker remembers (about, and twice: young and old), characters of the
-#: longest, and ends of prefixes; only speed depends on them.
-KNOWN_CHUNKS, KNOWN_WORDS, KNOWN_CHARS, KNOWN_ENDINGS = 64 << 20, 48 << 20, 64, 100_000
-#: What an entry takes besides, for each character of its key, and for each token.
-ENTRY_BYTES, CHAR_BYTES, TOKEN_BYTES = 200, 4, 40
+#: What may follow an apostrophe that begins a word, by length.
+SHORTENED = (("s", "t", "m", "d"), ("re", "ve", "ll"))
+#: Kinds of characters; what is none of the first three is a sign.
+SPACE, LETTER, DIGIT, SIGN = range(4)
+#: Bytes of words that a worker remembers (about, and twice: young and old), bytes of the longest, and ends of
+#: prefixes; only speed depends on them.
+KNOWN_WORDS, KNOWN_LENGTH, KNOWN_ENDINGS = 64 << 20, 192, 100_000
+#: What an entry takes besides its key's bytes and its tokens' (two objects and their places in a table).
+ENTRY_BYTES = 200
 
 
 def _byte_characters() -> dict[str, int]:
@@ -184,100 +183,158 @@ def _shared(a: bytes, b: bytes) -> int:
 
 
 class Recent:
-    """Remembers what was made for keys, but for long ones. When it is full, what was not used since it was last full goes."""
+    """Remembers the bytes made for keys, but for long ones. When it is full, what was not used since it was last full goes."""
 
-    def __init__(self, limit: int, make: Callable[[list], Iterable]):
+    def __init__(self, limit: int, make: Callable[[list[bytes]], Iterable[bytes]]):
         self.limit, self.make = limit, make
-        self.young: dict = {}
-        self.old: dict = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.held = 0
 
-    def recall(self, keys: list) -> list:
-        """What belongs to each key, made where it is not remembered."""
+    def recall(self, keys: list[bytes]) -> list[bytes]:
+        """What belongs to each of some distinct keys, made where it is not remembered."""
         if self.held > self.limit:
             self.old, self.young, self.held = self.young, {}, 0
         found = list(map(self.young.get, keys))
-        if None not in found:
-            return found
-        missing = list({key for key, value in zip(keys, found, strict=True) if value is None})
-        kept = list(map(self.old.get, missing))
-        new = [key for key, value in zip(missing, kept, strict=True) if value is None]
-        young = self.young
-        young.update((key, value) for key, value in zip(missing, kept, strict=True) if value is not None)
-        young.update(zip(new, self.make(new), strict=True))
-        found = list(map(young.__getitem__, keys))
-        long = [key for key in new if len(key) > KNOWN_CHARS]
-        held = [key for key in missing if len(key) <= KNOWN_CHARS] if long else missing
-        self.held += ENTRY_BYTES * len(held) + CHAR_BYTES * sum(map(len, held))
-        self.held += TOKEN_BYTES * sum(len(young[key]) for key in held)
-        for key in long:
-            del young[key]
+        missing = [at for at, value in enumerate(found) if value is None]
+        new = []
+        for at in missing:
+            found[at] = self.old.get(keys[at])
+            if found[at] is None:
+                new.append(at)
+        for at, value in zip(new, self.make([keys[at] for at in new]), strict=True):
+            found[at] = value
+        kept = [at for at in missing if len(keys[at]) <= KNOWN_LENGTH]
+        self.young.update((keys[at], found[at]) for at in kept)
+        self.held += ENTRY_BYTES * len(kept) + sum(len(keys[at]) + len(found[at]) for at in kept)
         return found
 
 
-class Codec:
-    """Encodes and decodes lists of texts; keeps the tokens of what it has met lately.
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """The kind of each character, by its code point."""
+    kinds = np.full(0x110000, SIGN, np.uint8)
+    every = np.arange(len(kinds), dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    for kind, pattern in ((SPACE, r"\s+"), (LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+")):
+        for run in regex.finditer(pattern, every):
+            kinds[slice(*run.span())] = kind
+    return kinds
+
 
-    A text is cut at single spaces. The key of what follows a space is that chunk; the key of any other
-    piece begins with a space, which no chunk has.
+def word_starts(codes: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Places where the words of :data:`WORD_PATTERN` begin, in code points of texts in a row that begin at ``begins``.
+
+    Words begin where the kind of character changes. The last of some white space goes to the word behind it
+    if it is a space, else it is a word of its own. An apostrophe that begins a word takes a shortened form.
     """
+    kinds = _kinds()[codes]
+    first, start = np.zeros(len(codes) + 1, bool), np.ones(len(codes) + 1, bool)
+    first[begins] = True
+    np.not_equal(kinds[1:], kinds[:-1], out=start[1:-1])
+    start |= first
+    blank = kinds == SPACE
+    behind = np.flatnonzero(blank[:-1] & ~blank[1:] & ~first[1:-1])  # last of white space before something else
+    start[behind] = True
+    start[behind[codes[behind] == ord(" ")] + 1] = False
+    marks = np.flatnonzero(codes == ord("'"))
+    if len(marks):
+        # two characters more than there are; a part that begins ends what is before it
+        ahead = np.concatenate([codes, np.zeros(3, codes.dtype)])
+        ends = np.concatenate([first, np.ones(3, bool)])
+        marks = marks[start[marks] & ~ends[marks + 1]]
+        one, two = ahead[marks + 1], np.where(ends[marks + 2], 0, ahead[marks + 2])
+        for size, forms in enumerate(SHORTENED, 1):
+            for form in forms:
+                found = marks[(one == ord(form[0])) & ((two == ord(form[1])) if size == 2 else True)]
+                start[found + 1] = False
+                start[found + 1 + size] = True
+    return np.flatnonzero(start[:-1])
+
+
+class Codec:
+    """Encodes and decodes lists of texts; keeps the tokens of words it has met lately."""
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.words = regex.compile(WORD_PATTERN)
-        self.known = Recent(KNOWN_WORDS, lambda new: self.vocabulary.encode_words([w.encode() for w in new]))
-        self.chunks = Recent(KNOWN_CHUNKS, self._encode_chunks)
-
-    def _encode_chunks(self, keys: list[str]) -> Iterable[tuple[int, ...]]:
-        """Encode pieces that are met for the first time."""
-        findall = self.words.findall
-        cut = []
-        for key in keys:
-            # letters alone are one word, and so is a mark behind them; the pattern says the same, only later
-            if key.isalpha():
-                cut.append([" " + key])
-            elif key[-1:] in MARKS and key[:-1].isalpha():
-                cut.append([" " + key[:-1], key[-1]])
-            else:
-                cut.append(findall(key[1:] if key[:1] == " " else " " + key))
-        distinct = list(set(chain.from_iterable(cut)))
-        tokens = dict(zip(distinct, self.known.recall(distinct), strict=True))
-        return [tokens[c[0]] if len(c) == 1 else tuple(chain.from_iterable(map(tokens.__getitem__, c))) for c in cut]
+        self.known = self.chunks = Recent(KNOWN_WORDS, self._pack)  # words are the only chunks
+        spelled = self.vocabulary.bytes_of
+        self.lengths = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.spelling = np.frombuffer(b"".join(spelled), np.uint8)
 
-    def _keys(self, text: str) -> list[str]:
-        """Keys of the parts of a text that can be cut into words by themselves.
+    def _pack(self, words: list[bytes]) -> list[bytes]:
+        """Tokens of words as 32-bit numbers in a row."""
+        return [array("i", tokens).tobytes() for tokens in self.vocabulary.encode_words(words)]
 
-        A space between two characters that are no white space always begins a word. Where white space
-        meets more white space, the words of the stretch depend on each other and are cut together.
-        """
-        if "  " in text or "\n " in text or " \n" in text or (any(c in text for c in OTHER_SPACES) and DEPENDENT.search(text)):
-            return [" " + word for word in self.words.findall(text)]
-        keys = text.split(" ")
-        keys[0] = " " + keys[0]
-        return keys
-
-    def encode(self, texts: list[str]) -> tuple[list[int], list[int]]:
+    def encode_block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All tokens in a row, and where each text's tokens end."""
-        special, keys, ends = self.vocabulary.special, [], []
-        marks: list[tuple[int, int]] = []  # places of added tokens
+        special, cut = self.vocabulary.special, self.vocabulary.cut
+        parts: list[str] = []
+        reach = []  # number of parts up to each text's end
+        marks: list[tuple[int, int]] = []  # parts that are added tokens
         for text in texts:
-            parts = self.vocabulary.cut.split(text) if any(s in text for s in special) else [text]
-            for part in parts:
-                if part in special:
-                    marks.append((len(keys), special[part]))
-                    keys.append(" ")
-                elif part:
-                    keys.extend(self._keys(part))
-            ends.append(len(keys))
-        found = self.chunks.recall(keys)
-        for at, token in marks:
-            found[at] = (token,)
-        reach = [0, *accumulate(map(len, found))]
-        return list(chain.from_iterable(found)), [reach[end] for end in ends]
+            if any(s in text for s in special):
+                for part in filter(None, cut.split(text)):
+                    if part in special:
+                        marks.append((len(parts), special[part]))
+                        part = " "  # one word, whose token is replaced below
+                    parts.append(part)
+            elif text:
+                parts.append(text)
+            reach.append(len(parts))
+        whole = "".join(parts)
+        if not whole:
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        data = whole.encode()
+        raw, codes = np.frombuffer(data, np.uint8), np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        begins = np.cumsum([0, *map(len, parts)])  # the last one is the end
+        starts = word_starts(codes, begins[:-1])
+        offsets = np.append(starts if len(raw) == len(codes) else np.flatnonzero((raw & 0xC0) != 0x80)[starts], len(raw))
+        words = pa.Array.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]
+        ).dictionary_encode()
+        found = self.known.recall(words.dictionary.to_pylist())
+        which = words.indices.to_numpy().astype(np.int64)
+        for part, token in marks:
+            which[np.searchsorted(starts, begins[part])] = len(found)
+            found.append(array("i", [token]).tobytes())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        tokens, word_ends = _gather(np.frombuffer(b"".join(found), np.int32), np.cumsum(sizes) - sizes, sizes, which)
+        return tokens, np.append(0, word_ends)[np.searchsorted(starts, begins[reach])]
+
+    def encode(self, texts: list[str]) -> tuple[list[int], list[int]]:
+        """As :meth:`encode_block`, in lists."""
+        tokens, ends = self.encode_block(texts)
+        return tokens.tolist(), ends.tolist()
 
     def decode(self, tokens: list[int]) -> str:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, tokens)).decode("utf-8", "replace")
 
+    def decode_block(self, tokens: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The text of each stretch of tokens."""
+        raw, token_ends = _gather(self.spelling, self.begins, self.lengths, tokens)
+        offsets, data = np.append(0, token_ends)[np.append(0, ends)], raw.tobytes()
+        try:
+            data.decode()
+            sound = not np.any((raw[offsets[offsets < len(raw)]] & 0xC0) == 0x80)
+        except UnicodeDecodeError:
+            sound = False
+        if not sound:
+            return pa.array([data[a:b].decode("utf-8", "replace") for a, b in pairwise(offsets)], pa.string())
+        return pa.Array.from_buffers(
+            pa.large_string(), len(ends), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]
+        ).cast(pa.string())
+
+
+def _gather(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``values`` that ``which`` names, in a row, and where each ends there."""
+    counts = sizes[which]
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.repeat(begins[which] - ends + counts, counts)
+    at += np.arange(total)
+    return values[at], ends
+
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
@@ -289,8 +346,8 @@ ENCODED = T.StructType([T.StructField("token_ids", T.ArrayType(T.IntegerType(),
 DECODED = T.StructType([T.StructField("decoded_text", T.StringType(), False)])
 
 
-def _token_lists(tokens: list[int], ends: list[int]) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(np.array(tokens, np.int32)))
+def _token_lists(tokens: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(tokens))
 
 
 def encode_documents(docs: DataFrame, path: str, text_column: str = "text", keep_text: bool = True) -> DataFrame:
@@ -302,7 +359,7 @@ def encode_documents(docs: DataFrame, path: str, text_column: str = "text", keep
     """
 
     def compute(texts: list[str | None]) -> list[pa.Array]:
-        return [_token_lists(*codec(path).encode([t or "" for t in texts]))]
+        return [_token_lists(*codec(path).encode_block([t or "" for t in texts]))]
 
     return append_columns(docs, text_column, ENCODED, compute, keep_source=keep_text)
 
@@ -326,8 +383,7 @@ def round_trip(docs: DataFrame, path: str, text_column: str = "text", keep_text:
 
     def compute(texts: list[str | None]) -> list[pa.Array]:
         known = codec(path)
-        tokens, ends = known.encode([t or "" for t in texts])
-        decoded = [known.decode(tokens[begin:end]) for begin, end in pairwise([0, *ends])]
-        return [_token_lists(tokens, ends), pa.array(decoded, pa.string())]
+        tokens, ends = known.encode_block([t or "" for t in texts])
+        return [_token_lists(tokens, ends), known.decode_block(tokens, ends)]
 
     return append_columns(docs, text_column, T.StructType([*ENCODED.fields, *DECODED.fields]), compute, keep_source=keep_text)

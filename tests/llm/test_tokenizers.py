@@ -4,8 +4,10 @@ import hashlib
 import random
 import time
 
+import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import sentencepiece
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -56,6 +58,32 @@ def test_any_text(text):
     assert token_counts.counter(PIECES).count([text]) == [len(MODEL.encode(text))]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=20), st.text("'stmdrevla 1.\n\u3000é", min_size=1, max_size=20)).filter(len), min_size=1, max_size=4))
+def test_blocks_are_cut_by_the_pattern(texts):
+    starts, at = [], 0
+    for text in texts:
+        starts += [at + found.start() for found in regex.finditer(bpe.WORD_PATTERN, text)]
+        at += len(text)
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    begins = np.cumsum([0, *map(len, texts[:-1])])
+    assert bpe.word_starts(codes, begins).tolist() == starts
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 50_000), max_size=6), max_size=5))
+def test_any_tokens(lists):
+    coder, lists = bpe.codec(BYTES), [[t for t in x if t < len(bpe.codec(BYTES).lengths)] for x in lists]
+    tokens, ends = np.array(sum(lists, []), np.int32), np.cumsum([len(x) for x in lists], dtype=np.int64)
+    assert coder.decode_block(tokens, ends).to_pylist() == [coder.decode(x) for x in lists]
+
+
+def test_a_mark_makes_no_new_word():
+    coder, words, marks = bpe.Codec(BYTES), ["was", "thenon", "ndstre"], [",", ".", ";", "!", ""]
+    coder.encode(["".join(" " + word + mark for word in words for mark in marks)])
+    assert len(coder.known.young) == len(coder.chunks.young) == 3 + 4
+
+
 def test_memory_may_be_forgotten_at_any_time():
     coder = bpe.Codec(BYTES)
     coder.chunks.limit = coder.known.limit = 3
