@@ -34,7 +34,8 @@ def read(
     for bucket in wanted:
         versions = [v for v in stored[bucket] if below is None or v < below]
         folders += [_folder(path, versions[0], bucket)] if versions else []
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+    # the limit tells the planner that there is nothing, so that joins with it go
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema).limit(0)
 
 
 def write(state: DataFrame, path: str, key: str, version: int) -> None:

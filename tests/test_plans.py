@@ -243,6 +243,18 @@ def test_harsh_brake_in_any_order_is_the_batch_result(spark, tmp_path):
     assert verdicts(spark, out) == {r.event_id: (r.prev_speed_kph, r.harsh_brake) for r in whole}
 
 
+def test_harsh_brake_batches_join_once_and_leave_no_copies(spark, tmp_path, monkeypatch):
+    seen, whole, shared = [], alerts.harsh_brake, str(tmp_path / "shared")
+    monkeypatch.setattr(alerts, "harsh_brake", lambda tel: seen.append(plan(tel)) or whole(tel))
+    monkeypatch.setattr(stateful, "scratch_path", lambda _, label: f"{shared}/{label}")
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    job = stateful.stream_harsh_brake(out, state, "1 hour")
+    for i in range(2):
+        job(samples(spark, (f"a{i}", "v", i, 80.0), (f"b{i}", "w", i, 70.0)), i)
+    assert len(seen) == 2 and not any(word in text for text in seen for word in ("Join", "Exchange", "InMemoryTableScan"))
+    assert not any(path.is_dir() for path in (tmp_path / "shared").glob("*"))
+
+
 def test_batches_write_the_buckets_of_their_vehicles_only(spark, tmp_path):
     state = tmp_path / "state"
     job = stateful.stream_replay_buffer(str(state), n=2)
